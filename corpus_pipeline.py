@@ -29,7 +29,7 @@ def _with_text(df: DataFrame, changed: str) -> DataFrame:
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose chance of a severity above 0 is less than a half."""
+    """Documents that the severity model does not reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = train_severity(docs, labels, grade_col="toxic", graded_by_rate=True)
     return toxicity(docs, model).where("not rejected").select(*COLUMNS)
