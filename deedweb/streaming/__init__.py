@@ -1,0 +1 @@
+"""Incremental resolution of addresses with Structured Streaming."""
