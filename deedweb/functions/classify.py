@@ -64,7 +64,7 @@ def is_pobox(c: Text) -> Column:
 
 def has_rental_class(codes: Text, rental: list[str]) -> Column:
     """Whether one of the comma-separated codes is a rental code."""
-    own = F.transform(F.split(col(codes), ","), F.trim)
+    own = F.transform(F.split(col(codes), ","), lambda x: F.trim(x))
     return _sure(F.arrays_overlap(own, words_array(rental)))
 
 

@@ -148,7 +148,7 @@ def set_is_rental_initial(props: DataFrame, codes: DataFrame) -> DataFrame:
     """Whether one of a property's comma-separated class codes is a rental code. The codes are a reference table of some
     hundred rows; each distinct ``class_code`` is judged once."""
     rental = codes.where("is_rental").select(F.col("code").alias("_code")).distinct()
-    each = props.select("class_code").distinct().withColumn("_code", F.explode(F.transform(F.split("class_code", ","), F.trim)))
+    each = props.select("class_code").distinct().withColumn("_code", F.explode(F.transform(F.split("class_code", ","), lambda x: F.trim(x))))
     hit = each.join(rental, "_code", "left_semi").select(F.col("class_code").alias("_class")).distinct()
     return props.join(hit, props["class_code"] == F.col("_class"), "left").withColumn("is_rental", F.col("_class").isNotNull()).drop("_class")
 

@@ -132,25 +132,25 @@ DERIVED: dict[str, tuple[str, dict[str, str]]] = {
         "orders",
         {
             "rid": "o_orderkey",
-            "clean_name": "CASE WHEN o_custkey % 17 = 0 THEN 'UNKNOWN' WHEN o_custkey % 19 = 0 THEN 'CHICAGO TITLE LAND' ELSE 'OWNER ' || (o_custkey % 400) END",
-            "match_address_t": "CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE (o_orderkey % 900) || ' MAIN ST' END",
+            "clean_name": "CASE WHEN o_custkey % 17 = 0 THEN 'UNKNOWN' WHEN o_custkey % 19 = 0 THEN 'CHICAGO TITLE LAND' ELSE 'OWNER ' || o_custkey END",
+            "match_address_t": "CASE WHEN o_orderkey % 13 = 0 THEN '' WHEN o_orderkey % 5 = 1 THEN o_orderkey || ' OAK ST' ELSE (o_custkey - o_custkey % 3) || ' MAIN ST' END",
             "exclude_name": "o_custkey % 23 = 0",
             "is_validated_t": "o_orderkey % 5 > 0",
             "is_researched_t": "o_orderkey % 7 > 1",
             "exclude_address_t": "o_orderkey % 900 < 40",
             "is_org_address_t": "o_orderkey % 900 > 860",
-            "entity_clean_name": "CASE WHEN o_custkey % 4 = 0 THEN 'OWNER ' || (o_custkey % 400) END",
-            "match_name": "CASE WHEN o_custkey % 6 = 0 THEN 'MATCH ' || (o_custkey % 30) END",
+            "entity_clean_name": "CASE WHEN o_custkey % 4 = 0 THEN 'OWNER ' || o_custkey END",
+            "match_name": "CASE WHEN o_custkey % 6 = 0 THEN 'MATCH ' || (o_custkey - o_custkey % 30) END",
         }
         | {
             k: v
-            for i, m in ((1, 700), (2, 500), (3, 300))
+            for i, m in ((1, 70), (2, 50), (3, 30))
             for k, v in {
-                f"match_address_e{i}": f"CASE WHEN o_custkey % {i + 4} > 0 THEN (o_custkey % {m}) || ' ENTITY AVE' END",
+                f"match_address_e{i}": f"CASE WHEN o_custkey % {i + 4} > 0 THEN (o_custkey - o_custkey % {m}) || ' ENTITY AVE' END",
                 f"is_validated_e{i}": f"o_custkey % {i + 2} > 0",
                 f"is_researched_e{i}": f"o_custkey % {i + 3} > 0",
-                f"exclude_address_e{i}": f"o_custkey % {m} < 9",
-                f"is_org_address_e{i}": f"o_custkey % {m} > {m - 30}",
+                f"exclude_address_e{i}": f"o_custkey % {m} < 3",
+                f"is_org_address_e{i}": f"o_custkey % {m} > {m - 6}",
             }.items()
         },
     ),

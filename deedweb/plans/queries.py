@@ -329,8 +329,8 @@ def match_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pair_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.concat("p_brand", F.lit(" "), "p_name").alias("other"))
-    return df.select("p_partkey", F.round(M.pair_similarity(F.col("p_name"), F.col("other"), 0.2), 6).alias("one_way"), F.round(M.cosine_trigram(F.col("p_name"), F.col("other")), 6).alias("both_ways"))
+    df = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.concat(F.split_part("p_name", F.lit(" "), F.lit(2)), F.lit(" "), F.lower("p_type")).alias("other"))
+    return df.select("p_partkey", F.round(M.pair_similarity(F.col("p_name"), F.col("other"), 0.1), 6).alias("one_way"), F.round(M.cosine_trigram(F.col("p_name"), F.col("other")), 6).alias("both_ways"))
 
 
 @query
