@@ -2,7 +2,7 @@
 
 A text is cut at added tokens and then into pretokens; a pretoken's bytes become a doubly linked list of symbols, and a
 priority queue of merge ranks says which neighbours join next. Entries whose neighbours have changed since are stale and
-skipped. Each worker keeps what it has encoded for words that come again, up to a stated number of them.
+skipped.
 """
 
 from __future__ import annotations
@@ -14,15 +14,9 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 
-#: The pattern that byte-level vocabularies of this kind are split by.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-
-#: Words that a worker keeps, and the longest of them in characters.
-KEPT_WORDS, KEPT_LENGTH = 700_000, 64
-
+from deedweb.llm.words import WordTokens
 
 def byte_letters() -> list[str]:
     """The printable stand-in for each byte: itself where it is printable Latin-1, else the next from U+0100 on."""
@@ -41,7 +35,6 @@ class Vocabulary:
         letters = byte_letters()
         back = {x: i for i, x in enumerate(letters)}
         self.added = {x["content"]: x["id"] for x in spec["added_tokens"]}
-        self.cut = regex.compile("|".join(regex.escape(x) for x in sorted(self.added, key=len, reverse=True)) or r"(?!)")
         self.text = [b""] * (1 + max([*ids.values(), *self.added.values()]))
         for token, i in ids.items():
             self.text[i] = bytes(back[x] for x in token) if all(x in back for x in token) else token.encode()
@@ -54,9 +47,7 @@ class Vocabulary:
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.ranks.setdefault(ids[a] << 32 | ids[b], rank)
             self.made.append(ids[a + b])
-        self.pattern = regex.compile(PATTERN)
-        self.words: dict[str, bytes] = {}
-        self.pretokens: dict[str, bytes] = {}
+        self.words = WordTokens(lambda pieces: [np.array(self.merged(x.encode()), "<u4").tobytes() for x in pieces], self.added)
 
     def merged(self, piece: bytes) -> list[int]:
         """The ids of one pretoken."""
@@ -83,54 +74,14 @@ class Vocabulary:
                 heappush(queue, rank << 32 | h)
         return [x for x in symbols if x >= 0]
 
-    def pretoken(self, piece: str) -> bytes:
-        found = self.pretokens.get(piece)
-        if found is None:
-            found = np.array(self.merged(piece.encode()), "<u4").tobytes()
-            if len(piece) <= KEPT_LENGTH:
-                if len(self.pretokens) >= KEPT_WORDS:
-                    self.pretokens.clear()
-                self.pretokens[piece] = found
-        return found
-
-    def word(self, word: str) -> bytes:
-        """The ids of a space and ``word``."""
-        found = b"".join(map(self.pretoken, self.pattern.findall(f" {word}")))
-        if len(word) <= KEPT_LENGTH:
-            if len(self.words) >= KEPT_WORDS:
-                self.words.clear()
-            self.words[word] = found
-        return found
-
-    def plain(self, text: str) -> bytes:
-        """The ids of a text without added tokens, as little-endian unsigned 32-bit integers.
-
-        A space between two other characters begins a pretoken whatever stands before, so each word may be encoded by
-        itself with the space before it. Texts that hold white space next to a space are split by the pattern as a whole.
-        """
-        if text[:1].isspace() or CROWDED.search(text):
-            return b"".join(map(self.pretoken, self.pattern.findall(text)))
-        first, *rest = text.split(" ")
-        get = self.words.get
-        found = [x if (x := get(w)) is not None else self.word(w) for w in rest]
-        return b"".join([*map(self.pretoken, self.pattern.findall(first)), *found])
-
-    def encode(self, text: str) -> bytes:
-        if not any(x in text for x in self.added):
-            return self.plain(text)
-        out, at = [], 0
-        for m in self.cut.finditer(text):
-            out += [self.plain(text[at : m.start()]), self.added[m[0]].to_bytes(4, "little")]
-            at = m.end()
-        return b"".join([*out, self.plain(text[at:])])
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit integers."""
+        return self.words.encode(texts)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
 
 
-CROWDED = regex.compile(r"\s |\s$")
-
-
 @lru_cache(maxsize=4)
 def vocabulary(path: str) -> Vocabulary:
     """One for each worker and path."""
@@ -154,9 +105,9 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                found = [known.encode(x.as_py() or "") for x in part.column(1)]
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                found = known.encode([x or "" for x in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), lists_of_ids(found)], ["doc_id", "ids"])
 
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))

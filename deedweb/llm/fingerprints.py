@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deedweb.llm.substring import BYTE_BASE, mixed, run_hashes
+from deedweb.llm.hashing import BYTE_BASE, mixed, run_hashes
 
 #: Bytes of a window; windows of a neighbourhood; of how many neighbourhoods a selected window is the rarest.
 WINDOW, AROUND, POPULAR = 32, 64, 16

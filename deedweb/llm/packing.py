@@ -7,6 +7,7 @@ fit, in fewer and fewer tasks, until a round joins none.
 
 from __future__ import annotations
 
+import json
 import math
 import zlib
 from collections.abc import Iterator
@@ -14,61 +15,52 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from deedweb.llm.words import WordTokens
 from deedweb.scratch import written
 
 LIMIT = 2048
 #: Items that one call of best fit holds at most.
 CHUNK = 1 << 16
-#: Words that a worker keeps, and the longest of them in characters.
-KEPT_WORDS, KEPT_LENGTH = 500_000, 64
-CROWDED = regex.compile(r"\s |\s$")
-
-
 class Encoder:
-    """A tokenizers file; the ids of words that come again are kept.
-
-    For byte-level tokenizers with the usual split pattern, a space between two other characters begins a pretoken
-    whatever stands before it, so each word may be encoded by itself with its space. Other texts, and texts with an
-    added token, are encoded whole.
-    """
+    """A tokenizers file. Pretokens that are new to a worker go to the library together, a line each. Files of another kind
+    than byte-level with the usual pattern encode each text as a whole."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
-        self.words: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        spec = json.loads(self.tokenizer.to_str())
+        kind = spec["pre_tokenizer"] or {}
+        self.by_word = spec["normalizer"] is None and kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space")
+        self.words = WordTokens(self._pretokens, {x["content"]: x["id"] for x in spec["added_tokens"]})
+        self.newline = self._ids("\n")
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _pretokens(self, pieces: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        lined = [x for x in pieces if not x.isspace()]
+        for at in range(0, len(lined), 20_000):
+            part = lined[at : at + 20_000]
+            ids = self._ids("\n".join(part))
+            ends = np.append(np.flatnonzero(ids == self.newline[0]), len(ids))
+            starts = np.insert(ends[:-1] + 1, 0, 0)
+            data = ids.tobytes()
+            out += [data[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        if len(lined) == len(pieces):
+            return out
+        found = iter(out)
+        return [self._ids(x).tobytes() if x.isspace() else next(found) for x in pieces]
 
     def batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        split = [
-            None if not x or x[0].isspace() or CROWDED.search(x) or any(a in x for a in self.added) else x.split(" ")
-            for x in texts
-        ]
-        new = list({w for x in split if x for w in x[1:]} - self.words.keys())
-        if len(self.words) + len(new) > KEPT_WORDS:
-            self.words.clear()
-            new = list({w for x in split if x for w in x[1:]})
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast([f" {w}" for w in part], add_special_tokens=False), strict=True):
-                self.words[word] = np.array(found.ids, "<u4").tobytes()
-        out = [
-            self.whole(text) if words is None else b"".join([self.whole(words[0]), *map(self.words.__getitem__, words[1:])])
-            for text, words in zip(texts, split, strict=True)
-        ]
-        for word in [w for w in new if len(w) > KEPT_LENGTH]:
-            del self.words[word]
-        return out
+        return self.words.encode(texts) if self.by_word else [self._ids(x).tobytes() for x in texts]
 
 
 @lru_cache(maxsize=4)
@@ -92,8 +84,8 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, end = encoder(path), end_id.to_bytes(4, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
                 rows: list[tuple] = []
                 for i, ids in enumerate(known.batch([x or "" for x in part.column(1).to_pylist()])):
                     ids += end
