@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from deedweb.llm.rows import small_batches
 from deedweb.llm.words import WordTokens
 
 def byte_letters() -> list[str]:
@@ -111,7 +112,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([part.column(0), lists_of_ids(found)], ["doc_id", "ids"])
 
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    return plain.mapInArrow(run, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    return small_batches(plain).mapInArrow(run, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -128,4 +129,4 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     plain = encoded.select("doc_id", "ids")
     kind = plain.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+    return small_batches(plain).mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deedweb.llm.hashing import BYTE_BASE, mixed, run_hashes
+from deedweb.llm.rows import small_batches
 
 #: Bytes of a window; windows of a neighbourhood; of how many neighbourhoods a selected window is the rarest.
 WINDOW, AROUND, POPULAR = 32, 64, 16
@@ -63,7 +64,7 @@ def histogram(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(BINS)), pa.array(total)], ["bin", "n"])
 
     texts = docs.select(docs[text_col].alias("text")).where("text <> ''")
-    rows = texts.mapInArrow(count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
+    rows = small_batches(texts).mapInArrow(count, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n")).collect()
     out = np.zeros(BINS, np.int64)
     for r in rows:
         out[r["bin"]] = r["n"]
@@ -163,7 +164,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["doc_id", "fingerprint"])
 
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
-    return plain.mapInArrow(run, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, fingerprint string")
+    return small_batches(plain).mapInArrow(run, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, fingerprint string")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

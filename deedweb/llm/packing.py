@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from deedweb.llm.rows import small_batches
 from deedweb.llm.words import WordTokens
 from deedweb.scratch import written
 
@@ -108,7 +109,7 @@ def token_pieces(
 
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids array<int>")
+    return small_batches(plain).mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids array<int>")
 
 
 def with_crc32(pieces: DataFrame) -> DataFrame:

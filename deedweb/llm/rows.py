@@ -24,3 +24,16 @@ def spare(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+#: Rows of an Arrow batch: texts are some kilobytes, and a batch is held in the JVM and in Python.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session hands at most ``BATCH_ROWS`` rows at once to Python from now on (Spark's default is 10,000)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df

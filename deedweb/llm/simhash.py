@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from deedweb.llm.rows import row_key, spare, text_hash
+from deedweb.llm.rows import row_key, small_batches, spare, text_hash
 from deedweb.operators.components import connected_components
 from deedweb.scratch import written
 
@@ -75,7 +75,7 @@ def simhash(
 
     plain = docs.select(docs[id_col].alias("doc_id"), text_hash(docs[text_col]).alias("text_hash"), docs[text_col].alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(prints, f"doc_id {kind}, text_hash long, fp array<long>, size int")
+    return small_batches(plain).mapInArrow(prints, f"doc_id {kind}, text_hash long, fp array<long>, size int")
 
 
 def _find(parent: np.ndarray, x: int) -> int:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deedweb.llm.hashing import MIX, WORD_BASE, mixed, run_hashes, word_hashes
-from deedweb.llm.rows import KEY_TYPE, row_key, spare
+from deedweb.llm.rows import KEY_TYPE, row_key, small_batches, spare
 from deedweb.scratch import written
 
 WINDOW, SEED_WORDS = 50, 8
@@ -71,7 +71,7 @@ def anchors(keyed: DataFrame, window: int) -> DataFrame:
                     ["key", "rank", "anchor", "zone", "first", "count"],
                 )
 
-    return keyed.mapInArrow(
+    return small_batches(keyed).mapInArrow(
         run, f"key {KEY_TYPE}, rank long, anchor long, zone long, first int, count int"
     )
 

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deedweb.llm.rows import small_batches
+
 #: The most labelled rows that the model is fitted on, and the most words that it weighs.
 MAX_LABELLED, MAX_WORDS = 20_000, 2_000
 #: ASCII that is no letter splits words.
@@ -105,7 +107,7 @@ def _word_counts(docs: DataFrame) -> DataFrame:
                 [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["row", "grade", "word", "n", "size"]
             )
 
-    return docs.select("row", "text", "grade").mapInArrow(run, "row long, grade int, word string, n int, size int")
+    return small_batches(docs).select("row", "text", "grade").mapInArrow(run, "row long, grade int, word string, n int, size int")
 
 
 def train_severity(
@@ -187,4 +189,4 @@ def toxicity(
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:text_at], *new])
 
     schema = docs.select(*columns).schema.add("expected_severity", "double").add("p_toxic", "double").add("rejected", "boolean")
-    return docs.select(*columns, docs[text_col].alias("_text")).mapInArrow(run, schema)
+    return small_batches(docs).select(*columns, docs[text_col].alias("_text")).mapInArrow(run, schema)

@@ -17,6 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from deedweb.llm.rows import small_batches
 from deedweb.scratch import written
 
 #: Bytes of records after which a frame ends, and of compressed frames after which a bundle ends.
@@ -175,7 +176,7 @@ def write_bundles(
     records_type = f"array<struct<record_id: string, {', '.join(f'{n}: long' for n in numbers)}>>"
     slim = pages.select(pages[id_col].cast("long").alias("id"), pages[url_col].alias("url"), pages[payload_col].alias("payload"))
     rows = resolve_revisits(slim).select("id", "url", "payload", "digest", "first", "revisit")
-    rows.mapInArrow(run, f"bundle_id long, content binary, records {records_type}").write.parquet(path)
+    small_batches(rows).mapInArrow(run, f"bundle_id long, content binary, records {records_type}").write.parquet(path)
 
 
 def read_bundles(bundles: DataFrame) -> DataFrame:
