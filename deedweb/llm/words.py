@@ -18,8 +18,10 @@ from deedweb.llm.hashing import span_hashes
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPLIT = regex.compile(PATTERN)
 
-#: What a generation of kept words or pretokens holds, and the longest that is kept, in characters.
-KEPT, KEPT_LENGTH = 300_000, 64
+#: What a generation of kept words holds, and of kept pretokens, and the longest that is kept, in characters. A worker
+#: process outlives its tasks, so this is memory that later stages go without. A word that is not kept is cheap if its
+#: pretokens are.
+KEPT_WORDS, KEPT_PRETOKENS, KEPT_LENGTH = 60_000, 240_000, 64
 #: White space other than the space and the newline, and the zero byte that marks where texts begin.
 OTHER_WHITE = "\0\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
 #: Marks that end words; a run of them is one pretoken.
@@ -30,13 +32,14 @@ DOUBLE = ("  ", " \n", "\n ", "\n\n")
 class Kept:
     """What keys gave, in two generations: when the new one is full, the old one goes."""
 
-    def __init__(self) -> None:
+    def __init__(self, most: int) -> None:
+        self.most = most
         self.new: dict = {}
         self.old: dict = {}
 
     def found(self, keys: list, make: Callable[[list], list[bytes]]) -> list[bytes]:
         """What each key gave; ``make`` gives what is not known yet, which is never empty."""
-        if len(self.new) > KEPT:
+        if len(self.new) > self.most:
             self.old, self.new = {k: v for k, v in self.new.items() if len(k) <= KEPT_LENGTH}, {}
         new = self.new
         out = list(map(new.get, keys, repeat(b"")))
@@ -56,7 +59,7 @@ class WordTokens:
     def __init__(self, make: Callable[[list[str]], list[bytes]], added: dict[str, int]):
         self.make, self.added = make, added
         self.cut = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
-        self.words, self.pretokens = Kept(), Kept()
+        self.words, self.pretokens = Kept(KEPT_WORDS), Kept(KEPT_PRETOKENS)
 
     def _pieces(self, pieces: list[list[str]]) -> list[bytes]:
         """The ids of texts that are split into pretokens."""
