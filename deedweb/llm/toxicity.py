@@ -124,8 +124,8 @@ def train_severity(
     """A model of the integer grades 0, 1, ... in ``labels``.
 
     At most ``max_labelled`` labelled rows are used, those with the smallest hash of their id, so the sample is the same
-    in each run; it is what the driver gets, reduced to the at most ``max_words`` words that tell grades above 0 from 0
-    best (by the two-proportion z-score over documents, of ``min_z`` or more either way). Rows without id, text or grade, and ids without a document, are
+    in each run; it is what the driver gets, reduced to the at most ``max_words`` words that mark grades above 0
+    best (by the two-proportion z-score over documents, ``min_z`` or more; words of clean groups of copies mark nothing). Rows without id, text or grade, and ids without a document, are
     left out. With one grade only, or no rows, the model says 0 for every text.
 
     ``graded_by_rate``: for labels that only say 0 or 1. Rows above 0 are split at the median rate of the words that stand
@@ -144,7 +144,7 @@ def train_severity(
         by_word = counts.groupBy("word").agg(F.count_distinct("row").alias("all"), F.count_distinct(F.when(F.col("grade") > 0, F.col("row"))).alias("up"))
         share = total["up"] / total["n"]
         z = (F.col("up") - share * F.col("all")) / F.sqrt(share * (1 - share) * F.col("all"))
-        best = by_word.where("all >= 3").select("word", z.alias("z")).where(F.abs("z") >= min_z).orderBy(F.abs("z").desc(), "word").limit(max_words).collect()
+        best = by_word.where("all >= 3").select("word", z.alias("z")).where(F.col("z") >= min_z).orderBy(F.col("z").desc(), "word").limit(max_words).collect()
         words = [r["word"] for r in best]
         top = max((r["z"] for r in best), default=0.0)
         loud = {r["word"] for r in best if r["z"] > 0.1 * top}
