@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deedweb.llm.rows import small_batches
+from deedweb.scratch import written
 
 #: The most labelled rows that the model is fitted on, and the most words that it weighs.
 MAX_LABELLED, MAX_WORDS = 20_000, 2_000
@@ -24,18 +25,20 @@ SPACED = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
 
 
 #: Lengths of the beginnings of words that are features beside the words: they stand for what inflects or compounds.
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 5, 6, 7)
+#: A feature's value is FACTOR * occurrences / words ** POWER. Between a count (power 0) and a rate (power 1): one chance
+#: hit in a short text weighs less than by its rate.
+FACTOR, POWER = 40.0, 0.8
 
 
-def features_of(text: str | None) -> tuple[Counter[str], int]:
-    """How often each word, and each beginning of a longer word, marked by a dash, is in a text; the text's words."""
-    words = (text or "").lower().encode().translate(SPACED).decode().split()
-    found = Counter(words)
-    for word, n in list(found.items()):
-        for size in BEGINNINGS:
-            if len(word) > size:
-                found[f"{word[:size]}-"] += n
-    return found, len(words)
+def features(word: str) -> list[str]:
+    """A word, and each beginning of it, marked by a dash."""
+    return [word, *(f"{word[:size]}-" for size in BEGINNINGS if len(word) > size)]
+
+
+def words_of(text: str | None) -> Counter[str]:
+    """How often each word is in a text."""
+    return Counter((text or "").lower().encode().translate(SPACED).decode().split())
 
 
 @dataclass(frozen=True)
@@ -46,9 +49,10 @@ class SeverityModel:
     thresholds: tuple[float, ...]
 
     def chances(self, text: str | None) -> np.ndarray:
-        """P(grade > k) for each k. A feature's value is log(1 + its occurrences in 1000 words)."""
-        found, size = features_of(text)
-        score = sum(self.weights[w] * np.log1p(1000 * found[w] / size) for w in found.keys() & self.weights.keys())
+        """P(grade > k) for each k."""
+        found = words_of(text)
+        hits = sum(n * self.weights.get(f, 0.0) for w, n in found.items() for f in features(w))
+        score = FACTOR * hits / max(1, found.total()) ** POWER
         return 1 / (1 + np.exp(np.clip(np.array(self.thresholds) - score, -60, 60)))
 
 
@@ -61,6 +65,13 @@ def fit_cumulative_link(
     at = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     col = np.array([place[w] for r in rows for w in r], np.int64)
     val = np.array([x for r in rows for x in r.values()])
+    return _fit(at, col, val, grades, words, penalty, steps)
+
+
+def _fit(
+    at: np.ndarray, col: np.ndarray, val: np.ndarray, grades: np.ndarray, words: list[str], penalty: float = 1e-4, steps: int = 600
+) -> SeverityModel:
+    """The same, from a sparse matrix: row ``at[i]`` has ``val[i]`` of word ``col[i]``."""
     cuts = int(grades.max())
     state = np.zeros(len(words) + cuts)
     share = [np.clip((grades > k).mean(), 1e-4, 1 - 1e-4) for k in range(cuts)]
@@ -72,42 +83,65 @@ def fit_cumulative_link(
     for step in range(1, steps + 1):
         gaps = np.exp(state[len(words) + 1 :])
         edges = np.concatenate(([-np.inf], state[len(words)] + np.concatenate(([0], np.cumsum(gaps))), [np.inf]))
-        score = np.bincount(at, val * state[col], len(rows)) if len(col) else np.zeros(len(rows))
+        score = np.bincount(at, val * state[col], len(grades)) if len(col) else np.zeros(len(grades))
         up, down = sigmoid(edges[grades + 1] - score), sigmoid(edges[grades] - score)  # P(y <= grade), P(y < grade)
         chance = np.maximum(up - down, 1e-12)
         slope_up, slope_down = up * (1 - up) / chance, down * (1 - down) / chance
-        by_score = (slope_up - slope_down) / len(rows)  # of the negative log-likelihood
+        by_score = (slope_up - slope_down) / len(grades)  # of the negative log-likelihood
         grad = np.zeros_like(state)
         if len(col):
             grad[: len(words)] = np.bincount(col, val * by_score[at], len(words))
         grad[: len(words)] += penalty * state[: len(words)]
         by_edge = np.bincount(grades, slope_down, cuts + 1)[1:] - np.bincount(grades, slope_up, cuts + 1)[:-1]
-        later = np.cumsum(by_edge[::-1])[::-1] / len(rows)
+        later = np.cumsum(by_edge[::-1])[::-1] / len(grades)
         grad[len(words)] = later[0]
         grad[len(words) + 1 :] = later[1:] * gaps
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
         rate = 0.05 * (1 - step / (steps + 1))
         state -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
     edges = state[len(words)] + np.concatenate(([0], np.cumsum(np.exp(state[len(words) + 1 :]))))
-    return SeverityModel({w: float(state[i]) for w, i in place.items()}, tuple(float(x) for x in edges))
+    return SeverityModel({w: float(x) for w, x in zip(words, state, strict=False)}, tuple(float(x) for x in edges))
 
 
-def _word_counts(docs: DataFrame) -> DataFrame:
-    """``row, grade, word, n`` for each feature of each text, and ``size``, the text's words, from ``row, text, grade``."""
+def _word_counts(labelled: DataFrame) -> DataFrame:
+    """``word, all, up``: in how many texts each feature is, and in how many of a grade above 0; one row for each batch of
+    ``row, grade, text`` that has the feature, to be added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[tuple] = []
-            for row, text, grade in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found, size = features_of(text)
-                out += ((row, grade, w, n, size) for w, n in found.items())
-            columns = list(zip(*out, strict=True)) or [[]] * 5
-            kinds = (pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["row", "grade", "word", "n", "size"]
-            )
+            both: tuple[Counter[str], Counter[str]] = Counter(), Counter()
+            for grade, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                both[grade > 0].update({f for w in words_of(text) for f in features(w)})
+            words = list(both[0] | both[1])
+            up = np.array([both[1][w] for w in words], np.int64)
+            every = up + np.array([both[0][w] for w in words], np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(every), pa.array(up)], ["word", "all", "up"])
+
+    return labelled.mapInArrow(run, "word string, all long, up long")
 
-    return small_batches(docs).select("row", "text", "grade").mapInArrow(run, "row long, grade int, word string, n int, size int")
+
+def _vectors(labelled: DataFrame, words: list[str]) -> DataFrame:
+    """``row, grade, size``, the text's words, ``at array<int>, n array<int>``: which of ``words`` a text has, how often."""
+    place = {w: i for i, w in enumerate(words)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, at, n = [], [], []
+            for text in batch.column(2).to_pylist():
+                words = words_of(text)
+                found: Counter[int] = Counter()
+                for w, k in words.items():
+                    for f in features(w):
+                        if f in place:
+                            found[place[f]] += k
+                sizes.append(words.total())
+                at.append(list(found.keys()))
+                n.append(list(found.values()))
+            lists = pa.list_(pa.int32())
+            columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(at, lists), pa.array(n, lists)]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "grade", "size", "at", "n"])
+
+    return labelled.mapInArrow(run, "row long, grade int, size int, at array<int>, n array<int>")
 
 
 def train_severity(
@@ -124,9 +158,10 @@ def train_severity(
     """A model of the integer grades 0, 1, ... in ``labels``.
 
     At most ``max_labelled`` labelled rows are used, those with the smallest hash of their id, so the sample is the same
-    in each run; it is what the driver gets, reduced to the at most ``max_words`` words that tell grades above 0 from 0
-    best (by the two-proportion z-score over documents, of ``min_z`` or more either way). Rows without id, text or grade, and ids without a document, are
-    left out. With one grade only, or no rows, the model says 0 for every text.
+    in each run. The driver gets a short vector for each of them, over the at most ``max_words`` words and beginnings that
+    tell grades above 0 from 0 best (by the two-proportion z-score over documents, of ``min_z`` or more either way). Rows
+    without id, text or grade, and ids without a document, are left out; of texts that share an id, that which sorts last
+    is used. With one grade only, or no rows, the model says 0 for every text.
 
     ``graded_by_rate``: for labels that only say 0 or 1. Rows above 0 are split at the median rate of the words that stand
     out most (z-score above a tenth of the highest): the lower half has grade 1, the rest grade 2.
@@ -135,36 +170,26 @@ def train_severity(
     known = known.where("row is not null and grade >= 0").groupBy("row").agg(F.max("grade").alias("grade"))
     sample = known.orderBy(F.xxhash64("row"), "row").limit(max_labelled)
     texts = docs.select(docs[id_col].cast("long").alias("row"), docs[text_col].alias("text")).where("text is not null")
-    counts = _word_counts(texts.join(F.broadcast(sample), "row")).persist()
-    try:
-        seen = counts.groupBy("row").agg(F.max("grade").alias("grade"))
-        total = seen.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.col("grade") > 0).cast("int")), F.lit(0)).alias("up")).first()
-        if not 0 < total["up"] < total["n"]:
-            return SeverityModel({}, ())
-        by_word = counts.groupBy("word").agg(F.count_distinct("row").alias("all"), F.count_distinct(F.when(F.col("grade") > 0, F.col("row"))).alias("up"))
-        share = total["up"] / total["n"]
-        z = (F.col("up") - share * F.col("all")) / F.sqrt(share * (1 - share) * F.col("all"))
-        best = by_word.where("all >= 3").select("word", z.alias("z")).where(F.abs("z") >= min_z).orderBy(F.abs("z").desc(), "word").limit(max_words).collect()
-        words = [r["word"] for r in best]
-        top = max((r["z"] for r in best), default=0.0)
-        loud = {r["word"] for r in best if r["z"] > 0.1 * top}
-        chosen = F.broadcast(counts.sparkSession.createDataFrame([(w,) for w in words], "word string"))
-        table = counts.join(chosen, "word", "left_semi").select("row", "word", "n", "size").collect()
-        graded = {r["row"]: r["grade"] for r in seen.collect()}
-    finally:
-        counts.unpersist()
-    rows: dict[int, dict[str, float]] = {row: {} for row in graded}
-    rate = dict.fromkeys(graded, 0.0)
-    for r in table:
-        rows[r["row"]][r["word"]] = float(np.log1p(1000 * r["n"] / r["size"]))
-        rate[r["row"]] += r["n"] / r["size"] * (r["word"] in loud)
-    order = sorted(rows)
-    grades = np.array([graded[x] for x in order])
+    labelled = texts.join(F.broadcast(sample), "row").groupBy("row").agg(F.max("grade").alias("grade"), F.max("text").alias("text"))
+    labelled = small_batches(written(labelled, "labelled"))
+    total = labelled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.col("grade") > 0).cast("int")), F.lit(0)).alias("up")).first()
+    if not 0 < total["up"] < total["n"]:
+        return SeverityModel({}, ())
+    by_word = _word_counts(labelled).groupBy("word").agg(F.sum("all").alias("all"), F.sum("up").alias("up")).where("all >= 3")
+    share = total["up"] / total["n"]
+    z = (F.col("up") - share * F.col("all")) / F.sqrt(share * (1 - share) * F.col("all"))
+    best = by_word.select("word", z.alias("z")).where(F.abs("z") >= min_z).orderBy(F.abs("z").desc(), "word").limit(max_words).collect()
+    words = [r["word"] for r in best]
+    vectors = _vectors(labelled, words).toArrow().sort_by("row")
+    grades, sizes = vectors["grade"].to_numpy(), np.maximum(1, vectors["size"].to_numpy())
+    lists = vectors["at"].combine_chunks()
+    at = np.repeat(np.arange(len(grades)), np.diff(lists.offsets.to_numpy()))
+    col, n = lists.flatten().to_numpy(), vectors["n"].combine_chunks().flatten().to_numpy()
     if graded_by_rate:
-        rates = np.array([rate[x] for x in order])
-        middle = np.median(rates[grades > 0])
-        grades = np.where(grades > 0, 1 + (rates > middle), 0)
-    return fit_cumulative_link([rows[x] for x in order], grades, words)
+        loud = np.array([r["z"] for r in best]) > 0.1 * max((r["z"] for r in best), default=0.0)
+        rates = np.bincount(at, n * loud[col], len(grades)) / sizes if len(col) else np.zeros(len(grades))
+        grades = np.where(grades > 0, 1 + (rates > np.median(rates[grades > 0])), 0)
+    return _fit(at, col, FACTOR * n / sizes[at] ** POWER, grades, words)
 
 
 def toxicity(
