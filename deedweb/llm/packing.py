@@ -27,6 +27,10 @@ from deedweb.scratch import written
 LIMIT = 2048
 #: Items that one call of best fit holds at most.
 CHUNK = 1 << 16
+#: Texts that are encoded at once: their words are told apart together.
+TEXTS = 250
+
+
 class Encoder:
     """A tokenizers file. Pretokens that are new to a worker go to the library together, a line each. Files of another kind
     than byte-level with the usual pattern encode each text as a whole."""
@@ -77,16 +81,19 @@ def cuts(length: int, limit: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(
-    docs: DataFrame, path: str, limit: int = LIMIT, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, path: str, limit: int = LIMIT, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text", crc32: bool = False
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids array<int>`` for each piece of each row's text, whose ids end with ``end_id``.
-    A null text counts as empty, so it has one piece of one id."""
+    A null text counts as empty, so it has one piece of one id. With ``crc32``, ``ids_crc32`` (of the ids as little-endian
+    unsigned 32-bit integers) takes the place of ``ids``, in the same pass: a second one would hold a second Python worker
+    for each task."""
+    names = ["doc_id", "piece", "start", "length", "ids_crc32" if crc32 else "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, end = encoder(path), end_id.to_bytes(4, "little")
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
                 rows: list[tuple] = []
                 for i, ids in enumerate(known.batch([x or "" for x in part.column(1).to_pylist()])):
                     ids += end
@@ -95,35 +102,18 @@ def token_pieces(
                         for k, (start, n) in enumerate(cuts(len(ids) // 4, limit))
                     )
                 which, piece, start, n, ids = zip(*rows, strict=True)
-                ends = pa.array(np.cumsum([0, *n]), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0).take(pa.array(which)),
-                        pa.array(piece, pa.int32()),
-                        pa.array(start, pa.int64()),
-                        pa.array(n, pa.int64()),
-                        pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32())),
-                    ],
-                    ["doc_id", "piece", "start", "length", "ids"],
-                )
+                if crc32:
+                    last = pa.array(map(zlib.crc32, ids), pa.int64())
+                else:
+                    ends = pa.array(np.cumsum([0, *n]), pa.int32())
+                    last = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), "<i4"), pa.int32()))
+                columns = [part.column(0).take(pa.array(which)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(n, pa.int64()), last]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     kind = plain.schema["doc_id"].dataType.simpleString()
-    return small_batches(plain).mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids array<int>")
-
-
-def with_crc32(pieces: DataFrame) -> DataFrame:
-    """The pieces with ``ids_crc32`` (of the ids as little-endian unsigned 32-bit integers) in place of ``ids``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("ids"))
-            flat, ends = ids.flatten().to_numpy().astype("<i4"), ids.offsets.to_numpy() - ids.offsets[0].as_py()
-            crcs = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield batch.drop_columns(["ids"]).append_column("ids_crc32", pa.array(crcs, pa.int64()))
-
-    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in pieces.drop("ids").schema]
-    return pieces.mapInArrow(run, ", ".join([*kinds, "ids_crc32 long"]))
+    last = "ids_crc32 long" if crc32 else "ids array<int>"
+    return small_batches(plain).mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, {last}")
 
 
 def best_fit(lengths: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -219,6 +209,6 @@ def pack(
     null ids are packed like others. Other columns are not read; an empty table gives an empty result. The tokenizer file
     at ``path`` must be readable on every executor.
     """
-    pieces = with_crc32(token_pieces(docs, path, limit, end_id, id_col, text_col))
+    pieces = token_pieces(docs, path, limit, end_id, id_col, text_col, crc32=True)
     pieces = written(pieces.withColumn("item", F.monotonically_increasing_id()), "pieces")
     return pieces.join(place(pieces, limit, slack), "item").drop("item")
