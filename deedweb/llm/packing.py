@@ -28,7 +28,7 @@ LIMIT = 2048
 #: Items that one call of best fit holds at most.
 CHUNK = 1 << 16
 #: Texts that are encoded at once: their words are told apart together.
-TEXTS = 250
+TEXTS = 1000
 
 
 class Encoder:

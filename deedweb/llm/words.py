@@ -21,7 +21,7 @@ SPLIT = regex.compile(PATTERN)
 #: What a generation of kept words holds, and of kept pretokens, and the longest that is kept, in characters. A worker
 #: process outlives its tasks, so this is memory that later stages go without. A word that is not kept is cheap if its
 #: pretokens are.
-KEPT_WORDS, KEPT_PRETOKENS, KEPT_LENGTH = 60_000, 240_000, 64
+KEPT_WORDS, KEPT_PRETOKENS, KEPT_LENGTH = 300_000, 300_000, 64
 #: White space other than the space and the newline, and the zero byte that marks where texts begin.
 OTHER_WHITE = "\0\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
 #: Marks that end words; a run of them is one pretoken.
