@@ -41,7 +41,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, by SimHash over five-word shingles."""
+    """One document of each group of near copies, by Jaccard similarity of five-word shingles with SimHash candidates."""
     return simhash.keep_one(docs).select(*COLUMNS)
 
 

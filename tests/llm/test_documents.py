@@ -187,6 +187,74 @@ def test_near_copies_of_five_word_shingles(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == list(range(30))
 
 
+def shingle_set(text):
+    words = (text or "").encode().lower().split()
+    return frozenset(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def brute_near(rows, similarity=0.8):
+    """The component id of each row, by the Jaccard similarity of all pairs of distinct sets."""
+    sets = [shingle_set(t) for _, t in rows]
+    order = sorted(set(sets), key=len)
+    parent = {x: x for x in order}
+
+    def find(x):
+        while parent[x] is not x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(order):
+        for b in order[i + 1 :]:
+            if len(a) < similarity * len(b) - 1e-9:
+                break
+            shared = len(a & b)
+            if shared >= similarity * (len(a) + len(b) - shared) - 1e-9:
+                parent[find(a)] = find(b)
+    least = defaultdict(lambda: None)
+    for (d, _), x in zip(rows, sets, strict=True):
+        if d is not None and (least[find(x)] is None or d < least[find(x)]):
+            least[find(x)] = d
+    return [least[find(x)] for x in sets]
+
+
+def at_jaccard(rng, n, similarity, name):
+    """Two texts of about n five-word shingles each, of which the first ones are shared."""
+    words = [f"{name}{i}" for i in rng.permutation(n + 4)]
+    shared = round(2 * n * similarity / (1 + similarity))
+    return " ".join(words), " ".join([*words[: shared + 4], *(f"x{w}" for w in words[shared + 4 :])])
+
+
+def test_near_copies_by_exact_jaccard(spark):
+    """Pairs at 0.7 stay, pairs at 0.8 and above go, and a chain below the threshold does not hold together."""
+    rng = np.random.default_rng(6)
+    rows, near = [], set()
+    for k, similarity in enumerate((0.7, 0.78, 0.8, 0.85)):
+        for i in range(25):
+            a, b = at_jaccard(rng, 360, similarity, f"p{k}-{i}-")
+            rows += [(len(rows), a), (len(rows) + 1, b)]
+            if similarity >= 0.8:
+                near.add(len(rows) - 1)
+    for i in range(10):  # near copies and a text at 0.7 of them, in one candidate component
+        a, b = at_jaccard(rng, 360, 0.7, f"m{i}-")
+        rows += [(len(rows), a), (len(rows) + 1, b), (len(rows) + 2, a + " end"), (len(rows) + 3, b + " end")]
+        near |= {len(rows) - 1, len(rows) - 2}
+    want = brute_near(rows)
+    assert {d for (d, _), w in zip(rows, want, strict=True) if d != w} == near
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for tile in (8, 4096):
+        got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(df, tile=tile).collect()}
+        assert got == {d: w for (d, _), w in zip(rows, want, strict=True)}
+    assert {r["doc_id"] for r in simhash.keep_one(df).collect()} == {d for d, _ in rows} - near
+
+
+@pytest.mark.parametrize("which", ["docs"])
+def test_near_copies_of_tables(request, which):
+    df = request.getfixturevalue(which)
+    rows = rows_of(df)
+    got = counted((r["doc_id"], r["component_id"]) for r in simhash.near_copies(df).collect())
+    assert got == counted(zip((d for d, _ in rows), brute_near(rows), strict=True))
+
+
 def test_keep_one_of_cases(cases):
     got = [(r["doc_id"], r["text"]) for r in simhash.keep_one(cases).collect()]
     texts = [t for _, t in got]
