@@ -56,15 +56,17 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
 
 
 def simhash(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, lanes: int = 1
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, lanes: int = 1, distinct: bool = False
 ) -> DataFrame:
     """``doc_id, text_hash, fp`` (``lanes`` longs), ``size`` (number of shingles), ``set_hash`` (of the set of shingles) for
-    each row. A null text counts as empty; a text without words has fingerprint zero."""
+    each row. A null text counts as empty; a text without words has fingerprint zero. With ``distinct``, a repeated
+    shingle counts once in the fingerprint."""
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_hashes(x.as_py(), shingle) for x in batch.column(2)]
-            bits = np.array([fingerprint(h, lanes) for h in found], np.uint64).reshape(-1).view(np.int64)
+            sets = [np.unique(h) for h in found]
+            bits = np.array([fingerprint(h, lanes) for h in (sets if distinct else found)], np.uint64).reshape(-1).view(np.int64)
             starts = np.arange(0, len(bits) + 1, lanes, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -72,7 +74,7 @@ def simhash(
                     batch.column(1),
                     pa.ListArray.from_arrays(pa.array(starts), pa.array(bits)),
                     pa.array([len(h) for h in found], pa.int32()),
-                    pa.array([xxhash.xxh64_intdigest(np.unique(h).tobytes(), SEED) for h in found], pa.uint64()).view(pa.int64()),
+                    pa.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], pa.uint64()).view(pa.int64()),
                 ],
                 ["doc_id", "text_hash", "fp", "size", "set_hash"],
             )
@@ -340,7 +342,7 @@ def near_copies(
     Equal sets are one node, whatever the number of their documents. Texts without words are alike. Null ids never become a
     component id unless a component has no other; repeated rows are repeated in the result.
     """
-    prints = written(simhash(docs, id_col, text_col, shingle, lanes), "prints")
+    prints = written(simhash(docs, id_col, text_col, shingle, lanes, distinct=True), "prints")
     key = F.struct(F.col("doc_id").cast("long").alias("id"), "text_hash")
     nodes = prints.groupBy(F.col("set_hash").alias("node")).agg(
         F.min("doc_id").alias("least"), F.min(F.struct(key.alias("key"), "fp", "size")).alias("first")

@@ -247,6 +247,19 @@ def test_near_copies_by_exact_jaccard(spark):
     assert {r["doc_id"] for r in simhash.keep_one(df).collect()} == {d for d, _ in rows} - near
 
 
+def test_repeated_shingles_count_once(spark):
+    """A run of equal tokens decides nothing: neither ties unrelated texts nor parts texts that are alike without it."""
+    rng = np.random.default_rng(7)
+    (a, _), (b, _), (c, _) = (at_jaccard(rng, 400, 0.8, x) for x in "abc")
+    rule = " ".join("-" * 60)
+    rows = [(1, f"{a} {rule}"), (2, f"{b} {rule}"), (3, f"{c} {'x ' * 900}"), (4, f"{c} {'y ' * 900}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = {r["doc_id"]: np.array(r["fp"], np.int64).view(np.uint64) for r in simhash.simhash(df, lanes=4, distinct=True).collect()}
+    assert np.bitwise_count(fps[1] ^ fps[2]).sum() > 90
+    assert brute_near(rows) == [1, 2, 3, 3]
+    assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == [1, 2, 3]
+
+
 @pytest.mark.parametrize("which", ["docs"])
 def test_near_copies_of_tables(request, which):
     df = request.getfixturevalue(which)
