@@ -58,7 +58,7 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> np.ndarray:
 def simhash(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, lanes: int = 1, distinct: bool = False
 ) -> DataFrame:
-    """``doc_id, text_hash, fp`` (``lanes`` longs), ``size`` (number of shingles), ``set_hash`` (of the set of shingles) for
+    """``doc_id, text_hash, fp`` (``lanes`` longs), ``size`` (number of distinct shingles), ``set_hash`` (of the set of shingles) for
     each row. A null text counts as empty; a text without words has fingerprint zero. With ``distinct``, a repeated
     shingle counts once in the fingerprint."""
 
@@ -73,7 +73,7 @@ def simhash(
                     batch.column(0),
                     batch.column(1),
                     pa.ListArray.from_arrays(pa.array(starts), pa.array(bits)),
-                    pa.array([len(h) for h in found], pa.int32()),
+                    pa.array([len(h) for h in sets], pa.int32()),
                     pa.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in sets], pa.uint64()).view(pa.int64()),
                 ],
                 ["doc_id", "text_hash", "fp", "size", "set_hash"],
@@ -236,8 +236,8 @@ def simhash_components(
 
     The defaults take shingles of five words and 256 bits. Two documents of Jaccard similarity 0.8 differ in 38.8 bits
     on average; the radius adds the spread of that figure, so that nearly all such pairs link, while texts that share
-    nothing differ in 128 bits. With ``ratio``, a link also needs shingle counts of that ratio at least, which the
-    similarity implies.
+    nothing differ in 128 bits. With ``ratio``, a link also needs numbers of distinct shingles of that ratio at least,
+    which the similarity implies.
 
     Equal fingerprints and sizes are compared once, whatever the number of their documents. A null text counts as empty;
     texts without words have fingerprint zero and link like any other. Null ids never become a component id unless a

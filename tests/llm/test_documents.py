@@ -260,7 +260,15 @@ def test_repeated_shingles_count_once(spark):
     assert sorted(r["doc_id"] for r in simhash.keep_one(df).collect()) == [1, 2, 3]
 
 
-@pytest.mark.parametrize("which", ["docs"])
+def test_doubled_text(spark):
+    """A text and the same text twice have nearly equal sets of shingles."""
+    text, _ = at_jaccard(np.random.default_rng(8), 300, 0.8, "t")
+    df = spark.createDataFrame([(1, text), (2, f"{text} {text}")], "doc_id long, text string")
+    assert [r["size"] for r in simhash.simhash(df).orderBy("doc_id").collect()] == [300, 304]
+    assert [r["doc_id"] for r in simhash.keep_one(df).collect()] == [1]
+
+
+@pytest.mark.parametrize("which", ["docs", "cases"])
 def test_near_copies_of_tables(request, which):
     df = request.getfixturevalue(which)
     rows = rows_of(df)
