@@ -80,7 +80,7 @@ def _absolute(url: Column, link: Column) -> Column:
     folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     slash = F.when(F.endswith(folder, F.lit("/")), folder).otherwise(F.concat(folder, F.lit("/")))
     return (
-        F.when(link.contains("://"), link)
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), link)
         .when(F.startswith(link, F.lit("//")), F.concat(scheme, link))
         .when(F.startswith(link, F.lit("/")), F.concat(root, link))
         .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:|^#|^$"), None)

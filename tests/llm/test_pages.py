@@ -6,7 +6,7 @@ import pytest
 
 from deedweb.llm import warc
 from deedweb.llm.queries import URL_RULES
-from deedweb.llm.url_filters import filter_urls, rule_table
+from deedweb.llm.url_filters import alias_edges, filter_urls, rule_table
 from deedweb.scratch import fresh_path
 
 PAGES = "page_id long, url string, html string, host string, _digest string"
@@ -68,6 +68,23 @@ def test_filter_urls(spark):
     assert filter_urls(pages.where("false"), rule_table(spark, URL_RULES)).count() == 0
 
 
+def test_url_inside_a_relative_link(spark):
+    """A link is absolute only if it begins with a scheme; an address in its query does not count."""
+    urls = [
+        (1, "http://free.org/a", refresh("/go?to=https://example.com/en/")),
+        (2, "http://free.org/go?to=https://example.com/en/", link("http://x.net/es/")),
+        (3, "http://fine.org/a", refresh("/go?to=https://example.com/en/")),
+        (4, "http://free.org/b/c", refresh("go?to=https://example.com/en/")),
+        (5, "http://x.net/es/", None),
+    ]
+    pages = spark.createDataFrame([(*x, "h", "d") for x in urls], PAGES)
+    got = {r["page_id"]: r["verdict"] for r in filter_urls(pages, rule_table(spark, URL_RULES)).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "block"}
+    edges = {tuple(r) for r in alias_edges(pages).collect()}
+    assert ("http://free.org/a", "http://free.org/go?to=https://example.com/en/") in edges
+    assert ("http://free.org/b/c", "http://free.org/b/go?to=https://example.com/en/") in edges
+
+
 BIG, SAME = "é" * 300_000, "same payload " * 20
 HTML = [
     (1, "http://a/", "x" * 99),
