@@ -8,17 +8,20 @@ skipped.
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from deedweb.llm.rows import small_batches
+from deedweb.llm.rows import blocks, small_batches
 from deedweb.llm.words import WordTokens
 
+
 def byte_letters() -> list[str]:
     """The printable stand-in for each byte: itself where it is printable Latin-1, else the next from U+0100 on."""
     plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -42,42 +45,41 @@ class Vocabulary:
         for token, i in self.added.items():
             self.text[i] = token.encode()
         self.byte_ids = [ids[x] for x in letters]
-        self.ranks: dict[int, int] = {}
-        self.made: list[int] = []
+        #: For each left symbol, the right symbols that it joins with: rank of the merge and symbol that it makes.
+        self.merges: list[dict[int, tuple[int, int]]] = [{} for _ in self.text]
         for rank, pair in enumerate(spec["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.ranks.setdefault(ids[a] << 32 | ids[b], rank)
-            self.made.append(ids[a + b])
-        self.words = WordTokens(lambda pieces: [np.array(self.merged(x.encode()), "<u4").tobytes() for x in pieces], self.added)
+            self.merges[ids[a]].setdefault(ids[b], (rank, ids[a + b]))
+        self.words = WordTokens(lambda piece: array("I", self.merged(piece.encode())).tobytes(), self.added)
 
     def merged(self, piece: bytes) -> list[int]:
         """The ids of one pretoken."""
         symbols = [self.byte_ids[b] for b in piece]
-        n, ranks = len(symbols), self.ranks
+        n, merges = len(symbols), self.merges
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        queue = [
-            rank << 32 | i for i in range(n - 1) if (rank := ranks.get(symbols[i] << 32 | symbols[i + 1])) is not None
-        ]
+        queue = []
+        for i, (left, right) in enumerate(pairwise(symbols)):
+            if found := merges[left].get(right):
+                queue.append((found[0], i, left, right, found[1]))
         heapify(queue)
         while queue:
-            top = heappop(queue)
-            rank, i = top >> 32, top & 0xFFFFFFFF
+            _, i, left, right, made = heappop(queue)
             j = after[i]
-            if symbols[i] < 0 or j >= n or ranks.get(symbols[i] << 32 | symbols[j]) != rank:
+            if symbols[i] != left or j >= n or symbols[j] != right:
                 continue  # stale: a neighbour has changed
-            symbols[i], symbols[j] = self.made[rank], -1
+            symbols[i], symbols[j] = made, -1
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (rank := ranks.get(symbols[i] << 32 | symbols[k])) is not None:
-                    heappush(queue, rank << 32 | i)
-            if (h := before[i]) >= 0 and (rank := ranks.get(symbols[h] << 32 | symbols[i])) is not None:
-                heappush(queue, rank << 32 | h)
-        return [x for x in symbols if x >= 0]
+                if found := merges[made].get(symbols[k]):
+                    heappush(queue, (found[0], i, made, symbols[k], found[1]))
+            if (h := before[i]) >= 0 and (found := merges[symbols[h]].get(made)):
+                heappush(queue, (found[0], h, symbols[h], made, found[1]))
+        return [x for x in symbols if x >= 0] if -1 in symbols else symbols
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        return self.words.encode(texts)
+    def encode(self, text: str) -> bytes:
+        """The ids of a text as little-endian unsigned 32-bit integers."""
+        return self.words.encode(text)
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
@@ -99,17 +101,15 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
     """``doc_id, ids array<int>`` for each row, as the tokenizer file at ``path`` encodes its whole text, with its added
     tokens recognised and none put around it. The path must be readable on every executor.
 
-    A null or empty text has no ids. Null ids and repeated rows pass through; other columns are not read; an empty table
-    gives an empty result.
+    A null or empty text has no ids. A very long text is split into parts between words. Null ids and repeated rows pass
+    through; ids may be of any type; other columns are not read; an empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                found = known.encode([x or "" for x in part.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([part.column(0), lists_of_ids(found)], ["doc_id", "ids"])
+        for part in blocks(batches, 1):
+            found = [known.encode(x.as_py() or "") for x in part.column(1)]
+            yield pa.RecordBatch.from_arrays([part.column(0), lists_of_ids(found)], ["doc_id", "ids"])
 
     plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
     return small_batches(plain).mapInArrow(run, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, ids array<int>")
@@ -121,12 +121,30 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                texts = [known.decode(x.values.to_pylist() if x.is_valid else []) for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+        for part in blocks(batches, 1):
+            texts = [known.decode(x.values.to_pylist() if x.is_valid else []) for x in part.column(1)]
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
 
     plain = encoded.select("doc_id", "ids")
     kind = plain.schema["doc_id"].dataType.simpleString()
     return small_batches(plain).mapInArrow(run, f"doc_id {kind}, ids array<int>, text string")
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_tokens, ids`` (binary: little-endian unsigned 32-bit integers), ``text``: what ``encode`` gives for each
+    row and what ``decode`` makes of it, in one pass, so that a task holds one Python worker and one vocabulary. Rows are
+    handled as by ``encode``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary(path)
+        for part in blocks(batches, 1):
+            found = [known.encode(x.as_py() or "") for x in part.column(1)]
+            texts = [known.decode(np.frombuffer(x, "<u4").tolist()) for x in found]
+            n = pa.array([len(x) // 4 for x in found], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), n, pa.array(found, pa.binary()), pa.array(texts, pa.string())], ["doc_id", "n_tokens", "ids", "text"]
+            )
+
+    plain = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    kind = plain.schema["doc_id"].dataType.simpleString()
+    return small_batches(plain).mapInArrow(run, f"doc_id {kind}, n_tokens long, ids binary, text string")

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import numpy as np
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,24 +80,9 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def _ids_digest(decoded: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(1)
-            flat, ends = np.asarray(ids.flatten()).astype("<u4"), np.asarray(ids.offsets) - ids.offsets[0].as_py()
-            found = [hashlib.sha256(flat[a:b].tobytes()).hexdigest() for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            n = pa.array(np.diff(ends).astype(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), n, pa.array(found, pa.string()), batch.column(2)], ["doc_id", "n_tokens", "ids_sha256", "text"]
-            )
-
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, text string")
-
-
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = public_tokenizers.path(TOKENIZER)
-    found = _ids_digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), path), path))
-    return found.select("doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+    found = bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -1,137 +1,91 @@
-"""Tokens of texts by way of their words.
+"""Tokens of texts by way of their pretokens.
 
-Byte-level tokenizers split a text into pretokens by a pattern and encode each pretoken by itself. Words come again and
-again, so what they gave is kept, up to a stated number, and only new pretokens are encoded.
+Byte-level tokenizers split a text into pretokens by a pattern and encode each pretoken by itself. Pretokens come again and
+again, so what they gave is kept, up to a stated number of bytes, and only new ones are encoded. They are looked up by
+their characters, never by a hash alone.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from itertools import islice, repeat
+from collections.abc import Callable, Iterator
 
-import numpy as np
 import regex
 
-from deedweb.llm.hashing import span_hashes
-
 #: The pattern that byte-level vocabularies of this kind are split by.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPLIT = regex.compile(PATTERN)
 
-#: What a generation of kept words holds, and of kept pretokens, and the longest that is kept, in characters. A worker
-#: process outlives its tasks, so this is memory that later stages go without. A word that is not kept is cheap if its
-#: pretokens are.
-KEPT_WORDS, KEPT_PRETOKENS, KEPT_LENGTH = 300_000, 300_000, 64
-#: White space other than the space and the newline, and the zero byte that marks where texts begin.
-OTHER_WHITE = "\0\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
-#: Marks that end words; a run of them is one pretoken.
-MARKS = ",.;:!?%&$#*|()-\""
-DOUBLE = ("  ", " \n", "\n ", "\n\n")
-
-
-class Kept:
-    """What keys gave, in two generations: when the new one is full, the old one goes."""
-
-    def __init__(self, most: int) -> None:
-        self.most = most
-        self.new: dict = {}
-        self.old: dict = {}
-
-    def found(self, keys: list, make: Callable[[list], list[bytes]]) -> list[bytes]:
-        """What each key gave; ``make`` gives what is not known yet, which is never empty."""
-        if len(self.new) > self.most:
-            self.old, self.new = {k: v for k, v in self.new.items() if len(k) <= KEPT_LENGTH}, {}
-        new = self.new
-        out = list(map(new.get, keys, repeat(b"")))
-        if all(out):
-            return out
-        missing = {k for k, v in zip(keys, out, strict=True) if not v}
-        new.update((k, self.old[k]) for k in missing & self.old.keys())
-        unknown = [k for k in missing if k not in new]
-        new.update(zip(unknown, make(unknown), strict=True))
-        return [v or new[k] for k, v in zip(keys, out, strict=True)]
+#: Bytes that a generation of kept pretokens holds, and the longest that is kept, in characters. A worker process outlives
+#: its tasks, so twice this is memory that later stages go without.
+KEPT_BYTES, KEPT_LENGTH = 64 << 20, 64
+#: What an entry takes beside its characters and ids: two objects and their place in a table.
+ENTRY = 180
+#: Characters of a text that are split at once.
+SEGMENT = 1 << 20
+
+
+class Kept(dict):
+    """What pretokens gave, in two generations: when the new one is full, the old one goes."""
+
+    def __init__(self, make: Callable[[str], bytes], most: int = KEPT_BYTES) -> None:
+        super().__init__()
+        self.make, self.most, self.held = make, most, 0
+        self.old: dict[str, bytes] = {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.old.get(key) or self.make(key)
+        if len(key) <= KEPT_LENGTH:
+            self.held += ENTRY + len(key) + len(value)
+            if self.held > self.most:
+                self.old, self.held = dict(self), 0
+                self.clear()
+            self[key] = value
+        return value
 
 
 class WordTokens:
-    """``make`` encodes pretokens: little-endian unsigned 32-bit ids. ``added`` has the ids of strings that are tokens
+    """``make`` encodes a pretoken: little-endian unsigned 32-bit ids. ``added`` has the ids of strings that are tokens
     wherever they stand."""
 
-    def __init__(self, make: Callable[[list[str]], list[bytes]], added: dict[str, int]):
-        self.make, self.added = make, added
-        self.cut = regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
-        self.words, self.pretokens = Kept(KEPT_WORDS), Kept(KEPT_PRETOKENS)
-
-    def _pieces(self, pieces: list[list[str]]) -> list[bytes]:
-        """The ids of texts that are split into pretokens."""
-        found = iter(self.pretokens.found([p for x in pieces for p in x], self.make))
-        return [b"".join(islice(found, len(x))) for x in pieces]
-
-    def _words(self, words: list[bytes]) -> list[bytes]:
-        return self._pieces([_pretokens(w.decode()) for w in words])
-
-    def plain(self, texts: list[str]) -> list[bytes]:
-        """The ids of texts without added tokens.
-
-        White space between two other characters begins a pretoken whatever stands before it, so where white space
-        never meets white space, each word may be encoded by itself with the space or the newline before it. The words of
-        all such texts are told apart by hashes of their bytes, and each is looked up once. Other texts are split as a whole.
-        """
-        regular = [i for i, x in enumerate(texts) if _regular(x)]
-        odd = sorted({*range(len(texts))} - {*regular})
-        out = dict(zip(odd, self._pieces([SPLIT.findall(texts[i]) for i in odd]), strict=True))
-        if regular:
-            data = "".join(f"\0{texts[i]}" for i in regular).encode()
-            out |= zip(regular, self._by_word(data), strict=True)
-        return [out[i] for i in range(len(texts))]
-
-    def _by_word(self, data: bytes) -> list[bytes]:
-        """The ids of texts in UTF-8, each with a zero byte before it."""
-        raw = np.frombuffer(data, np.uint8)
-        starts = np.flatnonzero((raw == 32) | (raw == 10) | (raw == 0))
-        ends = np.append(starts[1:], len(raw))
-        _, first, which = np.unique(span_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-        words = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-        found = self.words.found(words, self._words)
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        ids, places = np.frombuffer(b"".join(found), "<u4"), np.cumsum(sizes) - sizes
-        counts = sizes[which]
-        after = np.cumsum(counts)
-        flat = ids[np.repeat(places[which] - (after - counts), counts) + np.arange(after[-1])].tobytes()
-        last = np.append(np.flatnonzero(raw[starts] == 0)[1:], len(starts)) - 1
-        bounds = [0, *(4 * after[last]).tolist()]
-        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text."""
-        if not any(a in x for x in texts for a in self.added):
-            return self.plain(texts)
-        pieces, spots = [], []
-        for i, text in enumerate(texts):
-            at = 0
-            for m in self.cut.finditer(text):
-                pieces.append(text[at : m.start()])
-                spots += [(i, len(pieces) - 1), (i, m[0])]
-                at = m.end()
-            pieces.append(text[at:])
-            spots.append((i, len(pieces) - 1))
-        found, out = self.plain(pieces), [[] for _ in texts]
-        for i, piece in spots:
-            out[i].append(found[piece] if isinstance(piece, int) else self.added[piece].to_bytes(4, "little"))
-        return [b"".join(x) for x in out]
-
-
-def _pretokens(word: str) -> list[str]:
-    """The pretokens of a word with the white space before it; a zero byte stands for none."""
-    if word[0] != " ":
-        return SPLIT.findall(word.removeprefix("\0"))
-    stem = word.rstrip(MARKS)
-    if stem[1:].isalpha():
-        return [stem, word[len(stem) :]] if len(stem) < len(word) else [stem]
-    return SPLIT.findall(word)
-
-
-def _regular(text: str) -> bool:
-    """Whether no white space stands at an end or beside other white space, and there is none but spaces and newlines."""
-    if not text or text[0] in " \n" or text[-1] in " \n":
-        return False
-    return not any(x in text for x in DOUBLE) and not any(x in text for x in OTHER_WHITE)
+    def __init__(self, make: Callable[[str], bytes], added: dict[str, int]):
+        self.added = {k: v.to_bytes(4, "little") for k, v in added.items()}
+        self.cut = cutter(added)
+        self.kept = Kept(make)
+
+    def encode(self, text: str) -> bytes:
+        """The ids of a text."""
+        return b"".join([self.added[x] if special else self._plain(x) for x, special in pieces(text, self.added, self.cut)])
+
+    def _plain(self, text: str) -> bytes:
+        return b"".join(map(self.kept.__getitem__, SPLIT.findall(text)))
+
+
+def cutter(added: dict[str, int]) -> regex.Pattern:
+    """A pattern that finds added tokens, the longest first."""
+    return regex.compile("|".join(map(regex.escape, sorted(added, key=len, reverse=True))) or r"(?!)")
+
+
+def pieces(text: str, added: dict, cut: regex.Pattern) -> Iterator[tuple[str, bool]]:
+    """The parts of a text that may be encoded apart; those that are added tokens are marked."""
+    at = 0
+    for m in cut.finditer(text) if any(a in text for a in added) else ():
+        yield from ((x, False) for x in segments(text[at : m.start()]))
+        yield m[0], True
+        at = m.end()
+    yield from ((x, False) for x in segments(text[at:] if at else text))
+
+
+def segments(text: str) -> Iterator[str]:
+    """A long text in parts of ``SEGMENT`` characters or a little more. A space between two characters that are no white
+    space begins a pretoken whatever stands before it, so parts begin at such spaces."""
+    at = 0
+    while len(text) - at > 2 * SEGMENT:
+        cut = text.find(" ", at + SEGMENT)
+        while cut > 0 and (text[cut - 1].isspace() or text[cut + 1 : cut + 2].isspace() or cut + 1 == len(text)):
+            cut = text.find(" ", cut + 1)
+        if cut < 0:
+            break
+        yield text[at:cut]
+        at = cut
+    if at < len(text):
+        yield text[at:] if at else text
