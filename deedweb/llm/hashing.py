@@ -1,4 +1,8 @@
-"""64-bit hashes of many runs of bytes or words at once, by polynomial prefix sums modulo 2^64."""
+"""64-bit hashes of many runs of bytes or words at once, by polynomial prefix sums modulo 2^64.
+
+Fast, but not strong: some long runs that differ have equal hashes for any odd base. They choose and place things (anchors,
+bits of filters); nothing takes two runs for equal because their hashes are.
+"""
 
 from __future__ import annotations
 
@@ -10,8 +14,6 @@ import numpy as np
 BLOCK = 1 << 19
 BYTE_BASE, WORD_BASE = np.uint64(0x9E3779B97F4A7C15 | 1), np.uint64(0xD6E8FEB86659FD93)
 MIX = (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
-WHITE = np.zeros(256, bool)
-WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -41,16 +43,6 @@ def run_hashes(values: np.ndarray, base: np.uint64, starts: np.ndarray, ends: np
     return mixed((total[ends] - total[starts]) * downs[starts] + (ends - starts).astype(np.uint64) * MIX[0])
 
 
-def word_hashes(data: bytes) -> np.ndarray:
-    """A hash of each word of a UTF-8 text; words are split by ASCII white space."""
-    if not data:
-        return np.zeros(0, np.uint64)
-    raw = np.frombuffer(data, np.uint8)
-    white = WHITE[raw]
-    edges = np.flatnonzero(np.diff(np.concatenate(([True], white, [True])).view(np.int8)))
-    return span_hashes(raw, edges[::2], edges[1::2])
-
-
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """A hash of the bytes from each start to its end; starts ascend. Bytes are worked on block by block."""
     out = np.empty(len(starts), np.uint64)
