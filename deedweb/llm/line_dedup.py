@@ -1,7 +1,7 @@
 """Cross-site boilerplate lines by distinct-site spread.
 
-A HyperLogLog sketch of sites for each line hash merges in the aggregation. Lines whose estimate is far from the threshold
-are decided by it; those near it get an exact distinct count.
+A HyperLogLog sketch of sites for each line hash is filled where the lines are read, and sketches merge in the aggregation.
+Lines whose estimate is far from the threshold are decided by it; those near it get an exact distinct count.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deedweb.llm.rows import row_key, spare
+from deedweb.llm.rows import others, row_id, row_key, spare
 from deedweb.scratch import written
 
 MIN_SITES, LOG2_REGISTERS, BAND = 5, 10, 0.2
@@ -24,11 +24,11 @@ def line_hash(line: F.Column) -> F.Column:
     return F.xxhash64(F.trim(line, F.lit(EDGES)))
 
 
-def _lines(docs: DataFrame, key: F.Column, text_col: str, site_col: str) -> DataFrame:
-    """``key, site, line`` (hash) for each line that is not blank."""
-    line = F.explode(F.split(docs[text_col], "\n"))
-    rows = docs.select(key.alias("key"), F.coalesce(docs[site_col], F.lit("")).alias("site"), line.alias("line"))
-    return rows.where(F.trim("line", F.lit(EDGES)) != "").select("key", "site", line_hash(F.col("line")).alias("line"))
+def _lines(docs: DataFrame, text_col: str, *columns: F.Column) -> DataFrame:
+    """``columns``, ``at`` (place in the text), ``line`` (hash) for each line that is not blank."""
+    lines = F.posexplode(F.split(docs[text_col], "\n")).alias("at", "line")
+    rows = docs.select(*columns, lines).where(F.trim("line", F.lit(EDGES)) != "")
+    return rows.withColumn("line", line_hash(F.col("line")))
 
 
 def boilerplate(
@@ -41,24 +41,21 @@ def boilerplate(
 ) -> DataFrame:
     """``line`` (hash), ``keeper`` (smallest id that has it), ``sites`` for each line found on ``min_sites`` sites or more.
 
-    The sketches have 2^10 registers (relative error about 3 %). Estimates within ``band`` of the threshold, six times that
-    error, count as near, and their lines are counted exactly; ``sites`` is the exact count for them and the rounded
-    estimate otherwise. Lines on one site only, by far the most, are set aside before any sketch is made.
+    The sketches have 2^10 registers (relative error about 3 %). They are made where the lines are read and merge by line.
+    Estimates within ``band`` of the threshold, six times that error, count as near, and the sites of these lines alone are
+    made distinct and counted; ``sites`` is the exact count for them and the rounded estimate otherwise.
     """
-    rows = _lines(docs, docs[id_col], text_col, site_col)
-    slim = written(rows.groupBy("line", "site").agg(F.min("key").alias("least")), "line-sites")
-    spread = (
-        slim.groupBy("line").agg(F.min("site").alias("low"), F.max("site").alias("high")).where("low <> high").select("line")
-    )
-    several = slim.join(spread, "line", "left_semi")
+    site = F.coalesce(docs[site_col], F.lit("")).alias("site")
+    rows = _lines(docs, text_col, row_id(docs, id_col).alias("id"), site)
     # Sketches pass over empty strings, so each site gets a letter.
-    sketched = several.groupBy("line").agg(
-        F.hll_sketch_agg(F.concat(F.lit("="), "site"), F.lit(LOG2_REGISTERS)).alias("sketch"), F.min("least").alias("keeper")
-    )
-    rated = written(sketched.select("line", "keeper", F.hll_sketch_estimate("sketch").alias("estimate")), "line-spread")
+    sketch = F.hll_sketch_agg(F.concat(F.lit("="), "site"), F.lit(LOG2_REGISTERS))
+    sketched = rows.groupBy("line").agg(sketch.alias("sketch"), F.min("id").alias("keeper"))
     low, high = min_sites * (1 - band), min_sites * (1 + band)
-    near = rated.where(F.col("estimate").between(low, high))
-    exact = slim.join(near, "line").groupBy("line", "keeper").agg(F.count_distinct("site").alias("sites"))
+    rated = sketched.select("line", "keeper", F.hll_sketch_estimate("sketch").alias("estimate"))
+    rated = written(rated.where(F.col("estimate") >= low), "line-spread")
+    near = rated.where(F.col("estimate") <= high).select(F.struct("line").alias("near"), "keeper")
+    pairs = rows.join(near, F.struct("line") == F.col("near")).select("line", "keeper", "site").distinct()
+    exact = pairs.groupBy("line", "keeper").agg(F.count(F.lit(1)).alias("sites"))
     far = rated.where(F.col("estimate") > high).select("line", "keeper", F.col("estimate").alias("sites"))
     return far.unionByName(exact.where(F.col("sites") >= min_sites).select("line", "keeper", "sites"))
 
@@ -77,24 +74,26 @@ def line_dedup(
     ``min_sites`` sites or more is boilerplate: it stays in the document with the smallest id and goes from all others, so
     what is copied across sites survives once. Blank lines stay. A null text stays null and has no lines; a null site is a
     site of its own. A null id is never the smallest; where no document with the line has an id, the line stays. Repeated
-    rows are repeated in the result and count once for a site. An empty table gives an empty result. A column of ``docs``
-    that has the name of a new one is replaced.
+    rows are repeated in the result and count once for a site. An empty table gives an empty result. Ids may be of any
+    type that can be ordered. A column of ``docs`` that has the name of a new one, in whatever case, is replaced. The work
+    on a very long text grows with its length only: lines to be removed are told by their places.
     """
     found = written(boilerplate(docs, id_col, text_col, site_col, min_sites, band).where("keeper is not null"), "boilerplate")
-    key = row_key(docs[id_col], docs[text_col])
-    hits = _lines(docs, key, text_col, site_col).join(found.withColumnRenamed("line", "_line"), F.col("line") == F.col("_line"))
-    hits = hits.where(~F.col("key.id").eqNullSafe(F.col("keeper").cast("long")))
+    found = found.select(F.struct("line").alias("_line"), "keeper")
+    key = row_key(docs, id_col, text_col)
+    hits = _lines(docs, text_col, key.alias("key")).join(found, F.struct("line") == F.col("_line"))
+    hits = hits.where(~F.col("key.id").eqNullSafe(F.col("keeper")))
     by_key, gone, text = (spare(docs, x) for x in ("key", "gone", "text_before"))
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed", "kept_text")]
+    columns = others(docs, "n_lines", "n_removed", "kept_text")
     joined = docs.select(*columns, docs[text_col].alias(text), key.alias(by_key)).join(
-        hits.groupBy(F.col("key").alias(by_key)).agg(F.collect_set("line").alias(gone)), by_key, "left"
+        hits.groupBy(F.col("key").alias(by_key)).agg(F.collect_set("at").alias(gone)), by_key, "left"
     )
     lines, same = F.split(text, "\n"), F.col(gone).isNull()
-    stays = lambda x: (F.trim(x, F.lit(EDGES)) == "") | ~F.array_contains(gone, line_hash(x))
-    kept = F.filter(lines, stays)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+    kept = F.transform(stay, lambda i: F.get(lines, i))
     return joined.select(
         *columns,
         F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.when(same, 0).otherwise(F.size(lines) - F.size(kept)).cast("long").alias("n_removed"),
+        F.when(same, 0).otherwise(F.size(gone)).cast("long").alias("n_removed"),
         F.when(same, F.col(text)).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
     )
