@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from deedweb.llm import bpe, fingerprints, packing, queries, simhash
+from deedweb.llm import bpe, fingerprints, packing, queries, simhash, words
 from deedweb.llm.exact_dedup import exact_dedup
 from deedweb.llm.line_dedup import line_dedup
 from deedweb.llm.substring import substring_dedup
@@ -55,6 +55,11 @@ def docs(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
 
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
 def rows_of(df, text="text"):
     return [(r["doc_id"], r[text]) for r in df.collect()]
 
@@ -73,6 +78,7 @@ EMPTY = [
     substring_dedup,
     lambda d: packing.pack(d, PATH),
     lambda d: bpe.decode(bpe.encode(d, PATH), PATH),
+    lambda d: bpe.round_trip(d, PATH),
 ]
 
 
@@ -81,6 +87,48 @@ def test_empty_table(cases, operator):
     assert operator(cases.where("false")).collect() == []
 
 
+def thue_morse(n):
+    """Two words of n letters that polynomial hashes modulo 2^64 do not tell apart, from 1024 letters on."""
+    word = "".join("ab"[i.bit_count() & 1] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_of_equal_polynomials(spark, library, n):
+    one, two = thue_morse(n)
+    rest = " ".join(f"w{i}" for i in range(49))
+    rows = [(1, f"{one} {rest}"), (2, f"{two} {rest}"), (3, f"{rest} {one}"), (4, f"{rest} {two}"), (5, f"x {one} {rest}"), (6, " ".join([one, two] * 40)), (7, " ".join([two, one] * 40))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup(df).select("doc_id", "n_words", "n_removed", "kept_text").collect()
+    assert counted(got) == counted(brute_substrings(rows, 50))
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {1: 0, 2: 0, 3: 0, 4: 0, 5: 50, 6: 0, 7: 80}
+    ids = {d: np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for d, t in rows}
+    found = bpe.round_trip(df, PATH).collect()
+    assert {r["doc_id"]: bytes(r["ids"]) for r in found} == ids and {r["doc_id"]: r["text"] for r in found} == dict(rows)
+    pieces = packing.pack(df, PATH, limit=1 << 20).collect()
+    assert {r["doc_id"]: r["ids_crc32"] for r in pieces} == {d: zlib.crc32(x + bytes(4)) for d, x in ids.items()}
+
+
+def test_ids_of_other_types(spark, cases):
+    """String ids are compared as strings; a column may clash with a new one in another case."""
+    rows = [(f"d{i}", f"{A}\nline {i}", f"s{i}", "clash") for i in range(6)] + [(None, f"{A} tail", "s1", None)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, source string, N_Removed string")
+    lines = line_dedup(df)
+    assert {r["doc_id"]: r["n_removed"] for r in lines.collect()} == {"d0": 0, **{f"d{i}": 1 for i in range(1, 6)}, None: 0}
+    subs = substring_dedup(df)
+    assert {r["doc_id"]: r["n_removed"] for r in subs.collect()} == {"d0": 0, **{f"d{i}": 80 for i in range(1, 6)}, None: 80}
+    for found in (lines, subs):
+        assert [c.lower() for c in found.columns].count("n_removed") == 1 and found.schema["n_removed"].dataType.typeName() == "long"
+    assert [r["doc_id"] for r in simhash.keep_one(df).collect()] == ["d0"]
+    assert {r["keep_id"] for r in exact_dedup(df).collect()} == {None, *(f"d{i}" for i in range(6))}
+    assert {r["doc_id"] for r in packing.pack(df, PATH).collect()} == {r[0] for r in rows}
+    probed = fingerprints.edit_probe(df).collect()
+    order = [*sorted((r for r in rows if r[0]), reverse=True), rows[-1]]
+    assert {r["doc_id"]: r["edited_text"] for r in probed} == {
+        a[0]: fingerprints.edited(a[1], b[1]) for a, b in zip(order, order[1:] + order[:1], strict=True)
+    }
+
+
 # Exact duplicates
 
 
@@ -376,11 +424,6 @@ def test_entropy_of_windows():
 # Tokens
 
 
-@pytest.fixture(scope="module")
-def library():
-    return Tokenizer.from_file(PATH)
-
-
 def test_bpe(cases, docs, library):
     for df in (cases, docs):
         rows = rows_of(df)
@@ -389,6 +432,9 @@ def test_bpe(cases, docs, library):
         texts = [library.decode(list(x), skip_special_tokens=False) for x in ids]
         want = Counter(zip((d for d, _ in rows), ids, texts, strict=True))
         assert Counter((r["doc_id"], tuple(r["ids"]), r["text"]) for r in got) == want
+        both = bpe.round_trip(df, PATH).collect()
+        assert Counter((r["doc_id"], tuple(np.frombuffer(r["ids"], "<u4").tolist()), r["text"]) for r in both) == want
+        assert all(len(r["ids"]) == 4 * r["n_tokens"] for r in both)
 
 
 def test_bpe_of_odd_texts(library):
@@ -398,10 +444,42 @@ def test_bpe_of_odd_texts(library):
     texts = ["".join(rng.choice(letters, rng.integers(1, 40))) for _ in range(4000)]
     texts += ["".join(f"{chr(c)} {chr(c)}a " for c in range(a, a + 256) if not 0xD800 <= c < 0xE000) for a in range(0, 0x3000, 256)]
     texts += [f"one two\nthree {x}\nfour" for x in ("a,b", "", "don't", "\u2028", "<|endoftext|>")]
-    for text, own, other in zip(texts, known.encode(texts), fast.batch(texts), strict=True):
+    texts += [x * 30_000 for x in ("a", " ", "\n", "^", "1", "ab", "x ")] + [f"{' ' * 30_000}x", *thue_morse(2048)]
+    for text in texts:
         want = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        assert own == want, repr(text)
-        assert other == want, repr(text)
+        assert known.encode(text) == want, repr(text)[:200]
+        assert fast.encode(text) == want, repr(text)[:200]
+        assert known.decode(np.frombuffer(want, "<u4").tolist()) == text
+
+
+def test_other_files():
+    """Files of another kind are left to the library."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, other = packing.encoder(path), Tokenizer.from_file(path)
+    for text in ("One two, three!", "", "<|endoftext|> x"):
+        assert own.encode(text) == np.array(other.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert own.ranks is None and packing.encoder(PATH).ranks
+
+
+def test_long_texts_in_segments(library, monkeypatch):
+    """Where a long text is cut changes nothing."""
+    monkeypatch.setattr(words, "SEGMENT", 7)
+    rng = np.random.default_rng(9)
+    known, fast = bpe.vocabulary(PATH), packing.encoder(PATH)
+    for _ in range(1500):
+        text = "".join(rng.choice([*"ab's\n ., ", " ", " ", "  ", "é", "<|endoftext|>"], 60))
+        want = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert known.encode(text) == fast.encode(text) == want, repr(text)
+        assert "".join(words.segments(text)) == text
+
+
+def test_forgotten_pretokens(library):
+    """A full store of pretokens forgets, and gives the same."""
+    known = bpe.Vocabulary(PATH)
+    known.words.kept.most = 5000
+    for text in [f"{A} {B}", B, A, f"{A} {A}"] * 2:
+        assert known.encode(text) == np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert known.words.kept.held <= 5000 + 400
 
 
 # Packing
