@@ -36,7 +36,7 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, radius=3, lanes=1, ratio=0.0)
+    found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 

@@ -193,7 +193,7 @@ def test_simhash(request, which, tile):
     roots = brute_components(prints, 3)
     least = {r: min((d for (d, _), x in zip(rows, roots, strict=True) if x == r and d is not None), default=None) for r in roots}
     want = counted((d, f"{p:016x}", least[r]) for (d, _), p, r in zip(rows, prints, roots, strict=True))
-    got = simhash.simhash_components(df, shingle=3, radius=3, lanes=1, ratio=0.0, tile=tile)
+    got = simhash.simhash_components(df, shingle=3, radius=3, tile=tile)
     got = got.select("doc_id", simhash.hex_fingerprint(got["fp"]).alias("f"), "component_id")
     assert counted(got.collect()) == want
 
@@ -222,6 +222,31 @@ def test_links_of_dense_groups(spark):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, groups.values()))
 
 
+@pytest.mark.parametrize("n", [100, 1 << 30, 1 << 36, 1 << 44])
+def test_lanes_of_blocks(n):
+    """Two words within the radius are equal under a mask, and lanes of even words are small."""
+    rng = np.random.default_rng(10)
+    for radius in (0, 3, 6):
+        masks = [m % (1 << 64) for m in simhash.block_lanes(radius, n)]
+        assert len(set(masks)) == len(masks) and (n >> min(m.bit_count() for m in masks) <= 2 * simhash.TILE or radius != 3)
+        for _ in range(500):
+            flips = sum(1 << int(b) for b in rng.choice(64, radius, replace=False))
+            assert any(not flips & m for m in masks)
+
+
+def test_bands_of_minima():
+    """Sets of similarity 0.8 meet in a band; sets that share little do not."""
+    rng = np.random.default_rng(11)
+    met = far = 0
+    for n in (9, 18, 45, 180, 900):
+        for _ in range(200):
+            both, one, two = (rng.integers(0, 1 << 63, k, dtype=np.uint64) for k in (8 * n // 9 or 1, n - 8 * n // 9, n - 8 * n // 9))
+            a, b = (simhash.minima_bands(np.unique(np.concatenate((both, x)))) for x in (one, two))
+            met += bool((a == b).any())
+            far += bool((simhash.minima_bands(one) == simhash.minima_bands(two)).any())
+    assert met == 1000 and far == 0
+
+
 def test_near_copies_of_five_word_shingles(spark):
     rng = np.random.default_rng(2)
     words = [f"w{i}" for i in range(4000)]
