@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from deedweb.llm.rows import blocks, id_type, row_id, row_key, small_batches, spare, text_hash
 from deedweb.operators.components import connected_components
-from deedweb.scratch import written
+from deedweb.scratch import discard, written
 
 SEED = 42
 TILE = 4096
@@ -375,6 +375,7 @@ def near_copies(
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "set_hash", "fp", "least", "first.*"), "nodes")
     met = written(meeting_lanes(nodes.select("node", F.explode("bands").alias("lane"))), "lanes")
     forest = written(fingerprint_links(nodes.select("node", "fp", "size"), radius, similarity, tile, met).distinct(), "candidates")
+    discard(met)
     groups = connected_components(forest)
     chosen = nodes.join(groups, "node").select("key", "node", "component")
     sets = written(_shingle_sets(docs, chosen, id_col, text_col, shingle), "shingle-sets")
@@ -384,6 +385,7 @@ def near_copies(
     named = written(named.select("node", "component", F.coalesce("cluster", "node").alias("cluster")), "clustered")
     several = named.groupBy("component").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high")
     searched = written(sets.join(named.join(several, "component", "left_semi").select("node", "cluster"), "node"), "searched")
+    discard(sets)
     more = _alike(_prefix_pairs(searched, similarity), searched, similarity)
     ends = named.select(F.col("node").alias("a"), "cluster")
     joins = more.join(ends, F.col("src") == F.col("a")).select(F.col("cluster").alias("src"), "dst")
@@ -404,7 +406,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     without any id keeps one row for each of its texts."""
     found = near_copies(docs, id_col, text_col, **options)
     stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    key = spare(docs, "key")
-    stay = stay.select(F.struct(F.col("doc_id").alias("id"), "text_hash").alias(key)).distinct()
-    keyed = docs.select("*", row_key(docs, id_col, text_col).alias(key))
-    return keyed.join(stay, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
+    key, n = spare(docs, "key"), spare(docs, "n")
+    stay = written(stay.groupBy(F.struct(F.col("doc_id").alias("id"), "text_hash").alias(key)).agg(F.count(F.lit(1)).alias(n)), "stay")
+    kept = docs.select("*", row_key(docs, id_col, text_col).alias(key)).join(stay, key)
+    repeated = kept.where(F.col(n) > 1).dropDuplicates([key])  # of few rows: texts are shuffled once
+    return kept.where(F.col(n) == 1).unionByName(repeated).select(*docs.columns)
