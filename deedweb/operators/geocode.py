@@ -45,6 +45,11 @@ def flatten_results(df: DataFrame, keep: list[str], results: str = "results") ->
     )
 
 
+def every_candidate(answers: DataFrame, keep: list[str], results: str = "results") -> DataFrame:
+    """All candidates of all answers, none left out: for a user who wants to choose among them."""
+    return flatten_results(answers, keep, results)
+
+
 def resolve(candidates: DataFrame, address: str = "clean_address", street: str | None = None, zip_code: str | None = None) -> DataFrame:
     """The candidates that stay for each address.
 

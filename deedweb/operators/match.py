@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +16,7 @@ from deedweb.scratch import written
 
 @dataclass(frozen=True)
 class StringMatchParams:
-    """``threshold``: least cosine of a match (None: any). ``k``: nearest references for each query. ``n``: characters of a
+    """``threshold``: least cosine of a match (None: the ``k`` nearest, whatever their cosine). ``k``: nearest references for each query. ``n``: characters of a
     gram. ``as_given``: repeated references raise the document counts as often as they occur."""
 
     threshold: float | None = 0.85
@@ -65,17 +66,16 @@ def _distinct(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("doc")).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def similar_pairs(refs: DataFrame, queries: DataFrame, ref_col: str, query_col: str, params: StringMatchParams) -> DataFrame:
-    """``original_doc, matched_doc, conf1`` (cosine) for distinct documents that share a gram and reach the threshold.
-
-    Exact. Pairs meet on leading grams only, and each pair is scored once from both vectors. The rarest grams lead, so
-    the postings that meet are short, whatever the corpus' most frequent grams are.
-    """
+def _both_sides(refs: DataFrame, queries: DataFrame, ref_col: str, query_col: str, params: StringMatchParams) -> tuple[DataFrame, DataFrame]:
+    """The vectors of queries and references, written."""
     left, right = _distinct(queries, query_col), _distinct(refs, ref_col)
     weights = fit_weights(right, params)
     q = written(vectors(left, weights, params), "query-vectors")
-    r = q if refs is queries and ref_col == query_col else written(vectors(right, weights, params), "reference-vectors")
-    pairs = _leading(q, "original_doc", params.threshold).join(_leading(r, "matched_doc", params.threshold), "gram")
+    return q, q if refs is queries and ref_col == query_col else written(vectors(right, weights, params), "reference-vectors")
+
+
+def _scored(q: DataFrame, r: DataFrame, threshold: float | None) -> DataFrame:
+    pairs = _leading(q, "original_doc", threshold).join(_leading(r, "matched_doc", threshold), "gram")
     pairs = pairs.select("original_doc", "matched_doc").distinct()
     with_q = pairs.join(q.select(F.col("doc").alias("original_doc"), F.col("terms").alias("_q")), "original_doc")
     both = with_q.join(r.select(F.col("doc").alias("matched_doc"), F.col("terms").alias("_r")), "matched_doc")
@@ -83,22 +83,61 @@ def similar_pairs(refs: DataFrame, queries: DataFrame, ref_col: str, query_col:
     both = both.select("original_doc", "matched_doc", "_q", known.alias("_known"))
     dot = F.aggregate("_q", F.lit(0.0), lambda s, t: s + t["w"] * F.coalesce(F.try_element_at("_known", t["gram"]), F.lit(0.0)))
     scored = both.select("original_doc", "matched_doc", dot.alias("conf1"))
-    return scored if params.threshold is None else scored.where(F.col("conf1") >= params.threshold - 1e-9)
+    return scored if threshold is None else scored.where(F.col("conf1") >= threshold - 1e-9)
+
+
+def similar_pairs(refs: DataFrame, queries: DataFrame, ref_col: str, query_col: str, params: StringMatchParams) -> DataFrame:
+    """``original_doc, matched_doc, conf1`` (cosine) for distinct documents that share a gram and reach the threshold.
+
+    Exact. Pairs meet on leading grams only, and each pair is scored once from both vectors. The rarest grams lead, so
+    the postings that meet are short, whatever the corpus' most frequent grams are. A threshold is needed: without one, every
+    document that shares a gram with another would be its pair.
+    """
+    if params.threshold is None:
+        raise ValueError("similar_pairs needs a threshold; match_strings finds the nearest without one")
+    return _scored(*_both_sides(refs, queries, ref_col, query_col, params), params.threshold)
+
+
+#: Thresholds of the search for the nearest, in steps: most documents have their ``k`` nearest above the first ones, and the few
+#: that are left meet on all of their grams.
+STEPS = (0.7, 0.5, 0.3, None)
+
+
+def _nearest(scored: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of each query; what is equal in twelve digits goes by the document."""
+    order = Window.partitionBy("original_doc").orderBy(F.round("conf1", 12).desc(), "matched_doc")
+    return scored.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
+
+
+def nearest(q: DataFrame, r: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest references of each query that share a gram with it, exactly: a query that has ``k`` at or above a
+    step's threshold is done, since no other can be nearer; the others go on to the next step."""
+    done = []
+    for threshold in STEPS:
+        top = written(_nearest(_scored(q, r, threshold), k), "nearest")
+        if threshold is None:
+            done.append(top)
+            break
+        full = top.groupBy("original_doc").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == k).select(F.col("original_doc").alias("doc"))
+        done.append(top.join(full, top["original_doc"] == full["doc"], "left_semi"))
+        q = written(q.join(full, "doc", "left_anti"), "query-vectors")
+    return reduce(DataFrame.unionByName, done)
 
 
 def match_strings(refs: DataFrame, queries: DataFrame, ref_col: str = "doc", query_col: str = "doc", params: StringMatchParams = StringMatchParams()) -> DataFrame:
     """``original_doc, matched_doc, conf, ldist, conf1``: for each query its ``k`` nearest references (itself among them, if
-    it is one), of which equal strings and equal gram weights are left out, and with a threshold all at or below it.
+    it is one). With a threshold, equal strings, equal gram weights and all at or below the threshold are left out.
 
     Best last. Null documents are left out; repeated ones count once.
     """
-    nearest = Window.partitionBy("original_doc").orderBy(F.col("conf1").desc(), "matched_doc")
-    top = similar_pairs(refs, queries, ref_col, query_col, params).withColumn("_rank", F.row_number().over(nearest))
-    found = top.where(F.col("_rank") <= params.k).select(
+    q, r = _both_sides(refs, queries, ref_col, query_col, params)
+    top = nearest(q, r, params.k) if params.threshold is None else _nearest(_scored(q, r, params.threshold), params.k)
+    found = top.select(
         "original_doc", "matched_doc", (1 - F.col("conf1")).alias("conf"), F.levenshtein("original_doc", "matched_doc").alias("ldist"), "conf1"
     )
-    found = found.where((F.col("ldist") > 0) & (F.col("conf1") < 1 - 1e-9))
-    return (found if params.threshold is None else found.where(F.col("conf1") > params.threshold)).orderBy("conf1", "original_doc", "matched_doc")
+    if params.threshold is not None:
+        found = found.where((F.col("ldist") > 0) & (F.col("conf1") < 1 - 1e-9) & (F.col("conf1") > params.threshold))
+    return found.orderBy("conf1", "original_doc", "matched_doc")
 
 
 def pair_similarity(first: Column, second: Column, threshold: float | None = None, n: int = 3) -> Column:

@@ -174,17 +174,31 @@ def set_network_names(df: DataFrame, number: int = 1, name_col: str = "clean_nam
     return df.join(names, F.struct(F.col(part).alias("_part")) == F.col("_key"), "left").drop("_key")
 
 
-def network_text(parts: DataFrame, edges: DataFrame, most: int | None = None) -> DataFrame:
-    """``component, network_text``: JSON of the component's edges, or of its node if there is none. ``most`` bounds the edges
-    that are shown, for networks whose text would not fit a cell."""
+#: Edges in one chunk of a network's text.
+CHUNK = 1000
+
+
+def network_text(parts: DataFrame, edges: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``component, chunk, network_text``: JSON of the component's edges in order, ``chunk`` of them in each row, or of its node
+    if there is none.
+
+    Edges are sorted by range over all components and numbered by way of the counts of the ranges, so no component's edges
+    meet in one task or one value.
+    """
     ends = edges.where("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct()
-    rows = ends.join(parts.select(F.col("node").alias("a"), "component"), "a")
-    if most is not None:
-        rows = rows.withColumn("_r", F.row_number().over(Window.partitionBy("component").orderBy("a", "b"))).where(F.col("_r") <= most)
-    shown = rows.groupBy("component").agg(F.to_json(F.sort_array(F.collect_list(F.array("a", "b")))).alias("_edges"))
-    lone = parts.groupBy("component").agg(F.count(F.lit(1)).alias("_n"), F.min("node").alias("_node"))
+    rows = ends.join(parts.select(F.struct(F.col("node")).alias("_node"), "component"), F.struct("a") == F.col("_node")).select("component", "a", "b")
+    ranged = written(rows.repartitionByRange("component", "a", "b").withColumn("_part", F.spark_partition_id()), "ranges")
+    # How many edges of a component are in earlier ranges: one row for each range and component in it.
+    counts = ranged.groupBy("_part", "component").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("component").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    counts = counts.select(F.col("_part").alias("_p"), F.col("component").alias("_c"), F.coalesce(before, F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_part", "component").orderBy("a", "b"))
+    numbered_rows = ranged.withColumn("_own", own).join(counts, (F.col("_part") == F.col("_p")) & (F.col("component") == F.col("_c")))
+    at = F.floor((F.col("_before") + F.col("_own") - 1) / chunk).cast("long")
+    shown = numbered_rows.groupBy("component", at.alias("chunk")).agg(F.to_json(F.sort_array(F.collect_list(F.array("a", "b")))).alias("_edges"))
+    lone = parts.groupBy("component").agg(F.min("node").alias("_node"))
     return lone.join(shown, "component", "left").select(
-        "component", F.coalesce("_edges", F.to_json(F.array("_node"))).alias("network_text")
+        "component", F.coalesce("chunk", F.lit(0).cast("long")).alias("chunk"), F.coalesce("_edges", F.to_json(F.array("_node"))).alias("network_text")
     )
 
 

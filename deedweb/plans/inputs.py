@@ -53,6 +53,13 @@ def _zip(key: str) -> str:
     return _case(key, [f"'' || (60601 + {key} % 900)", f"'' || (606010000 + {key} % 9000)", f"'' || ({key} % 999 + 1)", "'12A34'", f"(60601 + {key} % 90) || '-' || (1000 + {key} % 9000)"])
 
 
+def _word(key: str, size: int) -> str:
+    """A word of letters that a number gives, another for each."""
+    return f"upper(translate(substring(md5('' || {key}), 1, {size}), '0123456789', 'ghijklmnop'))"
+
+
+_THREE = "(c_custkey - c_custkey % 3)"
+
 #: table -> (given table, {column: expression})
 DERIVED: dict[str, tuple[str, dict[str, str]]] = {
     "taxpayers": (
@@ -67,6 +74,16 @@ DERIVED: dict[str, tuple[str, dict[str, str]]] = {
             "city_state_zip": f"{_city('c_custkey')} || ' ' || {_state('c_custkey')} || ' ' || {_zip('c_custkey')}",
         },
     ),
+    # Owners as string matching compares them: a name and an address. Three each differ in a number.
+    "owners": (
+        "customer",
+        {
+            "id": "c_custkey",
+            "doc": f"{_word(_THREE, 7)} || ' ' || {_word(f'({_THREE} % 397)', 6)} || ' - ' || (c_custkey % 97) || ' ' || "
+            + _case(_THREE, _text("MAIN", "OAK", "FLOWER", "STATE", "RIVER"))
+            + " || ' ST'",
+        },
+    ),
     "properties": (
         "orders",
         {

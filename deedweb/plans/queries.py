@@ -102,13 +102,24 @@ def fix_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taxpayers(spark, sf_dir).select("id", C.fix_names("tax_name", BANKS).alias("name"))
 
 
+ONES = ("ONE", "TWO", "THREE", "FOUR", "FIVE", "SIX", "SEVEN", "EIGHT", "NINE")
+TENS = ("TWENTY", "THIRTY", "FORTY", "FIFTY", "SIXTY", "SEVENTY", "EIGHTY", "NINETY")
+NTHS = ("FIRST", "SECOND", "THIRD", "FOURTH", "FIFTH", "SIXTH", "SEVENTH", "EIGHTH", "NINTH")
+
+
 @query
 def number_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Spelled numbers and ordinals, each written out from the keys of the table."""
-    names = F.array(*map(F.lit, ("NINE", "TWENTY FIVE", "ONE HUNDRED SIX", "POINT", "OAK TEN")))
-    streets = F.array(*map(F.lit, ("TENTH STREET EAST", "EAST TWENTY FIFTH STREET", "SOUTH ONE HUNDREDTH STREET", "2 TWENTY MAIN ST")))
-    df = table(spark, sf_dir, "customer").select("c_custkey", names[(F.col("c_custkey") % 5).cast("int")].alias("a"), streets[(F.col("c_custkey") % 4).cast("int")].alias("b"))
-    return df.select("c_custkey", C.words_to_num("a").alias("number"), C.convert_ordinals("b").alias("ordinal"), C.convert_mixed("b").alias("mixed"))
+    """The table's keys spelled out, as numbers and as names of streets, and back."""
+    word = lambda values, n: F.array(*map(F.lit, values))[n.cast("int")]
+    key = F.col("c_custkey")
+    ones, tens, hundreds = key % 9, F.floor(key / 9) % 8, F.floor(key / 72) % 9
+    df = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.concat_ws(" ", word(ONES, hundreds), F.lit("HUNDRED"), word(TENS, tens), word(ONES, ones)).alias("a"),
+        F.concat_ws(" ", F.lit("EAST"), word(TENS, tens), word(NTHS, ones), F.lit("STREET")).alias("b"),
+        F.concat_ws(" ", word(ONES, hundreds), word(TENS, tens), F.lit("MAIN ST")).alias("c"),
+    )
+    return df.select("c_custkey", C.words_to_num("a").alias("number"), C.convert_ordinals("b").alias("ordinal"), C.convert_mixed("c").alias("mixed"))
 
 
 @query
@@ -313,18 +324,33 @@ def name_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(ngrams("p_name"), "|").alias("grams"))
 
 
+def _matched(spark: SparkSession, sf_dir: str, params: M.StringMatchParams) -> DataFrame:
+    df = derived(spark, sf_dir, "owners").select("doc")
+    return M.match_strings(df, df, params=params)
+
+
 @query
 def tfidf_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "part").select("p_name")
-    found = M.match_strings(df, df, "p_name", "p_name", M.StringMatchParams(threshold=0.5, k=4))
+    found = _matched(spark, sf_dir, M.StringMatchParams(threshold=0.75, k=4))
     return found.select("original_doc", "matched_doc", F.round("conf1", 6).alias("conf1"), F.round("conf", 6).alias("conf"), "ldist")
 
 
+@query
+def tfidf_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without a threshold, and with document counts over the table as it is."""
+    found = _matched(spark, sf_dir, M.StringMatchParams(threshold=None, k=3, as_given=True))
+    return found.select("original_doc", "matched_doc", F.round("conf1", 6).alias("conf1"), "ldist")
+
+
 @query
 def match_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = table(spark, sf_dir, "part").select("p_name")
-    found = M.match_strings(df, df, "p_name", "p_name", M.StringMatchParams(threshold=0.6, k=3))
-    return M.match_groups(found)
+    return M.match_groups(_matched(spark, sf_dir, M.StringMatchParams(threshold=0.75, k=3)))
+
+
+@query
+def matches_with_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = M.with_match_groups(_matched(spark, sf_dir, M.StringMatchParams(threshold=0.75, k=3)))
+    return found.select("original_doc", "matched_doc", "fuzzy_match_name", "fuzzy_match_combo")
 
 
 @query
@@ -371,12 +397,6 @@ def network_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.network_counts(network.components(edges), edges)
 
 
-@query
-def network_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    edges = _edges(spark, sf_dir)
-    return network.network_text(network.components(edges), edges)
-
-
 @query
 def landlord_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: the network of each record, with its name."""

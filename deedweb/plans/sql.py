@@ -110,9 +110,9 @@ over(
 )
 over(
     "number_words",
-    """SELECT c_custkey, ['9', '25', '106', 'POINT', 'OAK TEN'][c_custkey % 5 + 1] AS number,
-  ['10TH STREET EAST', 'EAST 25TH STREET', 'SOUTH 100TH STREET', '2 TWENTY MAIN ST'][c_custkey % 4 + 1] AS ordinal,
-  ['TENTH STREET EAST', 'EAST 20 FIFTH STREET', 'SOUTH 1 HUNDREDTH STREET', '2 20 MAIN ST'][c_custkey % 4 + 1] AS mixed FROM customer""",
+    """WITH n AS (SELECT c_custkey, c_custkey % 9 + 1 AS o, (c_custkey // 9) % 8 + 2 AS t, (c_custkey // 72) % 9 + 1 AS h FROM customer)
+SELECT c_custkey, '' || (h * 100 + t * 10 + o) AS number, 'EAST ' || t || o || CASE o WHEN 1 THEN 'ST' WHEN 2 THEN 'ND' WHEN 3 THEN 'RD' ELSE 'TH' END || ' STREET' AS ordinal,
+  h || ' ' || t || '0 MAIN ST' AS mixed FROM n""",
 )
 over(
     "value_tests",
@@ -312,26 +312,34 @@ def sql_grams(e: str) -> str:
 
 
 over("name_ngrams", f"SELECT p_partkey, array_to_string({sql_grams('p_name')}, '|') AS grams FROM part")
-SCORES = f"""docs AS (SELECT DISTINCT p_name AS d FROM part WHERE p_name IS NOT NULL),
-g AS (SELECT d, gram, count(*) AS tf FROM (SELECT d, unnest({sql_grams('d')}) AS gram FROM docs) GROUP BY ALL),
-idf AS (SELECT gram, ln((1 + (SELECT count(*) FROM docs)) / (1 + count(*))::DOUBLE) + 1 AS idf FROM g GROUP BY gram),
+def sql_scores(weight: str) -> str:
+    """``r``: the cosine of all pairs of owners' documents, ranked; ``weight`` is what a document counts for."""
+    return f""", docs AS (SELECT doc AS d, replace(doc, ' - ', ' ') AS t, {weight}::DOUBLE AS n FROM owners GROUP BY doc),
+g AS (SELECT d, n, gram, count(*) AS tf FROM (SELECT d, n, unnest({sql_grams('t')}) AS gram FROM docs) GROUP BY ALL),
+idf AS (SELECT gram, ln((1 + (SELECT sum(n) FROM docs)) / (1 + sum(n))) + 1 AS idf FROM g GROUP BY gram),
 w AS (SELECT d, gram, tf * idf AS w FROM g JOIN idf USING (gram)), u AS (SELECT d, gram, w / sqrt(sum(w * w) OVER (PARTITION BY d)) AS w FROM w),
 s AS (SELECT a.d AS original_doc, b.d AS matched_doc, sum(a.w * b.w) AS c FROM u a JOIN u b USING (gram) GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY original_doc ORDER BY round(c, 12) DESC, matched_doc) AS k FROM s)"""
+
+
 over(
     "tfidf_match",
-    f"""WITH {SCORES} SELECT original_doc, matched_doc, round(c, 6) AS conf1, round(1 - c, 6) AS conf, levenshtein(original_doc, matched_doc)::INT AS ldist
-FROM r WHERE k <= 4 AND c > 0.5 AND c < 1 - 1e-9""",
+    sql_scores("1") + """ SELECT original_doc, matched_doc, round(c, 6) AS conf1, round(1 - c, 6) AS conf, levenshtein(original_doc, matched_doc)::INT AS ldist
+FROM r WHERE k <= 4 AND c > 0.75 AND c < 1 - 1e-9""",
+    "owners",
 )
-over(
-    "match_groups",
-    f"""WITH RECURSIVE {SCORES}, m AS (SELECT original_doc AS a, matched_doc AS b FROM r WHERE k <= 3 AND c > 0.6 AND c < 1 - 1e-9),
+over("tfidf_nearest", sql_scores("count(*)") + " SELECT original_doc, matched_doc, round(c, 6) AS conf1, levenshtein(original_doc, matched_doc)::INT AS ldist FROM r WHERE k <= 3", "owners")
+GROUPS = sql_scores("1") + """, m AS (SELECT original_doc AS a, matched_doc AS b FROM r WHERE k <= 3 AND c > 0.75 AND c < 1 - 1e-9),
 e AS (SELECT a, b FROM m UNION SELECT b, a FROM m), t(node, label) AS (SELECT a, a FROM e UNION SELECT e.b, t.label FROM t JOIN e ON e.a = t.node),
 p AS (SELECT node, min(label) AS component FROM t GROUP BY node),
 o AS (SELECT *, row_number() OVER (PARTITION BY component ORDER BY length(node), node) AS k FROM p),
-n AS (SELECT component, arg_min(node, k) AS fuzzy_match_name, string_agg(trim(string_split(node, '-')[1]), ' -- ' ORDER BY k) || ' -- ' || component AS fuzzy_match_combo FROM o WHERE k <= 3 GROUP BY component)
-SELECT node, component, fuzzy_match_name, fuzzy_match_combo FROM p JOIN n USING (component)""",
-)
+n AS (SELECT component, arg_min(node, k) AS fuzzy_match_name, string_agg(trim(string_split(node, '-')[1]), ' -- ' ORDER BY k) || ' -- ' || component AS fuzzy_match_combo FROM o WHERE k <= 3 GROUP BY component)"""
+over("match_groups", GROUPS + " SELECT node, component, fuzzy_match_name, fuzzy_match_combo FROM p JOIN n USING (component)", "owners", recursive=True)
+over(
+    "matches_with_groups",
+    GROUPS + " SELECT a AS original_doc, b AS matched_doc, fuzzy_match_name, fuzzy_match_combo FROM m JOIN p ON p.node = m.a JOIN n USING (component)",
+    "owners", recursive=True,
+)
 over(
     "pair_similarity",
     f"""WITH d AS (SELECT p_partkey, p_name AS a, string_split(p_name, ' ')[2] || ' ' || lower(p_type) AS b FROM part),

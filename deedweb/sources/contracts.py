@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from deedweb.sources.tables import dataset_path
+
 
 def columns(*names: str, required: Iterable[str] = (), flags: Iterable[str] = ()) -> StructType:
     """Nullable strings; ``required`` ones are not nullable; ``flags`` are booleans at the end."""
@@ -33,6 +35,7 @@ class Contract:
         return Contract(name, StructType([*self.schema, *more]), (*self.unique, *unique), self.allowed)
 
 
+#: The names of the datasets' columns, and which of them may not be null or repeat.
 _PARTS = ("street", "city", "state", "zip_code")
 UNVALIDATED_ADDRS = Contract(
     "unvalidated_addrs",
@@ -99,3 +102,11 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
             parts.append(odd.select(F.lit(c).alias("column"), F.lit("allowed").alias("rule"), "value", "n"))
     empty = df.sparkSession.range(0).select(F.lit("").alias("column"), F.lit("").alias("rule"), F.lit("").alias("value"), F.lit(0).cast("long").alias("n"))
     return reduce(DataFrame.unionByName, parts, empty).select(F.lit(contract.name).alias("dataset"), "*")
+
+
+def write_report(found: list[DataFrame], root: str, workflow: str, at: str) -> str:
+    """The results of ``violations`` for the tables of a workflow, as one dataset named by the workflow and the time; returns
+    its path. Every run has a report of its own, without rows where nothing is broken."""
+    path = f"{dataset_path(root, 'schema', 'validation_errors')}/{workflow}__{at}"
+    reduce(DataFrame.unionByName, found).write.mode("errorifexists").parquet(path)
+    return path

@@ -1,5 +1,6 @@
 """Table, match, network, geocoding and statistics operators, sources and streams."""
 
+import json
 import random
 from collections import Counter
 
@@ -143,12 +144,21 @@ def test_match_strings_with_any_threshold(spark):
     rng = random.Random(5)
     names = ["".join(rng.choices("abcd ", k=rng.randint(3, 9))) for _ in range(60)]
     df = spark.createDataFrame([(n,) for n in [*names, None, names[0]]], "doc string")
-    everything = {(r[0], r[1]): r["conf1"] for r in M.similar_pairs(df, df, "doc", "doc", M.StringMatchParams(threshold=None)).collect()}
+    everything = {(r[0], r[1]): r["conf1"] for r in M.similar_pairs(df, df, "doc", "doc", M.StringMatchParams(threshold=0.0)).collect()}
     for theta in (0.3, 0.7):
         found = {(r[0], r[1]): r["conf1"] for r in M.similar_pairs(df, df, "doc", "doc", M.StringMatchParams(threshold=theta)).collect()}
         assert found.keys() == {k for k, v in everything.items() if v >= theta - 1e-9}
     given = M.similar_pairs(df, df, "doc", "doc", M.StringMatchParams(threshold=0.3, as_given=True)).collect()
     assert given and all(r["conf1"] <= 1 + 1e-9 for r in given)
+    with pytest.raises(ValueError):
+        M.similar_pairs(df, df, "doc", "doc", M.StringMatchParams(threshold=None))
+    near = M.match_strings(df, df, params=M.StringMatchParams(threshold=None, k=4)).collect()
+    want = {}
+    for (a, b), c in sorted(everything.items(), key=lambda x: (x[0][0], -round(x[1], 12), x[0][1])):
+        if len(want.setdefault(a, [])) < 4:
+            want[a].append(b)
+    got = {a: [r["matched_doc"] for r in sorted((r for r in near if r["original_doc"] == a), key=lambda r: (-round(r["conf1"], 12), r["matched_doc"]))] for a in want}
+    assert got == want and len(near) == sum(map(len, want.values()))
 
 
 def test_network(spark):
@@ -174,7 +184,11 @@ def test_network(spark):
     assert [r["component_id"] for r in numbers] == [0, 1, 2]
     texts = {r["component"]: r["network_text"] for r in network.network_text(parts, edges).collect()}
     assert texts["123 Oak St"] == '[["123 Oak St","Erick Larson"]]'
-    assert network.network_text(parts, edges, most=1).where("component = '322 Staple St'").first()["network_text"].count("[") == 2
+    whole = json.loads(texts["322 Staple St"])
+    for chunk in (1, 2):
+        rows = network.network_text(parts, edges, chunk=chunk).where("component = '322 Staple St'").orderBy("chunk").collect()
+        assert [r["chunk"] for r in rows] == list(range(-(-len(whole) // chunk)))
+        assert [e for r in rows for e in json.loads(r["network_text"])] == whole == sorted(whole)
 
 
 @pytest.mark.parametrize("suffix", ["v1", "v2"])
@@ -247,7 +261,7 @@ def test_every_query_has_sql_or_a_reason():
     import __spark_entry__ as entry
 
     without = entry.queries().keys() - entry.oracle_sql().keys()
-    assert without <= {"network_texts", "op2_simhash", "op4_toxicity", "op5_fingerprints", "op6_packing", "op10_bpe", "pipeline"}
+    assert without <= {"op2_simhash", "op4_toxicity", "op5_fingerprints", "op6_packing", "op10_bpe", "pipeline"}
     assert entry.oracle_sql().keys() <= entry.queries().keys()
 
 
