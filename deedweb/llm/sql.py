@@ -13,9 +13,11 @@ links AS (SELECT node, url, regexp_extract(regexp_extract(html, '(?is)<link\b[^>
                                      '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS link FROM p
   UNION ALL SELECT node, url, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
                                      '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) FROM p),
-aim AS (SELECT node AS src, regexp_replace(CASE WHEN contains(link, '://') THEN link
+aim AS (SELECT node AS src, regexp_replace(CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
     WHEN starts_with(link, '//') THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || link
-    WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || link END, '(?s)#.*$', '') AS dst
+    WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || link
+    WHEN NOT regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:|^#|^$')
+    THEN rtrim(regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '/') || '/' || link END, '(?s)#.*$', '') AS dst
   FROM links WHERE node IS NOT NULL AND link <> ''),
 edges AS (SELECT src, dst FROM aim WHERE dst IS NOT NULL UNION SELECT dst, src FROM aim WHERE dst IS NOT NULL),
 named AS (SELECT node AS n FROM p WHERE node IS NOT NULL UNION SELECT dst FROM edges),

@@ -44,11 +44,14 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``urls`` (with ``host, path``) plus ``rule`` and ``ruled``, the rule that decides the url and its verdict, or nulls.
 
     Rules meet distinct hosts, not urls: each host is joined with the rules of itself and of the domains above it, and what
-    it finds is joined back by host. Of equally long rules, an allow comes first.
+    it finds is joined back by host. Only domains of as many labels as some rule has are made, so the work on a very long host
+    grows with its length. Of equally long rules, an allow comes first.
     """
+    most = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1
     hosts = urls.where("host <> ''").select(F.col("host").alias("_host")).distinct()
     labels = F.split("_host", r"\.")
-    above = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    ends = F.sequence(F.greatest(F.lit(1), F.size(labels) - (most - 1)), F.size(labels))
+    above = F.transform(ends, lambda i: F.array_join(F.slice(labels, i, F.lit(most)), "."))
     by_host = (
         hosts.select("_host", F.explode(above).alias("_domain"))
         .join(rules.select(F.col("host").alias("_domain"), F.col("path").alias("_path"), F.col("verdict").alias("_verdict")), "_domain")
@@ -117,8 +120,8 @@ def filter_urls(
 
     ``rule`` is the longest rule that fits, or null, and its verdict is final. Without a rule, a url is blocked if its
     component over redirects and canonical links holds a url that a rule blocks, and else allowed. ``redirects`` has further
-    edges ``src, dst``. A null url, or one without ``://``, has an empty host and path, no aliases, and is allowed. Null
-    ids and html, and repeated rows, pass through; a url that occurs again has the same verdict. An empty table gives an
+    edges ``src, dst``. A null url, or one without ``://``, has an empty host and path, no aliases, and is allowed. Of rules that
+    are equally long, an allow decides. Urls may be of any length. Null ids and html, and repeated rows, pass through; a url that occurs again has the same verdict. An empty table gives an
     empty result.
     """
     edges = [alias_edges(pages, url_col, html_col)] if html_col else []
