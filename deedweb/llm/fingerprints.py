@@ -16,15 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from deedweb.llm.hashing import BYTE_BASE, mixed, run_hashes
-from deedweb.llm.rows import small_batches
+from deedweb.llm.rows import BLOCK_BYTES, id_type, row_id, small_batches
 
 #: Bytes of a window; windows of a neighbourhood; of how many neighbourhoods a selected window is the rarest.
 WINDOW, AROUND, POPULAR = 32, 64, 16
 #: Bins of the entropy histogram; bits and features of a Bloom filter, and bits for each feature.
 BINS, FILTER_BITS, FILTER_FEATURES, HASHES = 512, 2048, 160, 5
-#: Bytes that are worked on at once.
-BLOCK = 1 << 18
-
 _COUNTS = np.arange(1, WINDOW + 1)
 #: c log2 c in units of 2^-16, for each number of times that a byte is in the window.
 _TERMS = np.concatenate(([0], np.round(_COUNTS * np.log2(_COUNTS) * 65536))).astype(np.int64)
@@ -167,36 +164,54 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return small_batches(plain).mapInArrow(run, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, fingerprint string")
 
 
+#: Rows sampled for each shuffle partition, to cut the order of all rows.
+SAMPLED = 40
+
+
+def _placed(rows: list[tuple]) -> list[tuple]:
+    """(id, hash) in descending order of ids, without one last, and of equal ids in ascending order of hashes."""
+    rows = sorted(rows, key=lambda r: r[1])
+    return sorted((r for r in rows if r[0] is not None), key=lambda r: r[0], reverse=True) + [r for r in rows if r[0] is None]
+
+
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, text, slot, ahead``, sorted inside each partition so that the row after each one is the next document in
     descending order of ids; the last is followed by the first. Rows with ``ahead`` only follow.
 
-    The ids' quantiles cut the order into slots of even size, and texts are shuffled once, by slot. The first row of each
-    slot also goes to the end of the slot before it: one row more for each slot. Null ids come last; rows with equal ids
-    are ordered by a hash of their texts.
+    A bounded sample of the rows' places cuts the order into slots of even size, and texts are shuffled once, by slot. The
+    first row of each slot also goes to the end of the slot before it: one row more for each slot. Null ids come last; rows
+    with equal ids are ordered, and dealt to slots, by a hash of their texts. Ids may be of any type that can be ordered.
     """
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    kind = id_type(docs, id_col)
+    rows = docs.select(row_id(docs, id_col).alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    rows = rows.withColumn("order", F.xxhash64("text"))
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slots = 4 * parts
-    cuts = rows.agg(F.percentile_approx("doc_id", [i / slots for i in range(1, slots)], 10_000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    edges = F.array(*(F.lit(x).cast("long") for x in cuts)) if cuts else F.array().cast("array<bigint>")
-    # Slots in descending order of ids; null ids have the last one.
-    found = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(
-        len(cuts) - F.size(F.filter(edges, lambda x: x < F.col("doc_id")))
-    )
-    rows = rows.withColumns({"slot": found.cast("int"), "order": F.xxhash64("text")})
-    first = F.min(F.struct((F.col("doc_id").isNull()).alias("none"), (-F.col("doc_id")).alias("less"), "order"))
-    heads = sorted((r["slot"], *r["head"]) for r in rows.groupBy("slot").agg(first.alias("head")).collect())
+    sample = rows.select("doc_id", "order").orderBy(F.xxhash64("doc_id", "order")).limit(SAMPLED * parts).collect()
+    sample = _placed([(r["doc_id"], r["order"]) for r in sample])
+    cuts = [sample[i * len(sample) // (2 * parts)] for i in range(1, 2 * parts)] if sample else []
+    cuts = list(dict.fromkeys(cuts))
+    edge_type = f"array<struct<id: {kind}, order: bigint>>"
+    edges = (F.array(*(F.struct(F.lit(i).cast(kind).alias("id"), F.lit(h).alias("order")) for i, h in cuts)) if cuts else F.array()).cast(edge_type)
+    none = F.col("doc_id").isNull()
+
+    def reached(c: F.Column) -> F.Column:
+        """Whether a row is at a cut or after it."""
+        later = (c["id"] > F.col("doc_id")) | ((c["id"] == F.col("doc_id")) & (c["order"] <= F.col("order")))
+        return F.when(none != c["id"].isNull(), none).when(none, c["order"] <= F.col("order")).otherwise(later)
+
+    rows = rows.withColumn("slot", F.size(F.filter(edges, reached)))
+    # The first row of a slot: the largest id, and of its rows the smallest hash.
+    first = F.max(F.struct((~none).alias("known"), "doc_id", F.bitwise_not("order").alias("less"))).alias("head")
+    found = rows.groupBy("slot").agg(first).collect()
+    heads = sorted(((r["slot"], r["head"]["doc_id"], ~r["head"]["less"]) for r in found), key=lambda h: h[0])
     before = {head[0]: heads[i - 1][0] for i, head in enumerate(heads)}  # the first slot's head follows the last slot
     if not heads:
         return rows.select("doc_id", "text", "slot", F.lit(False).alias("ahead"))
-    schema = "slot int, head struct<none: boolean, less: long, order: long>, before int"
-    table = docs.sparkSession.createDataFrame([(h[0], tuple(h[1:]), before[h[0]]) for h in heads], schema)
+    schema = f"slot int, head_id {kind}, head_order long, before int"
+    table = docs.sparkSession.createDataFrame([(*h, before[h[0]]) for h in heads], schema)
     keyed = rows.join(F.broadcast(table), "slot", "left")
-    own = F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("less"), "order")
     places = F.when(
-        own == F.col("head"),
+        F.col("doc_id").eqNullSafe(F.col("head_id")) & (F.col("order") == F.col("head_order")),
         F.array(
             F.struct(F.col("slot").alias("slot"), F.lit(False).alias("ahead")),
             F.struct(F.col("before").alias("slot"), F.lit(True).alias("ahead")),
@@ -242,24 +257,25 @@ def edit_probe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         def flush() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True)) or [[]] * len(names)
             out.clear()
-            kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], list(names))
+            kinds = (None, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k or own) for c, k in zip(columns, kinds, strict=True)], list(names))
 
+        own = pa.null()
         for batch in batches:
+            own = batch.column(0).type
             for doc_id, text, slot, ahead in zip(*batch.columns, strict=True):
                 text = text.as_py()
                 here = (doc_id.as_py(), text, digest(text, known), slot.as_py())
                 if held and held[3] == here[3]:
                     out.append(row(held, here))
                 held = None if ahead.as_py() else here
-                if len(out) >= 500:
+                if len(out) >= 500 or sum(len(x[2]) for x in out[-1:]) > BLOCK_BYTES:
                     yield flush()
-        yield flush()
+        if out:
+            yield flush()
 
     schema = (
-        "doc_id long, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, "
+        f"doc_id {id_type(docs, id_col)}, n_chars long, edited_text string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
     )
-    return with_next(docs, id_col, text_col).mapInArrow(run, schema)
-
-
+    return small_batches(with_next(docs, id_col, text_col)).mapInArrow(run, schema)
