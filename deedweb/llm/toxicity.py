@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from deedweb.llm.rows import small_batches
+from deedweb.llm.rows import blocks, others, row_id, small_batches, spare
 from deedweb.scratch import written
 
 #: The most labelled rows that the model is fitted on, and the most words that it weighs.
@@ -141,7 +141,8 @@ def _vectors(labelled: DataFrame, words: list[str]) -> DataFrame:
             columns = [batch.column(0), batch.column(1), pa.array(sizes, pa.int32()), pa.array(at, lists), pa.array(n, lists)]
             yield pa.RecordBatch.from_arrays(columns, ["row", "grade", "size", "at", "n"])
 
-    return labelled.mapInArrow(run, "row long, grade int, size int, at array<int>, n array<int>")
+    kind = labelled.schema["row"].dataType.simpleString()
+    return labelled.mapInArrow(run, f"row {kind}, grade int, size int, at array<int>, n array<int>")
 
 
 def train_severity(
@@ -166,10 +167,10 @@ def train_severity(
     ``graded_by_rate``: for labels that only say 0 or 1. Rows above 0 are split at the median rate of the words that stand
     out most (z-score above a tenth of the highest): the lower half has grade 1, the rest grade 2.
     """
-    known = labels.select(labels[id_col].cast("long").alias("row"), labels[grade_col].cast("int").alias("grade"))
+    known = labels.select(row_id(labels, id_col).alias("row"), labels[grade_col].cast("int").alias("grade"))
     known = known.where("row is not null and grade >= 0").groupBy("row").agg(F.max("grade").alias("grade"))
     sample = known.orderBy(F.xxhash64("row"), "row").limit(max_labelled)
-    texts = docs.select(docs[id_col].cast("long").alias("row"), docs[text_col].alias("text")).where("text is not null")
+    texts = docs.select(row_id(docs, id_col).alias("row"), docs[text_col].alias("text")).where("text is not null")
     labelled = texts.join(F.broadcast(sample), "row").groupBy("row").agg(F.max("grade").alias("grade"), F.max("text").alias("text"))
     labelled = small_batches(written(labelled, "labelled"))
     total = labelled.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum((F.col("grade") > 0).cast("int")), F.lit(0)).alias("up")).first()
@@ -200,18 +201,19 @@ def toxicity(
     at no cost in clean documents).
 
     Whole texts are read; a null or empty text gets what the thresholds alone say. Null ids and repeated rows pass
-    through; an empty table gives an empty result. A column of ``docs`` that has the name of a new one is replaced.
+    through; an empty table gives an empty result. A column of ``docs`` that has the name of a new one, in whatever case, is
+    replaced. A very long text is worked on by itself.
     """
     new = ("expected_severity", "p_toxic", "rejected")
-    columns = [c for c in docs.columns if c not in new]
+    columns = others(docs, *new)
     text_at = len(columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in blocks(batches, text_at):
             found = [model.chances(x.as_py()) for x in batch.column(text_at)]
             first = [float(p[0]) if len(p) else 0.0 for p in found]
             columns = [*batch.columns[:text_at], pa.array([float(p.sum()) for p in found]), pa.array(first), pa.array([x >= reject_at for x in first])]
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:text_at], *new])
 
     schema = docs.select(*columns).schema.add("expected_severity", "double").add("p_toxic", "double").add("rejected", "boolean")
-    return small_batches(docs).select(*columns, docs[text_col].alias("_text")).mapInArrow(run, schema)
+    return small_batches(docs.select(*columns, docs[text_col].alias(spare(docs, "text_read")))).mapInArrow(run, schema)
