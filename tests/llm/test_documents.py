@@ -116,7 +116,7 @@ def test_ids_of_other_types(spark, cases):
     lines = line_dedup(df)
     assert {r["doc_id"]: r["n_removed"] for r in lines.collect()} == {"d0": 0, **{f"d{i}": 1 for i in range(1, 6)}, None: 0}
     subs = substring_dedup(df)
-    assert {r["doc_id"]: r["n_removed"] for r in subs.collect()} == {"d0": 0, **{f"d{i}": 80 for i in range(1, 6)}, None: 80}
+    assert {r["doc_id"]: r["n_removed"] for r in subs.collect()} == {"d0": 0, **{f"d{i}": 81 for i in range(1, 6)}, None: 80}
     for found in (lines, subs):
         assert [c.lower() for c in found.columns].count("n_removed") == 1 and found.schema["n_removed"].dataType.typeName() == "long"
     assert [r["doc_id"] for r in simhash.keep_one(df).collect()] == ["d0"]
@@ -436,6 +436,68 @@ def test_edit_probe(cases, docs):
     assert np.mean([r["near_edited"] for r in long]) > 0.35 > 0.15 > np.mean([r["near_next"] for r in long])
 
 
+def brute_features(data, ranks):
+    """The windows that are the rarest of enough of their neighbourhoods, first of equals, by their bytes."""
+    w, around, popular = fingerprints.WINDOW, fingerprints.AROUND, fingerprints.POPULAR
+    if len(data) < w:
+        return [data] if data else []
+    bins = []
+    for i in range(len(data) - w + 1):
+        counts = Counter(data[i : i + w])
+        bins.append(sum(round(c * np.log2(c) * 65536) for c in counts.values()) * (fingerprints.BINS - 1) // int(fingerprints._TERMS[w]))
+    best = lambda a, b: min(range(a, b), key=lambda i: (ranks[bins[i]], i))
+    if len(bins) < around:
+        return [data[best(0, len(bins)) :][:w]]
+    votes = Counter(best(a, a + around) for a in range(len(bins) - around + 1))
+    chosen = sorted(i for i, n in votes.items() if n >= popular) or [min(votes, key=lambda i: (-votes[i], i))]
+    return list(dict.fromkeys(data[i : i + w] for i in chosen))
+
+
+def test_fingerprints_against_brute_force(docs):
+    """Selection of windows, the chain of filters and likeness, each recomputed plainly."""
+    ranks = fingerprints.rarity(fingerprints.histogram(docs))
+    chains = []
+    for _, text in sorted(rows_of(docs), key=lambda r: len(r[1] or ""))[:60]:
+        data = (text or "").encode()[:1500]
+        raw = np.frombuffer(data, np.uint8)
+        want, got = brute_features(data, ranks), fingerprints.features(raw, ranks)
+        alone = [fingerprints.run_hashes(np.frombuffer(x, np.uint8).astype(np.uint64) + np.uint64(1), fingerprints.BYTE_BASE, np.array([0]), np.array([len(x)]))[0] for x in want]
+        assert got.tolist() == [int(x) for x in alone]
+        filters = [set() for _ in range(-(-len(want) // fingerprints.FILTER_FEATURES))]
+        for i, x in enumerate(got):
+            for k in range(fingerprints.HASHES):
+                filters[i // fingerprints.FILTER_FEATURES].add(int(fingerprints.mixed(x + np.uint64(k))) % fingerprints.FILTER_BITS)
+        chain = fingerprints.chain(got)
+        assert [set(np.flatnonzero(f).tolist()) for f in chain] == filters
+        assert np.array_equal(fingerprints.unpacked(fingerprints.packed(chain)), chain)
+        chains.append((chain, filters))
+    for (a, fa), (b, fb) in zip(chains, chains[1:], strict=False):
+        fa, fb = (fa, fb) if len(fa) <= len(fb) else (fb, fa)
+        if not fa:
+            want = float(not fb)
+        else:
+            def score(x, y):
+                chance, most = len(x) * len(y) / fingerprints.FILTER_BITS, min(len(x), len(y))
+                return 1.0 if most <= chance else min(1.0, max(0.0, (len(x & y) - chance) / max(most - chance, 1)))
+
+            want = float(np.mean([max(score(x, y) for y in fb) for x in fa]))
+        assert abs(fingerprints.likeness(a, b) - want) < 1e-5
+
+
+def test_equal_and_missing_ids_are_dealt_to_slots(spark):
+    """Many rows without an id, or with one id, do not share a slot, and keep their order."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} {'x' * (i % 50)}") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    placed = fingerprints.with_next(df).collect()
+    own = [r for r in placed if not r["ahead"]]
+    assert counted((r["doc_id"], r["text"]) for r in own) == counted(rows)
+    for chosen in (None, 7):
+        slots = Counter(r["slot"] for r in own if r["doc_id"] == chosen)
+        assert len(slots) > 2 and max(slots.values()) < 250
+    probed = fingerprints.edit_probe(df).collect()
+    assert counted((r["doc_id"], r["n_chars"]) for r in probed) == counted((d, len(t)) for d, t in rows)
+
+
 def test_entropy_of_windows():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 110, 500).astype(np.uint8)
