@@ -16,7 +16,7 @@ from deedweb.llm import packing, simhash
 from deedweb.llm.line_dedup import line_dedup
 from deedweb.llm.substring import substring_dedup
 from deedweb.llm.toxicity import toxicity, train_severity
-from deedweb.scratch import written
+from deedweb.scratch import discard, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -68,8 +68,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read by the next."""
+    """All stages over ``documents``; each result is written to the shared folder, read by the next, and deleted when that
+    is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,7 @@ tasks it was running and nothing before them.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``. Where the setting is absent (tests), a new temporary folder is set."""
+    """The folder in ``spark.checkpoint.dir``. Where the setting is absent, a new temporary folder is set in a session of one
+    process (tests); on a cluster, where executors would each see another folder, that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="deedweb-")
         spark.sparkContext.setCheckpointDir(found)
     return found
