@@ -1,10 +1,14 @@
 """The pipeline's stages on the smallest tables and on odd ones."""
 
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
 import corpus_pipeline
-from deedweb.llm import simhash
-from test_documents import brute_exact, brute_substrings
+import numpy as np
+import public_tokenizers
+from deedweb.llm import packing, simhash
+from test_documents import brute_near, brute_substrings
+from tokenizers import Tokenizer
 
 
 def test_stages(spark, sf):
@@ -19,12 +23,35 @@ def test_stages(spark, sf):
         before = after
     assert len(clean - kept[0].keys()) <= 1 and len(toxic & kept[0].keys()) <= 0.4 * len(toxic)
     assert kept[1].keys() == kept[0].keys()
-    assert len({"".join(x.split()) for x in kept[2].values() if x.strip()}) >= len([x for x in kept[2].values() if x.strip()]) - 3
-    assert brute_exact(list(kept[1].items()))
+    assert kept[1] == brute_lines(kept[0], {r["doc_id"]: r["source"] or "" for r in docs.collect()})
+    rows = list(kept[1].items())
+    assert kept[2] == {d: t for (d, t), least in zip(rows, brute_near(rows), strict=True) if d == least}
     want = {d: (n, k) for d, _, n, k in brute_substrings(list(kept[2].items()), 50)}
     assert kept[3] == {d: want[d][1] if want[d][0] else t for d, t in kept[2].items()}
     placed = corpus_pipeline.run(spark, sf).collect()
-    assert {r["doc_id"] for r in placed} == kept[3].keys()
+    library, pieces, held = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), Counter(), defaultdict(list)
+    for d, t in kept[3].items():
+        ids = np.array([*library.encode(t or "", add_special_tokens=False).ids, 0], "<u4")
+        for k, (start, n) in enumerate(packing.cuts(len(ids), 2048)):
+            pieces[d, k, start, n, zlib.crc32(ids[start : start + n].tobytes())] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in placed) == pieces
+    for r in placed:
+        held[r["sequence_id"]].append((r["offset"], r["length"]))
+    for members in held.values():
+        ends = [0, *(a + n for a, n in sorted(members))]
+        assert [a for a, _ in sorted(members)] == ends[:-1] and ends[-1] <= 2048
+
+
+def brute_lines(texts, source):
+    """The texts without lines of five sources or more, but in the document with the smallest id."""
+    cut = lambda x: x.strip(" \t\r")
+    sites, least = defaultdict(set), {}
+    for d, text in sorted(texts.items()):
+        for line in (text or "").split("\n"):
+            sites[cut(line)].add(source[d])
+            least.setdefault(cut(line), d)
+    stays = lambda x, d: not cut(x) or len(sites[cut(x)]) < 5 or least[cut(x)] == d
+    return {d: None if t is None else "\n".join(x for x in t.split("\n") if stays(x, d)) for d, t in texts.items()}
 
 
 def test_odd_documents(spark, tmp_path):
