@@ -142,3 +142,12 @@ def test_warc_empty(spark):
     path = fresh_path(spark, "test-warc")
     warc.write_bundles(spark.createDataFrame([], PAGES), path)
     assert warc.read_bundles(spark.read.schema("content binary").parquet(path)).count() == 0
+
+
+def test_very_long_hosts(spark):
+    """A host of very many labels is judged by its end, in time that grows with its length."""
+    long = ".".join(f"x{i}" for i in range(60_000))
+    rows = [(1, f"http://{long}.Example.com/en/a", None), (2, f"http://{long}.www.example.com/en/a", None), (3, f"http://{long}.net/fr/{'p' * 500_000}", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in filter_urls(pages, rule_table(spark, URL_RULES)).collect()}
+    assert got == {1: ("example.com/en/", "block"), 2: ("www.example.com/en/", "allow"), 3: ("net/fr/", "block")}
