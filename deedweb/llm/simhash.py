@@ -119,6 +119,20 @@ def _find(parent: np.ndarray, x: int) -> int:
     return x
 
 
+def _unite(parent: np.ndarray, i: int, hits: np.ndarray, edges: list[tuple[int, int]]) -> None:
+    """Join i with all hits; an edge is added for each union."""
+    while len(hits):  # one union, then all hits that it joined go
+        a, b = _find(parent, i), _find(parent, int(hits[0]))
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            edges.append((i, int(hits[0])))
+        roots = parent[hits]
+        while not np.array_equal(roots, higher := parent[roots]):
+            roots = higher
+        parent[hits] = roots
+        hits = hits[roots != min(a, b)]
+
+
 def tile_forest(left: np.ndarray, right: np.ndarray, sizes: tuple | None, radius: int, ratio: float) -> list[tuple[int, int]]:
     """A spanning forest of the links between the rows of two tiles (n x lanes words; right may be left itself), as
     pairs of positions in left followed by right."""
@@ -139,17 +153,7 @@ def tile_forest(left: np.ndarray, right: np.ndarray, sizes: tuple | None, radius
         if same:
             near &= np.arange(len(right))[None, :] > np.arange(at, at + len(rows))[:, None]
         for i in np.flatnonzero(near.any(axis=1)):
-            hits = np.flatnonzero(near[i]) + shift
-            while len(hits):  # one union, then all hits that it joined go
-                a, b = _find(parent, at + i), _find(parent, int(hits[0]))
-                if a != b:
-                    parent[max(a, b)] = min(a, b)
-                    edges.append((int(at + i), int(hits[0])))
-                roots = parent[hits]
-                while not np.array_equal(roots, higher := parent[roots]):
-                    roots = higher
-                parent[hits] = roots
-                hits = hits[roots != min(a, b)]
+            _unite(parent, int(at + i), np.flatnonzero(near[i]) + shift, edges)
     return edges
 
 
@@ -313,28 +317,93 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return both.where((total == 0) | (shared >= similarity * (total - shared) - 1e-9)).select("src", "dst")
 
 
-def _prefix_pairs(sets: DataFrame, similarity: float) -> DataFrame:
-    """``src, dst``: the pairs of different clusters of a component that can have the similarity, from the rows
-    ``node, component, cluster, shingles``.
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For each set of left, the number of hashes that it shares with each set of right, from an inverted index of right."""
+    tokens = np.concatenate([np.zeros(0, np.int64), *right])
+    order = np.argsort(tokens, kind="stable")
+    tokens, owner = tokens[order], np.repeat(np.arange(len(right)), [len(x) for x in right])[order]
+    for own in left:
+        low = np.searchsorted(tokens, own, "left")
+        n = np.searchsorted(tokens, own, "right") - low
+        at = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        yield np.bincount(owner[at], minlength=len(right))
+
+
+def set_forest(left: list[np.ndarray], right: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs whose sets have that Jaccard similarity at least, between two tiles of sets of hashes
+    (right may be left itself), as pairs of positions in left followed by right. Sets without hashes are alike."""
+    same = right is left
+    shift = 0 if same else len(left)
+    sizes = np.array([len(x) for x in right])
+    parent = np.arange(len(left) + (0 if same else len(right)))
+    edges = []
+    for i, shared in enumerate(_overlaps(left, right)):
+        total = len(left[i]) + sizes
+        near = (total == 0) | (shared >= similarity * (total - shared) - 1e-9)
+        _unite(parent, i, np.flatnonzero(near) + shift, edges)
+    return edges
+
+
+def _compared_sets(similarity: float):
+    """Rows ``meet, side, node, shingles``, sorted by meeting and side, to forests: sides 1 and 2 against each other, one side
+    within itself."""
+
+    def forest(nodes: list[int], sets: list[np.ndarray], split: int) -> pa.RecordBatch:
+        left = sets[:split] if split else sets
+        found = set_forest(left, sets[split:] if split else left, similarity)
+        return pa.RecordBatch.from_arrays([pa.array([nodes[p[i]] for p in found], pa.int64()) for i in (0, 1)], ["src", "dst"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, split, nodes, sets = None, 0, [], []
+        for batch in batches:
+            for meet, side, node, shingles in zip(*(c.to_pylist() for c in batch.columns[:3]), batch.column(3), strict=True):
+                if meet != key:
+                    if nodes:
+                        yield forest(nodes, sets, split)
+                    key, split, nodes, sets = meet, 0, [], []
+                if side == 2 and not split:
+                    split = len(nodes)
+                nodes.append(node)
+                sets.append(shingles.values.to_numpy())
+        if nodes:
+            yield forest(nodes, sets, split)
+
+    return run
+
 
-    Shingles are ordered from rare to frequent; of two sets of n shingles or fewer with a similarity of t, the first
-    n - tn + 1 share one. Shingles of one cluster only come before all others and are not joined.
+#: Hashes of a tile of sets, and the growth of set sizes from one cell to the next.
+SET_TILE, SET_CELL = 1 << 15, 1.05
+
+
+def set_links(sets: DataFrame, similarity: float, tile: int = SET_TILE) -> DataFrame:
+    """``(src, dst)``: a spanning forest, in each meeting of tiles, of the pairs of a component whose sets have that Jaccard
+    similarity at least, from the rows ``node, component, shingles``.
+
+    The sets of a component are cut into tiles of about ``tile`` hashes along their sizes, whatever their number; tile pairs
+    whose sizes cannot have the similarity are never made, and no pairs of sets leave a task but links.
     """
-    rows = sets.select("node", "component", "cluster", F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
-    known = rows.groupBy("component", "token").agg(
-        F.count(F.lit(1)).alias("n"), F.min("cluster").alias("low"), F.max("cluster").alias("high")
-    )
-    known = known.where("low <> high").select(F.struct("component", "token").alias("key"), "n")
-    shared = rows.join(known, F.struct("component", "token") == F.col("key"))
-    listed = shared.groupBy("node", "component", "cluster", "size").agg(F.array_sort(F.collect_list(F.struct("n", "token"))).alias("tokens"))
-    ahead = F.col("size") - F.ceil(similarity * F.col("size") - 1e-9) + 1
-    place = F.greatest(F.lit(0), (ahead - (F.col("size") - F.size("tokens"))).cast("int"))
-    prefix = listed.select("node", "component", "cluster", "size", F.explode(F.slice("tokens", F.lit(1), place)).alias("at"))
-    prefix = written(prefix.select("node", "cluster", "size", F.struct("component", F.col("at.token").alias("token")).alias("key")), "prefixes")
-    other = prefix.select(*(F.col(c).alias(f"{c}2") for c in prefix.columns))
-    fits = F.least("size", "size2") >= similarity * F.greatest("size", "size2") - 1e-9
-    met = prefix.join(other, F.col("key") == F.col("key2")).where((F.col("node") < F.col("node2")) & (F.col("cluster") != F.col("cluster2")) & fits)
-    return met.select(F.col("node").alias("src"), F.col("node2").alias("dst")).distinct()
+    size = F.size("shingles")
+    rows = sets.select("node", "component", (size + 1).cast("long").alias("weight"), F.floor(F.log(size + F.lit(1.0)) / np.log(SET_CELL)).alias("cell"))
+    cells = rows.groupBy("component", "cell").agg(F.sum("weight").alias("n"))
+    along = Window.partitionBy("component").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0)))
+    place = F.floor((F.col("before") + F.pmod(F.xxhash64("node"), F.col("n"))) / tile)
+    placed = rows.join(cells.select(F.struct("component", "cell").alias("of"), "n", "before"), F.struct("component", "cell") == F.col("of"))
+    placed = written(placed.select("node", "component", "cell", place.alias("tile")), "placed")
+    span = placed.groupBy("component", "tile").agg(F.min("cell").alias("low"), F.max("cell").alias("high"))
+    span = written(span, "tiles")
+    other = span.select("component", F.col("tile").alias("tile2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    apart = int(np.ceil(np.log(1 / similarity) / np.log(SET_CELL))) + 2  # of cells; sizes count one more, hence one of slack
+    close = (F.col("low2") - F.col("high") <= apart) & (F.col("low") - F.col("high2") <= apart)
+    meets = span.join(other, "component").where((F.col("tile") < F.col("tile2")) & close)
+    sides = F.explode(F.array(F.struct(F.col("tile").alias("tile"), F.lit(1).alias("side")), F.struct(F.col("tile2").alias("tile"), F.lit(2).alias("side"))))
+    meets = meets.select("component", F.xxhash64("component", "tile", "tile2").alias("meet"), sides.alias("at")).select("component", "at.*", "meet")
+    own = span.select("component", "tile", F.lit(3).alias("side"), F.xxhash64("component", "tile").alias("meet"))
+    dealt = placed.join(meets.unionByName(own), ["component", "tile"]).select(F.struct("node").alias("of"), "meet", "side")
+    dealt = sets.select("node", "shingles").join(dealt, F.struct("node") == F.col("of")).select("meet", "side", "node", "shingles")
+    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = small_batches(dealt.repartition(parts, "meet").sortWithinPartitions("meet", "side"))
+    return dealt.mapInArrow(_compared_sets(similarity), "src long, dst long")
 
 
 def meeting_lanes(lanes: DataFrame) -> DataFrame:
@@ -362,8 +431,8 @@ def near_copies(
     Texts meet in lanes, by bands of minima over their shingles, and fingerprints within ``radius`` make candidate components.
     Two sets of similarity 0.8 miss all lanes with a probability of 0.00003. In 256 bits, they differ in 38.8 bits with a
     standard deviation of 5.7 (sets of four and five shingles in 48 and 6.3), so a radius of 72 passes over no pair in
-    practice. The forest of candidates is verified first; where that leaves a component in several clusters, all pairs of
-    clusters are searched by shared rare shingles. Every link is verified on the whole sets.
+    practice. The forest of candidates is verified first; where that leaves a component in several clusters, its whole sets are
+    compared in tiles. Every link is verified on the whole sets.
 
     Equal sets are one node, whatever the number of their documents. Texts without words are alike; a very long text is worked
     on by itself. Null ids never become a component id unless a component has no other; ids may be of any type that can be
@@ -384,9 +453,10 @@ def near_copies(
     named = sets.select("node", "component").join(clusters, "node", "left")
     named = written(named.select("node", "component", F.coalesce("cluster", "node").alias("cluster")), "clustered")
     several = named.groupBy("component").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high")
-    searched = written(sets.join(named.join(several, "component", "left_semi").select("node", "cluster"), "node"), "searched")
+    searched = written(sets.join(several.select("component"), "component", "left_semi").select("node", "component", "shingles"), "searched")
     discard(sets)
-    more = _alike(_prefix_pairs(searched, similarity), searched, similarity)
+    more = written(set_links(searched, similarity), "more")
+    discard(searched)
     ends = named.select(F.col("node").alias("a"), "cluster")
     joins = more.join(ends, F.col("src") == F.col("a")).select(F.col("cluster").alias("src"), "dst")
     joins = joins.join(ends, F.col("dst") == F.col("a")).select("src", F.col("cluster").alias("dst"))

@@ -349,6 +349,36 @@ def test_near_copies_of_tables(request, which):
     assert got == counted(zip((d for d, _ in rows), brute_near(rows), strict=True))
 
 
+def test_set_links_of_tiles(spark):
+    """Tiles of whatever size give the components of all pairs: chains at 0.8, many sets that share much but do not link, and
+    empty sets."""
+    rng = np.random.default_rng(12)
+    base = np.arange(100)
+    sets = [[]] * 3 + [[i] for i in (7, 7, 8)]
+    for i in range(40):  # 30 hashes of 100 are own: no two link
+        sets.append([*rng.choice(base, 70, replace=False).tolist(), *range(1000 + 50 * i, 1030 + 50 * i)])
+    for i in range(20):  # each links with the next: 95 of 105
+        sets.append(list(range(5000 + 5 * i, 5100 + 5 * i)))
+    component = [1 + (i >= 50) for i in range(len(sets))]
+    df = spark.createDataFrame([(i, c, s) for i, (c, s) in enumerate(zip(component, sets, strict=True))], "node long, component long, shingles array<long>")
+
+    def least(links):
+        root = list(range(len(sets)))
+        while any(root[a] != root[b] for a, b in links):
+            for a, b in links:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    def alike(a, b):
+        return len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))
+
+    want = least([(i, j) for i in range(len(sets)) for j in range(i) if component[i] == component[j] and alike(sets[i], sets[j])])
+    for tile in (150, 1000, 1 << 15):
+        found = [(r["src"], r["dst"]) for r in simhash.set_links(df, 0.8, tile).collect()]
+        assert all(alike(sets[a], sets[b]) for a, b in found)
+        assert least(found) == want
+
+
 def test_keep_one_of_cases(cases):
     got = [(r["doc_id"], r["text"]) for r in simhash.keep_one(cases).collect()]
     texts = [t for _, t in got]
