@@ -14,6 +14,7 @@ from deedweb.llm.line_dedup import line_dedup
 from deedweb.llm.substring import substring_dedup
 from deedweb.llm.toxicity import toxicity, train_severity
 from deedweb.llm.url_filters import filter_urls, rule_table
+from deedweb.llm.vector_codes import vector_codes
 from deedweb.scratch import fresh_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -85,6 +86,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = vector_codes(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -98,5 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_exact_dedup,
         op10_bpe,
+        op11_vector_codes,
     )
 }

@@ -78,10 +78,38 @@ SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION B
 FROM d WINDOW g AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
 """
 
+#: A part's distance from an entry, and each round of the codebooks: parts choose, then entries move to the floors of the means.
+_CODE_ROUND = """
+a{r} AS MATERIALIZED (SELECT r, p, arg_min(e, d::HUGEINT * 16 + e) AS e, min(d) AS d
+  FROM (SELECT q.r, q.p, b.e, list_sum(list_transform(list_zip(q.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM parts q JOIN b{r} b USING (p)) GROUP BY r, p),
+b{n} AS MATERIALIZED (SELECT p, e, coalesce(m.x, b.x) AS x FROM b{r} b LEFT JOIN (
+  SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM (
+    SELECT p, e, i, sum(x[i])::HUGEINT AS s, count(*) AS n FROM a{r} JOIN parts USING (r, p), range(1, 9) t(i) GROUP BY p, e, i)
+  GROUP BY p, e) m USING (p, e)),"""
+
+VECTOR_CODES = (
+    """
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+    list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT r, p, v[p * 8 + 1 : p * 8 + 8] AS x FROM kept, range(8) t(p)),
+b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x FROM parts WHERE r <= 16),"""
+    + "".join(_CODE_ROUND.format(r=r, n=r + 1) for r in range(7))
+    + """
+codes AS (SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a6 GROUP BY r),
+sums AS (SELECT label, sum(error)::BIGINT AS label_error FROM kept JOIN codes USING (r) GROUP BY label),
+book AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b6)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM kept JOIN codes USING (r) JOIN sums ON kept.label IS NOT DISTINCT FROM sums.label, book
+"""
+)
+
 ORACLE_SQL = {
     "op1_url_filters": URL_FILTERS,
     "op3_line_dedup": LINE_DEDUP,
     "op7_substring_dedup": SUBSTRING_DEDUP,
     "op8_warc": WARC,
     "op9_exact_dedup": EXACT_DEDUP,
+    "op11_vector_codes": VECTOR_CODES,
 }
