@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from deedweb.llm import bpe, fingerprints, packing, simhash, warc
 from deedweb.llm.exact_dedup import exact_dedup
+from deedweb.llm.jaccard_join import jaccard_components
 from deedweb.llm.line_dedup import line_dedup
 from deedweb.llm.substring import substring_dedup
 from deedweb.llm.toxicity import toxicity, train_severity
@@ -91,6 +92,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -105,5 +111,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_dedup,
         op10_bpe,
         op11_vector_codes,
+        op13_jaccard_join,
     )
 }

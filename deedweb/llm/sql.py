@@ -105,6 +105,20 @@ FROM kept JOIN codes USING (r) JOIN sums ON kept.label IS NOT DISTINCT FROM sums
 """
 )
 
+JACCARD_JOIN = r"""
+WITH RECURSIVE w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []::VARCHAR[] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i+2], ' ')) END) AS g FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL)
+  JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 90 * (na.n + nb.n - k)),
+both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(d, c) AS (SELECT doc_id, doc_id FROM w UNION SELECT both.b, reach.c FROM reach JOIN both ON both.a = reach.d WHERE reach.c < both.b)
+SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS component_id
+FROM reach LEFT JOIN n ON n.doc_id = reach.d JOIN w ON w.doc_id = reach.d GROUP BY w.doc_id
+"""
+
 ORACLE_SQL = {
     "op1_url_filters": URL_FILTERS,
     "op3_line_dedup": LINE_DEDUP,
@@ -112,4 +126,5 @@ ORACLE_SQL = {
     "op8_warc": WARC,
     "op9_exact_dedup": EXACT_DEDUP,
     "op11_vector_codes": VECTOR_CODES,
+    "op13_jaccard_join": JACCARD_JOIN,
 }
