@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from deedweb.llm import bpe, fingerprints, packing, simhash, warc
+from deedweb.llm.conversation_trie import conversation_trie, grafted_sequences, ordered_turns
 from deedweb.llm.exact_dedup import exact_dedup
 from deedweb.llm.jaccard_join import jaccard_components
 from deedweb.llm.line_dedup import line_dedup
@@ -92,6 +93,12 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = ordered_turns(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+    conv = F.col("conv")
+    return conversation_trie(*grafted_sequences(turns, conv - conv % 100, F.crc32(conv.cast("string")) % 6))
+
+
 def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "component_id")
@@ -111,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_exact_dedup,
         op10_bpe,
         op11_vector_codes,
+        op12_conversation_trie,
         op13_jaccard_join,
     )
 }

@@ -113,12 +113,33 @@ s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []:
 n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 links AS MATERIALIZED (SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL)
   JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * k >= 90 * (na.n + nb.n - k)),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-reach(d, c) AS (SELECT doc_id, doc_id FROM w UNION SELECT both.b, reach.c FROM reach JOIN both ON both.a = reach.d WHERE reach.c < both.b)
+ends AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(d, c) AS (SELECT doc_id, doc_id FROM w UNION SELECT ends.b, reach.c FROM reach JOIN ends ON ends.a = reach.d WHERE reach.c < ends.b)
 SELECT w.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(c) AS component_id
 FROM reach LEFT JOIN n ON n.doc_id = reach.d JOIN w ON w.doc_id = reach.d GROUP BY w.doc_id
 """
 
+CONVERSATION_TRIE = r"""
+WITH own AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i,
+    coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END))) % 6 AS h
+  FROM (SELECT DISTINCT c FROM own)),
+turns AS (SELECT convs.c, i, role, text FROM convs JOIN own ON own.c = convs.c - convs.c % 100 AND i <= h
+  UNION ALL SELECT convs.c, i, role, text FROM convs JOIN own ON own.c = convs.c AND i > h),
+seqs AS (SELECT c, list({r: role, t: text} ORDER BY i) FILTER (i IS NOT NULL) AS s FROM convs LEFT JOIN turns USING (c) GROUP BY c),
+steps AS (SELECT c, s, d, coalesce(s[1:d], []) AS k FROM (SELECT c, coalesce(s, []) AS s, unnest(range(len(coalesce(s, [])) + 1)) AS d FROM seqs)),
+nodes AS MATERIALIZED (SELECT k, d, min(c) AS conv_id, count(*) AS n, string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d) AS ends FROM steps GROUP BY k, d),
+links AS (SELECT p.k, p.conv_id AS parent, x.k AS child FROM nodes x JOIN nodes p ON x.d = p.d + 1 AND x.k[1:p.d] = p.k),
+kids AS (SELECT k, count(*) AS n_children FROM links GROUP BY k),
+below AS (SELECT p.k, count(*) FILTER (kids.k IS NULL) AS n_leaves,
+    sum(CASE WHEN x.d > 0 THEN (x.n - 1) * length(x.k[x.d].t) ELSE 0 END)::BIGINT AS saved_tokens
+  FROM nodes p JOIN nodes x ON x.d >= p.d AND x.k[1:p.d] = p.k LEFT JOIN kids ON kids.k = x.k GROUP BY p.k)
+SELECT conv_id, d AS depth, parent AS parent_conv_id, n AS n_convs, coalesce(n_children, 0)::BIGINT AS n_children, n_leaves, saved_tokens,
+  sha256(coalesce(ends, '')) AS ends_sha256
+FROM nodes LEFT JOIN links ON links.child = nodes.k LEFT JOIN kids ON kids.k = nodes.k JOIN below ON below.k = nodes.k
+"""
+
 ORACLE_SQL = {
     "op1_url_filters": URL_FILTERS,
     "op3_line_dedup": LINE_DEDUP,
@@ -126,5 +147,6 @@ ORACLE_SQL = {
     "op8_warc": WARC,
     "op9_exact_dedup": EXACT_DEDUP,
     "op11_vector_codes": VECTOR_CODES,
+    "op12_conversation_trie": CONVERSATION_TRIE,
     "op13_jaccard_join": JACCARD_JOIN,
 }
