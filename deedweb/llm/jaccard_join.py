@@ -15,10 +15,9 @@ parts that hashes cut the sets into (suffix). What passes is verified once on th
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -37,8 +36,10 @@ BUCKET = 1 << 21
 PARTS = 64
 #: Rows of a tile of postings.
 TILE = 1024
+#: Pairs of postings that are looked at together.
+CELLS = 1 << 18
 #: Rounds in which each component takes its best candidate only.
-ROUNDS = 5
+ROUNDS = 2
 #: Bits of the filter that keeps rows from a shuffle, whatever the input.
 FILTER_BITS = 1 << 23
 
@@ -187,25 +188,15 @@ def _tested(table: DataFrame, kind: str, percent: int) -> DataFrame:
     return small_batches(counted).mapInArrow(run, f"doc_id {kind}, text_hash long, n int, digest binary, open boolean")
 
 
-def ruled_out(keys: DataFrame) -> Callable[[Column], Column]:
-    """A test for 64-bit hashes: false if a hash is surely not among those of the one column of ``keys``. The filter has
-    ``FILTER_BITS`` bits for any number of keys; where there are too many it lets more rows pass, and the exact join that follows drops them."""
-    hashed = keys.select(F.col(keys.columns[0]).alias("h"))
-    place = F.explode(F.array(*(F.pmod(F.xxhash64("h", F.lit(i)), F.lit(FILTER_BITS)) for i in range(3)))).alias("at")
-    word = hashed.select(place).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit"))
-    found = word.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()  # FILTER_BITS / 64 rows at most
-    words = np.zeros(FILTER_BITS // 64, np.uint64)
-    words[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-
-    @F.pandas_udf("boolean")
-    def test(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        hit = np.ones(len(a), bool)
-        for places in (a, b, c):
-            at = places.to_numpy()
-            hit &= (words[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) > 0
-        return pd.Series(hit)
-
-    return lambda h: test(*(F.pmod(F.xxhash64(h, F.lit(i)), F.lit(FILTER_BITS)) for i in range(3)))
+def maybe_among(rows: DataFrame, h: Column, keys: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose 64-bit hash ``h`` is not in the one column of ``keys``; what is left goes to an exact join.
+    The filter is a broadcast table of ``FILTER_BITS`` bits, whatever the number of keys; with very many of them, more rows pass."""
+    place = lambda x: F.pmod(F.xxhash64(x), F.lit(FILTER_BITS))
+    at = keys.select(place(F.col(keys.columns[0])).alias("at"))
+    bits = at.select(F.shiftright("at", 6).alias("_word"), F.expr("shiftleft(1L, cast(at % 64 as int))").alias("bit"))
+    words = written(bits.groupBy("_word").agg(F.bit_or("bit").alias("_bits")), "filter")  # FILTER_BITS / 64 rows at most
+    test = rows.withColumn("_at", place(h)).join(F.broadcast(words), F.shiftright("_at", 6) == F.col("_word"))
+    return test.where("shiftright(_bits, cast(_at % 64 as int)) & 1 = 1").drop("_at", "_word", "_bits")
 
 
 def _set_blocks(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
@@ -223,8 +214,8 @@ def _set_blocks(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str,
             ]
             yield pa.RecordBatch.from_arrays(columns, ["block", "nodes", "ends", "tokens"])
 
-    test = ruled_out(chosen.select(F.xxhash64("key")))
-    texts = docs.select(row_key(docs, id_col, text_col).alias("key"), docs[text_col].alias("text")).where(test(F.xxhash64("key")))
+    texts = docs.select(row_key(docs, id_col, text_col).alias("key"), docs[text_col].alias("text"))
+    texts = maybe_among(texts, F.xxhash64("key"), chosen.select(F.xxhash64("key")))
     found = texts.join(chosen, "key").select("node", "text")
     return small_batches(found).mapInArrow(run, "block long, nodes array<long>, ends array<long>, tokens binary")
 
@@ -264,7 +255,7 @@ def surviving(left: tuple, right: tuple, same: bool, percent: int) -> tuple[np.n
     n1, p1, parts1, c1 = left
     n2, p2, parts2, c2 = right
     out = []
-    step = max(1, (1 << 20) // max(1, len(n2)))
+    step = max(1, CELLS // max(1, len(n2)))
     for at in range(0, len(n1), step):
         rows = slice(at, at + step)
         a, b = n1[rows, None], n2[None, :]
@@ -274,8 +265,8 @@ def surviving(left: tuple, right: tuple, same: bool, percent: int) -> tuple[np.n
         if same:
             good &= np.arange(len(n2))[None, :] > np.arange(at, at + good.shape[0])[:, None]
         i, j = np.nonzero(good)
-        for k in range(0, len(i), 1 << 16):
-            x, y = i[k : k + (1 << 16)] + at, j[k : k + (1 << 16)]
+        for k in range(0, len(i), CELLS >> 4):
+            x, y = i[k : k + (CELLS >> 4)] + at, j[k : k + (CELLS >> 4)]
             apart = np.abs(parts1[x].astype(np.int16) - parts2[y]).sum(axis=1)
             total = n1[x] + n2[y]
             near = apart <= total - 2 * -(-percent * total // (100 + percent))
@@ -381,7 +372,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     rows = small_batches(sets.select("nodes", "ends", "tokens")).mapInArrow(run, "node long, tokens array<long>")
     ends = pairs.select(F.explode(F.array("src", "dst")).alias("h"))
-    rows = rows.where(ruled_out(ends)(F.col("node"))).dropDuplicates(["node"])
+    rows = maybe_among(rows, F.col("node"), ends).dropDuplicates(["node"])
     side = lambda end, name: rows.select(F.struct(F.col("node").alias(end)).alias(f"{name}_key"), F.col("tokens").alias(name))
     both = pairs.join(side("src", "a"), F.struct("src") == F.col("a_key")).join(side("dst", "b"), F.struct("dst") == F.col("b_key"))
     shared = F.size(F.array_intersect("a", "b"))
