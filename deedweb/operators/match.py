@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from deedweb.functions.tokens import let, ngrams, token_at, tokens
@@ -55,52 +56,146 @@ def vectors(docs: DataFrame, weights: DataFrame, params: StringMatchParams) -> D
     return rows.select("doc", F.aggregate("terms", start, step, lambda s: s["out"]).alias("terms"))
 
 
-def _leading(side: DataFrame, name: str, threshold: float | None) -> DataFrame:
-    """The grams to join on. Grams are in one order on both sides, rarest first; from the gram on where the rest of the
-    vector is shorter than the threshold, no match can begin."""
-    kept = F.col("terms") if threshold is None else F.filter("terms", lambda t: t["tail"] >= threshold - 1e-9)
-    return side.select(F.col("doc").alias(name), F.explode(F.transform(kept, lambda t: t["gram"])).alias("gram"))
-
-
 def _distinct(df: DataFrame, col: str) -> DataFrame:
     return df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("doc")).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def _both_sides(refs: DataFrame, queries: DataFrame, ref_col: str, query_col: str, params: StringMatchParams) -> tuple[DataFrame, DataFrame]:
-    """The vectors of queries and references, written."""
-    left, right = _distinct(queries, query_col), _distinct(refs, ref_col)
-    weights = fit_weights(right, params)
-    q = written(vectors(left, weights, params), "query-vectors")
-    return q, q if refs is queries and ref_col == query_col else written(vectors(right, weights, params), "reference-vectors")
+# A matcher: what is known of the references
 
 
-def _scored(q: DataFrame, r: DataFrame, threshold: float | None) -> DataFrame:
-    pairs = _leading(q, "original_doc", threshold).join(_leading(r, "matched_doc", threshold), "gram")
-    pairs = pairs.select("original_doc", "matched_doc").distinct()
-    with_q = pairs.join(q.select(F.col("doc").alias("original_doc"), F.col("terms").alias("_q")), "original_doc")
-    both = with_q.join(r.select(F.col("doc").alias("matched_doc"), F.col("terms").alias("_r")), "matched_doc")
+@dataclass(frozen=True)
+class Matcher:
+    """``weights``: ``gram, df, idf``. ``vectors``: ``id, doc, terms`` of the references. ``postings``: ``gram, ref, w, tail, rest``, a
+    row for each term; ``rest`` is the length of what is left after it."""
+
+    params: StringMatchParams
+    weights: DataFrame
+    vectors: DataFrame
+    postings: DataFrame
+
+
+def _postings(side: DataFrame, name: str, *more: str) -> DataFrame:
+    after = lambda i: F.coalesce(F.try_element_at("terms", i + 2)["tail"], F.lit(0.0))  # noqa: E731  (i counts from 0, places from 1)
+    rows = F.transform("terms", lambda t, i: F.struct(t["gram"].alias("gram"), t["w"].alias("w"), t["tail"].alias("tail"), after(i).alias("rest")))
+    return side.select(F.col("id").alias(name), *more, F.inline(rows))
+
+
+def _vectors(docs: DataFrame, weights: DataFrame, params: StringMatchParams, name: str) -> DataFrame:
+    return written(vectors(docs, weights, params).withColumn("id", F.monotonically_increasing_id()), name)
+
+
+def fit_matcher(refs: DataFrame, ref_col: str = "doc", params: StringMatchParams = StringMatchParams()) -> Matcher:
+    """Weights and vectors of the references. Null references are left out; repeated ones count once, or as often as they occur
+    (``as_given``)."""
+    docs = _distinct(refs, ref_col)
+    weights = written(fit_weights(docs, params), "gram-weights")
+    found = _vectors(docs, weights, params, "reference-vectors")
+    return Matcher(params, weights, found, _postings(found, "ref"))
+
+
+#: The tables of a saved matcher and what each is bucketed and sorted by.
+SAVED = {"weights": "gram", "postings": "gram", "vectors": "id"}
+
+
+def save_matcher(matcher: Matcher, path: str, buckets: int | None = None) -> None:
+    """Writes the tables below ``path``, bucketed by gram (vectors by id). ``params`` comes last: a folder without it is not a
+    matcher. With as many buckets as the queries' joins have partitions (the default), a match moves no row of the references."""
+    spark = matcher.weights.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name, key in SAVED.items():
+        table = f"matcher_{uuid.uuid4().hex}"
+        rows = getattr(matcher, name).repartition(buckets, key)
+        rows.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", f"{path}/{name}").saveAsTable(table)
+        spark.sql(f"DROP TABLE {table}")  # the files stay; a matcher is its folder
+    p = matcher.params
+    row = spark.range(1).select(*(F.lit(v).cast(t).alias(n) for n, v, t in (
+        ("threshold", p.threshold, "double"), ("k", p.k, "int"), ("n", p.n, "int"), ("as_given", p.as_given, "boolean"), ("buckets", buckets, "int"),
+    )))
+    row.coalesce(1).write.parquet(f"{path}/params")
+
+
+def load_matcher(spark: SparkSession, path: str) -> Matcher:
+    """A saved matcher, in this session or another; its tables are known to Spark as bucketed."""
+    given = spark.read.parquet(f"{path}/params").first().asDict()
+    buckets = given.pop("buckets")
+    tables = {}
+    for name, key in SAVED.items():
+        table = f"matcher_{uuid.uuid4().hex}"
+        kinds = ", ".join(f"`{c}` {t}" for c, t in spark.read.parquet(f"{path}/{name}").dtypes)
+        where = f"{path}/{name}".replace("'", r"\'")
+        spark.sql(f"CREATE TABLE {table} ({kinds}) USING parquet CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{where}'")
+        tables[name] = spark.table(table)
+    return Matcher(StringMatchParams(**given), **tables)
+
+
+def _asked(matcher: Matcher, queries: DataFrame, query_col: str) -> DataFrame:
+    """The vectors of queries: ``id, doc, terms``. Grams that no reference has are left out."""
+    return _vectors(_distinct(queries, query_col), matcher.weights, matcher.params, "query-vectors")
+
+
+def candidates(q: DataFrame, postings: DataFrame, once: bool = False) -> DataFrame:
+    """``query, ref, met, bound``: the pairs that may reach the query's threshold ``least`` (a column of ``q``).
+
+    Grams are in one order on both sides, rarest first; a pair that reaches the threshold shares a leading gram, one from which on
+    both vectors are at least that long. Products of weights are added up while leading grams meet (``met``). All other shared
+    grams come after the last of these, and where one side's leading grams end they are past them: what is left of the two
+    vectors bounds the rest, so ``bound`` is at least the cosine. Pairs below the threshold by their bound go before any vector
+    is fetched. With ``once``, q and the references are one table, and a pair is made in one order only.
+    """
+    end = F.coalesce(F.array_max(F.transform(F.filter("terms", lambda t: t["tail"] < F.col("least") - 1e-9), lambda t: t["tail"])), F.lit(0.0))
+    asked = _postings(q.withColumn("end", end), "query", "least", "end").where(F.col("tail") >= F.col("least") - 1e-9)
+    asked = asked.select("gram", "query", "least", "end", F.col("w").alias("query_w"), F.col("rest").alias("query_rest"))
+    both = asked.join(postings, "gram").where(F.col("tail") >= F.col("least") - 1e-9)
+    if once:
+        both = both.where(F.col("query") <= F.col("ref"))
+    met = both.groupBy("query", "ref").agg(
+        F.sum(F.col("query_w") * F.col("w")).alias("met"),
+        F.min("query_rest").alias("query_rest"), F.min("rest").alias("rest"), F.first("least").alias("least"), F.first("end").alias("end"),
+    )
+    later = F.greatest(F.col("end") * F.col("rest"), F.col("query_rest") * F.least("rest", F.greatest("least", F.lit(0.0))))
+    bounded = met.select("query", "ref", "met", (F.col("met") + later).alias("bound"), "least")
+    return bounded.where(F.col("bound") >= F.col("least") - 1e-9).drop("least")
+
+
+def _dots(pairs: DataFrame, q: DataFrame, r: DataFrame) -> DataFrame:
+    """``query, original_doc, matched_doc, conf1`` of pairs of ids."""
+    left = q.select(F.col("id").alias("query"), F.col("doc").alias("original_doc"), F.col("terms").alias("_q"))
+    right = r.select(F.col("id").alias("ref"), F.col("doc").alias("matched_doc"), F.col("terms").alias("_r"))
+    both = pairs.join(left, "query").join(right, "ref")
     known = F.map_from_entries(F.transform("_r", lambda t: F.struct(t["gram"], t["w"])))
-    both = both.select("original_doc", "matched_doc", "_q", known.alias("_known"))
-    dot = F.aggregate("_q", F.lit(0.0), lambda s, t: s + t["w"] * F.coalesce(F.try_element_at("_known", t["gram"]), F.lit(0.0)))
-    scored = both.select("original_doc", "matched_doc", dot.alias("conf1"))
-    return scored if threshold is None else scored.where(F.col("conf1") >= threshold - 1e-9)
+    dot = lambda s: F.aggregate(s["q"], F.lit(0.0), lambda x, t: x + t["w"] * F.coalesce(F.try_element_at(s["r"], t["gram"]), F.lit(0.0)))
+    return both.select("query", "original_doc", "matched_doc", let({"q": F.col("_q"), "r": known}, dot).alias("conf1"))
+
+
+def _scored(q: DataFrame, matcher: Matcher, least: float, once: bool = False) -> DataFrame:
+    """All pairs that reach ``least``."""
+    postings = matcher.postings.where(F.col("tail") >= least - 1e-9)
+    found = _dots(candidates(q.withColumn("least", F.lit(least)), postings, once), q, matcher.vectors).where(F.col("conf1") >= least - 1e-9)
+    if once:
+        turned = found.where("original_doc <> matched_doc").select("query", F.col("matched_doc").alias("original_doc"), F.col("original_doc").alias("matched_doc"), "conf1")
+        found = written(found, "scored-once").unionByName(turned)
+    return found
 
 
 def similar_pairs(refs: DataFrame, queries: DataFrame, ref_col: str, query_col: str, params: StringMatchParams) -> DataFrame:
     """``original_doc, matched_doc, conf1`` (cosine) for distinct documents that share a gram and reach the threshold.
 
-    Exact. Pairs meet on leading grams only, and each pair is scored once from both vectors. The rarest grams lead, so
-    the postings that meet are short, whatever the corpus' most frequent grams are. A threshold is needed: without one, every
+    Exact. The rarest grams lead, so the postings that meet are short, whatever the corpus' most frequent grams are; most pairs that
+    meet go by a bound on their cosine (see ``candidates``), and the others are scored once from both vectors. A threshold is needed: without one, every
     document that shares a gram with another would be its pair.
     """
     if params.threshold is None:
         raise ValueError("similar_pairs needs a threshold; match_strings finds the nearest without one")
-    return _scored(*_both_sides(refs, queries, ref_col, query_col, params), params.threshold)
+    matcher = fit_matcher(refs, ref_col, params)
+    same = refs is queries and ref_col == query_col
+    q = matcher.vectors if same else _asked(matcher, queries, query_col)
+    return _scored(q, matcher, params.threshold, same).drop("query")
 
 
-#: Thresholds of the search for the nearest, in steps: most documents have their ``k`` nearest above the first ones, and the few
-#: that are left meet on all of their grams.
-STEPS = (0.7, 0.5, 0.3, None)
+#: Thresholds of the search for the nearest, in steps: most documents have their ``k`` nearest above the first ones.
+STEPS = (0.7, 0.5, 0.3)
+#: Rarest grams by which the queries that are left look for some references, any of which bounds their search.
+PROBES = 2
 
 
 def _nearest(scored: DataFrame, k: int) -> DataFrame:
@@ -109,19 +204,28 @@ def _nearest(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
 
 
-def nearest(q: DataFrame, r: DataFrame, k: int) -> DataFrame:
+def nearest(q: DataFrame, matcher: Matcher, k: int) -> DataFrame:
     """The ``k`` nearest references of each query that share a gram with it, exactly: a query that has ``k`` at or above a
-    step's threshold is done, since no other can be nearer; the others go on to the next step."""
+    step's threshold is done, since no other can be nearer. Those that are left score the references of their rarest grams; the
+    ``k``-th best of these is a threshold of their own for the last step. Only a query with fewer meets on all of its grams."""
     done = []
     for threshold in STEPS:
-        top = written(_nearest(_scored(q, r, threshold), k), "nearest")
-        if threshold is None:
-            done.append(top)
-            break
-        full = top.groupBy("original_doc").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == k).select(F.col("original_doc").alias("doc"))
-        done.append(top.join(full, top["original_doc"] == full["doc"], "left_semi"))
-        q = written(q.join(full, "doc", "left_anti"), "query-vectors")
-    return reduce(DataFrame.unionByName, done)
+        top = written(_nearest(_scored(q, matcher, threshold), k), "nearest")
+        full = top.groupBy("query").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == k).select("query")
+        done.append(top.join(full, "query", "left_semi"))
+        q = written(q.join(full.withColumnRenamed("query", "id"), "id", "left_anti"), "query-vectors")
+    probes = _postings(q.withColumn("terms", F.slice("terms", 1, PROBES)), "query").select("query", "gram")
+    pairs = probes.join(matcher.postings.select("gram", "ref"), "gram").select("query", "ref").distinct()
+    reached = _nearest(_dots(pairs, q, matcher.vectors), k).groupBy("query").agg(F.min("conf1").alias("least"), F.count(F.lit(1)).alias("_n"))
+    reached = reached.select(F.col("query").alias("id"), F.when(F.col("_n") == k, F.col("least")).otherwise(0.0).alias("least"))
+    q = written(q.join(reached, "id", "left").withColumn("least", F.coalesce("least", F.lit(0.0))), "query-vectors")
+    done.append(_nearest(_dots(candidates(q, matcher.postings), q, matcher.vectors), k))
+    return reduce(DataFrame.unionByName, done).drop("query")
+
+
+def match_with(matcher: Matcher, queries: DataFrame, query_col: str = "doc", params: StringMatchParams | None = None) -> DataFrame:
+    """``match_strings`` for queries that come later than the references; ``params`` may set another threshold or ``k``."""
+    return _matches(_asked(matcher, queries, query_col), matcher, params or matcher.params, False)
 
 
 def match_strings(refs: DataFrame, queries: DataFrame, ref_col: str = "doc", query_col: str = "doc", params: StringMatchParams = StringMatchParams()) -> DataFrame:
@@ -130,8 +234,13 @@ def match_strings(refs: DataFrame, queries: DataFrame, ref_col: str = "doc", que
 
     Best last. Null documents are left out; repeated ones count once.
     """
-    q, r = _both_sides(refs, queries, ref_col, query_col, params)
-    top = nearest(q, r, params.k) if params.threshold is None else _nearest(_scored(q, r, params.threshold), params.k)
+    matcher = fit_matcher(refs, ref_col, params)
+    same = refs is queries and ref_col == query_col
+    return _matches(matcher.vectors if same else _asked(matcher, queries, query_col), matcher, params, same)
+
+
+def _matches(q: DataFrame, matcher: Matcher, params: StringMatchParams, same: bool) -> DataFrame:
+    top = nearest(q, matcher, params.k) if params.threshold is None else _nearest(_scored(q, matcher, params.threshold, same), params.k)
     found = top.select(
         "original_doc", "matched_doc", (1 - F.col("conf1")).alias("conf"), F.levenshtein("original_doc", "matched_doc").alias("ldist"), "conf1"
     )

@@ -15,6 +15,7 @@ from deedweb.operators import geocode, network, stats
 from deedweb.operators import match as M
 from deedweb.operators import tables as T
 from deedweb.plans.inputs import derived
+from deedweb.scratch import fresh_path
 from deedweb.sources.contracts import CLASS_CODES, Contract, columns, violations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -342,6 +343,16 @@ def tfidf_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("original_doc", "matched_doc", F.round("conf1", 6).alias("conf1"), "ldist")
 
 
+@query
+def saved_matcher(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A matcher is fitted on the owners and saved; a later delivery, in which streets are spelled out, meets what is loaded."""
+    owners, path = derived(spark, sf_dir, "owners").select("doc"), fresh_path(spark, "matcher")
+    M.save_matcher(M.fit_matcher(owners, params=M.StringMatchParams(threshold=0.6, k=2)), path)
+    later = owners.select(F.regexp_replace("doc", " ST$", " STREET").alias("doc"))
+    found = M.match_with(M.load_matcher(spark, path), later)
+    return found.select("original_doc", "matched_doc", F.round("conf1", 6).alias("conf1"), "ldist")
+
+
 @query
 def match_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.match_groups(_matched(spark, sf_dir, M.StringMatchParams(threshold=0.75, k=3)))

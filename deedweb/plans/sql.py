@@ -329,6 +329,21 @@ FROM r WHERE k <= 4 AND c > 0.75 AND c < 1 - 1e-9""",
     "owners",
 )
 over("tfidf_nearest", sql_scores("count(*)") + " SELECT original_doc, matched_doc, round(c, 6) AS conf1, levenshtein(original_doc, matched_doc)::INT AS ldist FROM r WHERE k <= 3", "owners")
+over(
+    "saved_matcher",
+    f""", docs AS (SELECT DISTINCT doc AS d, replace(doc, ' - ', ' ') AS t FROM owners),
+later AS (SELECT DISTINCT regexp_replace(doc, ' ST$', ' STREET') AS d, regexp_replace(replace(doc, ' - ', ' '), ' ST$', ' STREET') AS t FROM owners),
+g AS (SELECT d, gram, count(*) AS tf FROM (SELECT d, unnest({sql_grams('t')}) AS gram FROM docs) GROUP BY ALL),
+h AS (SELECT d, gram, count(*) AS tf FROM (SELECT d, unnest({sql_grams('t')}) AS gram FROM later) GROUP BY ALL),
+idf AS (SELECT gram, ln((1 + (SELECT count(*) FROM docs)) / (1 + count(*))) + 1 AS idf FROM g GROUP BY gram),
+u AS (SELECT d, gram, w / sqrt(sum(w * w) OVER (PARTITION BY d)) AS w FROM (SELECT d, gram, tf * idf AS w FROM g JOIN idf USING (gram))),
+v AS (SELECT d, gram, w / sqrt(sum(w * w) OVER (PARTITION BY d)) AS w FROM (SELECT d, gram, tf * idf AS w FROM h JOIN idf USING (gram))),
+s AS (SELECT v.d AS original_doc, u.d AS matched_doc, sum(v.w * u.w) AS c FROM v JOIN u USING (gram) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY original_doc ORDER BY round(c, 12) DESC, matched_doc) AS k FROM s)
+SELECT original_doc, matched_doc, round(c, 6) AS conf1, levenshtein(original_doc, matched_doc)::INT AS ldist
+FROM r WHERE k <= 2 AND c > 0.6 AND c < 1 - 1e-9 AND original_doc <> matched_doc""",
+    "owners",
+)
 GROUPS = sql_scores("1") + """, m AS (SELECT original_doc AS a, matched_doc AS b FROM r WHERE k <= 3 AND c > 0.75 AND c < 1 - 1e-9),
 e AS (SELECT a, b FROM m UNION SELECT b, a FROM m), t(node, label) AS (SELECT a, a FROM e UNION SELECT e.b, t.label FROM t JOIN e ON e.a = t.node),
 p AS (SELECT node, min(label) AS component FROM t GROUP BY node),
