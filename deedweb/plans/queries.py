@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from deedweb.functions.tokens import ngrams
 from deedweb.operators import geocode, network, stats
 from deedweb.operators import match as M
 from deedweb.operators import tables as T
+from deedweb.operators.growth import grow_components, read_components, save_components
 from deedweb.plans.inputs import derived
-from deedweb.scratch import fresh_path
+from deedweb.scratch import fresh_path, written
 from deedweb.sources.contracts import CLASS_CODES, Contract, columns, violations
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -408,6 +410,20 @@ def network_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return network.network_counts(network.components(edges), edges)
 
 
+@query
+def network_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelling of the edges between owners and their own addresses is saved; string matches and entities' addresses come as
+    two deliveries, whose edges alone are read."""
+    df, root = derived(spark, sf_dir, "records"), fresh_path(spark, "components")
+    none = F.lit(None).cast("string")
+    own = df.withColumn("entity_clean_name", none)
+    first = network.taxpayer_edges(own, replace(PARAMS, match_col=None))
+    save_components(spark, network.components(first), root)
+    grow_components(spark, network.taxpayer_edges(own, PARAMS), root, source="matches", batch=1)
+    grow_components(spark, network.taxpayer_edges(df, PARAMS), root, source="entities", batch=1)
+    return network.numbered(written(read_components(spark, root), "grown"))
+
+
 @query
 def landlord_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: the network of each record, with its name."""

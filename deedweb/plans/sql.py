@@ -392,6 +392,7 @@ over(
     EDGES + PARTS + " SELECT node, component, dense_rank() OVER (ORDER BY component) - 1 AS component_id FROM parts",
     "records", recursive=True,
 )
+ORACLE_SQL["network_growth"] = ORACLE_SQL["network_components"]
 over(
     "network_counts",
     EDGES + PARTS + """ SELECT (SELECT count(DISTINCT component) FROM parts) AS components, (SELECT count(*) FROM parts) AS nodes,
