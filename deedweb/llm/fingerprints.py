@@ -238,7 +238,7 @@ def edit_probe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     The edited text has its second half replaced by the beginning of the next document, in descending order of ids (see
     ``with_next``). ``near_edited`` and ``near_next`` say how like the document's fingerprint is to that of its edited text,
     and of the next document. A null text counts as empty. A table of one row has that row as the next one. Repeated rows
-    are neighbours; an empty table gives an empty result.
+    are neighbours; an empty table gives an empty result. Very long texts: a task holds two of them and some ``BLOCK_BYTES`` of results.
     """
     known = rarity(histogram(docs, text_col))
     names = ("doc_id", "n_chars", "edited_text", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
@@ -246,6 +246,7 @@ def edit_probe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # a row that waits for the next one
         out: list[tuple] = []
+        waiting = 0  # characters of edited texts in out
 
         def row(now: tuple, after: tuple) -> tuple:
             changed = edited(now[1], after[1])
@@ -268,9 +269,11 @@ def edit_probe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 here = (doc_id.as_py(), text, digest(text, known), slot.as_py())
                 if held and held[3] == here[3]:
                     out.append(row(held, here))
+                    waiting += len(out[-1][2])
                 held = None if ahead.as_py() else here
-                if len(out) >= 500 or sum(len(x[2]) for x in out[-1:]) > BLOCK_BYTES:
+                if len(out) >= 500 or waiting > BLOCK_BYTES:
                     yield flush()
+                    waiting = 0
         if out:
             yield flush()
 

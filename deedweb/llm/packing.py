@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import math
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -28,6 +29,9 @@ from deedweb.llm.words import PATTERN, cutter, pieces
 from deedweb.scratch import written
 
 LIMIT = 2048
+#: The pattern's library gives up on runs of white space of about a million characters, so from far below that on, a part with such a
+#: run is left to the tokenizers library.
+LONG_SPACE = re.compile(r"\s{65536}")
 #: Items that one call of best fit holds at most.
 CHUNK = 1 << 16
 
@@ -64,13 +68,16 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian unsigned 32-bit integers."""
         if not self.ranks:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(
-            [
-                self.added[x].to_bytes(4, "little") if special else self.ranks.encode_to_numpy(x, disallowed_special=()).astype("<u4").tobytes()
-                for x, special in pieces(text, self.added, self.cut)
-            ]
-        )
+            return self._by_library(text)
+        return b"".join([self.added[x].to_bytes(4, "little") if special else self._plain(x) for x, special in pieces(text, self.added, self.cut)])
+
+    def _by_library(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _plain(self, part: str) -> bytes:
+        if len(part) >= 1 << 16 and LONG_SPACE.search(part):
+            return self._by_library(part)
+        return self.ranks.encode_to_numpy(part, disallowed_special=()).astype("<u4").tobytes()
 
 
 @lru_cache(maxsize=4)

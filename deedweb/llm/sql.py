@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries that SQL can express. The others are tested against brute force in tests/llm."""
 
+import re
+
 URL_FILTERS = r"""
 WITH RECURSIVE rules(host, path, verdict) AS (
   VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -8,19 +10,24 @@ p AS (SELECT page_id, url, html,
   translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''),
             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
   coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
-  CASE WHEN contains(url, '://') THEN regexp_replace(trim(url), '(?s)#.*$', '') END AS node FROM pages),
-links AS (SELECT node, url, regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'),
-                                     '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS link FROM p
-  UNION ALL SELECT node, url, regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'),
-                                     '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) FROM p),
-aim AS (SELECT node AS src, regexp_replace(CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
+  regexp_replace(trim(url), '(?s)#.*$', '') AS bare, regexp_extract_all(html, '(?is)<(?:link|meta)\b[^<>]*>') AS tags FROM pages),
+tag AS (SELECT bare, url, coalesce(list_filter(tags, lambda t: regexp_matches(t, '(?is)^<link\b.*[\s"''/]rel\s*=\s*["'']?\s*canonical\b'))[1], '') AS t, 'href' AS a FROM p
+  UNION ALL SELECT bare, url, coalesce(list_filter(tags, lambda t: regexp_matches(t, '(?is)^<meta\b.*[\s"''/]http-equiv\s*=\s*["'']?\s*refresh\b'))[1], ''), 'content' FROM p),
+given AS (SELECT bare, url, a, trim(regexp_replace(coalesce(nullif(regexp_extract(t, '(?is)[\s"''/](?:href|content)\s*=\s*"([^"]*)"', 1), ''),
+    nullif(regexp_extract(t, '(?is)[\s"''/](?:href|content)\s*=\s*''([^'']*)''', 1), ''),
+    regexp_extract(t, '(?is)[\s"''/](?:href|content)\s*=\s*([^\s"''>]+)', 1)), '(?i)&(?:amp|#38|#x26);', '&', 'g')) AS v FROM tag),
+aimed AS (SELECT bare, url, CASE WHEN a = 'href' THEN v ELSE regexp_extract(v, '(?is)(?:^|[;,\s])url\s*=\s*(.*)$', 1) END AS v, a FROM given),
+links AS (SELECT bare, url, trim(CASE WHEN a = 'content' AND regexp_matches(v, '^["'']') THEN regexp_extract(v, '(?s)^["'']([^"'']*)', 1) ELSE v END) AS link FROM aimed),
+far AS (SELECT bare, regexp_replace(trim(CASE WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN link
     WHEN starts_with(link, '//') THEN regexp_extract(url, '(?s)^(.*?:)//', 1) || link
     WHEN starts_with(link, '/') THEN regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) || link
     WHEN NOT regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:|^#|^$')
-    THEN rtrim(regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '/') || '/' || link END, '(?s)#.*$', '') AS dst
-  FROM links WHERE node IS NOT NULL AND link <> ''),
+    THEN rtrim(regexp_extract(url, '(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)', 1), '/') || '/' || link END), '(?s)#.*$', '') AS dst
+  FROM links WHERE contains(bare, '://') AND link <> ''),
+aim AS (SELECT NODE(bare) AS src, NODE(dst) AS dst FROM far WHERE contains(dst, '://')),
 edges AS (SELECT src, dst FROM aim WHERE dst IS NOT NULL UNION SELECT dst, src FROM aim WHERE dst IS NOT NULL),
-named AS (SELECT node AS n FROM p WHERE node IS NOT NULL UNION SELECT dst FROM edges),
+nodes AS (SELECT page_id, p.host, p.path, CASE WHEN contains(bare, '://') THEN NODE(bare) END AS node FROM p),
+named AS (SELECT node AS n FROM nodes WHERE node IS NOT NULL UNION SELECT dst FROM edges),
 split AS (SELECT n, regexp_extract(n, '(?s)^.*?://([^/?#]*)([^?#]*)', 1) AS host,
                     regexp_extract(n, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM named),
 fits AS (SELECT n, arg_max(verdict, length(r.host || r.path)) AS verdict FROM split s JOIN rules r
@@ -32,8 +39,12 @@ best AS (SELECT p.host AS h, p.path AS pa, arg_max(r.host || r.path, length(r.ho
   ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY ALL)
 SELECT p.page_id, p.host, p.path, b.rule,
   coalesce(b.verdict, CASE WHEN p.node IN (SELECT n FROM reach) THEN 'block' ELSE 'allow' END) AS verdict
-FROM p LEFT JOIN best b ON p.host = b.h AND p.path = b.pa
+FROM nodes p LEFT JOIN best b ON p.host = b.h AND p.path = b.pa
 """
+#: A url without its fragment, with its host in lower case.
+_NODE = r"""(regexp_extract(\1, '(?s)^(.*?://)', 1) || translate(regexp_extract(\1, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz') || regexp_replace(\1, '(?s)^.*?://[^/?#]*', ''))"""
+URL_FILTERS = re.sub(r"NODE\((\w+)\)", lambda m: _NODE.replace(r"\1", m[1]), URL_FILTERS)
 
 LINE_DEDUP = r"""
 WITH lines AS (SELECT doc_id, coalesce(source, '') AS site, trim(unnest(string_split(text, chr(10))), ' ' || chr(9) || chr(13)) AS line

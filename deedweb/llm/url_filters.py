@@ -18,10 +18,12 @@ from deedweb.scratch import written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The host is group 1, the path group 2.
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
-CANONICAL = r"(?is)<link\b[^>]*\brel\s*=\s*[\"']?canonical\b[^>]*>"
-HREF = r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)"
-REFRESH = r"(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b[^>]*>"
-TARGET = r"(?is)\burl\s*=\s*[\"']?([^\"'\s>;]+)"
+#: A tag ends before the next one begins, so what is never closed is passed over once.
+TAGS = r"(?is)<(?:link|meta)\b[^<>]*+>"
+CANONICAL = r"(?is)^<link\b.*[\s\"'/]rel\s*=\s*[\"']?\s*canonical\b"
+REFRESH = r"(?is)^<meta\b.*[\s\"'/]http-equiv\s*=\s*[\"']?\s*refresh\b"
+#: The rest of a refresh header after ``url=``.
+TARGET = r"(?is)(?:^|[;,\s])url\s*=\s*(.*)$"
 
 
 def host_of(url: Column) -> Column:
@@ -78,7 +80,6 @@ def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
 
 def _absolute(url: Column, link: Column) -> Column:
     """A link as seen from a page; links that are no address of a page (``mailto:`` and the like) give null."""
-    link = F.replace(link, F.lit("&amp;"), F.lit("&"))
     scheme, root = F.regexp_extract(url, r"(?s)^(.*?:)//", 1), F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*(?:/[^?#]*/|/)?)", 1)
     slash = F.when(F.endswith(folder, F.lit("/")), folder).otherwise(F.concat(folder, F.lit("/")))
@@ -97,14 +98,23 @@ def _node(url: Column) -> Column:
     return F.when(bare.contains("://"), F.concat(F.regexp_extract(bare, r"(?s)^(.*?://)", 1), host_of(bare), F.regexp_replace(bare, r"(?s)^.*?://[^/?#]*", "")))
 
 
+def _value(tag: Column, name: str) -> Column:
+    """The value of an attribute: all between its quotes, or up to a space; ``&amp;`` stands for ``&``. Empty without one."""
+    found = [F.regexp_extract(tag, rf"(?is)[\s\"'/]{name}\s*=\s*{value}", 1) for value in (r'"([^"]*)"', r"'([^']*)'", r"([^\s\"'>]+)")]
+    return F.trim(F.regexp_replace(F.coalesce(*(F.nullif(x, F.lit("")) for x in found), F.lit("")), "(?i)&(?:amp|#38|#x26);", "&"))
+
+
 def alias_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """``src, dst``: from each page to its canonical link and to where its refresh header sends the reader."""
-    html, url = pages[html_col], pages[url_col]
-    links = F.array(
-        F.regexp_extract(F.regexp_extract(html, CANONICAL, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract(html, REFRESH, 0), TARGET, 1),
-    )
-    rows = pages.select(_node(url).alias("src"), url.alias("url"), F.explode(links).alias("link")).where("link <> ''")
+    """``src, dst``: from each page to its canonical link and to where its refresh header sends the reader, by the first tag of
+    either kind. Targets are taken whole. The work on a page grows with its length, however malformed it is."""
+    url = pages[url_col]
+    rows = pages.select(_node(url).alias("src"), url.alias("url"), F.regexp_extract_all(pages[html_col], F.lit(TAGS), F.lit(0)).alias("tags"))
+    first = lambda kind: F.coalesce(F.get(F.filter("tags", lambda t: t.rlike(kind)), 0), F.lit(""))
+    rows = rows.where(F.size("tags") > 0).select("src", "url", first(CANONICAL).alias("link"), first(REFRESH).alias("meta"))
+    rows = rows.select("src", "url", _value(F.col("link"), "href").alias("href"), F.regexp_extract(_value(F.col("meta"), "content"), TARGET, 1).alias("target"))
+    quoted = F.regexp_extract("target", r"(?s)^[\"']([^\"']*)", 1)
+    target = F.trim(F.when(F.col("target").rlike("^[\"']"), quoted).otherwise(F.col("target")))
+    rows = rows.select("src", "url", F.explode(F.array("href", target)).alias("link")).where("link <> ''")
     return rows.select("src", _node(_absolute(F.col("url"), F.col("link"))).alias("dst")).where("src is not null and dst is not null and src <> dst")
 
 
@@ -121,7 +131,7 @@ def filter_urls(
     ``rule`` is the longest rule that fits, or null, and its verdict is final. Without a rule, a url is blocked if its
     component over redirects and canonical links holds a url that a rule blocks, and else allowed. ``redirects`` has further
     edges ``src, dst``. A null url, or one without ``://``, has an empty host and path, no aliases, and is allowed. Of rules that
-    are equally long, an allow decides. Urls may be of any length. Null ids and html, and repeated rows, pass through; a url that occurs again has the same verdict. An empty table gives an
+    are equally long, an allow decides. Urls and html may be of any length. Null ids and html, and repeated rows, pass through; a url that occurs again has the same verdict. An empty table gives an
     empty result.
     """
     edges = [alias_edges(pages, url_col, html_col)] if html_col else []
