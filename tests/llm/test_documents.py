@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from deedweb.llm import bpe, fingerprints, packing, queries, simhash, words
@@ -649,4 +650,17 @@ def test_queries_run(spark, sf):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     for name, query in queries.QUERIES.items():
         df = query(spark, sf)
-        assert df.columns and (name in ("op1_url_filters", "op6_packing", "op8_warc") or df.count() == n)
+        assert df.columns and (name in ("op1_url_filters", "op6_packing", "op8_warc", "op11_vector_codes", "op12_conversation_trie") or df.count() == n)
+
+
+def test_long_white_space_is_encoded_as_the_library_does(spark):
+    """The pattern's own library gives up on runs of a million characters and more."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    whole = Tokenizer.from_file(path)
+    texts = [" " * 1_200_000 + "a", "x" + "\n" * 1_100_000, "b \n\t" * 3 + " \n" * 600_000 + "c d", "\t" * 70_000 + " e<|endoftext|>" + " " * 1_050_000]
+    for text in texts:
+        want = np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert packing.encoder(path).encode(text) == want
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sizes = {r["doc_id"]: r["n"] for r in packing.pack(df, path).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
+    assert sizes == {i: len(whole.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}

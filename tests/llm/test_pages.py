@@ -1,6 +1,7 @@
 """URL filters and WARC bundles."""
 
 import hashlib
+import time
 
 import pytest
 
@@ -151,3 +152,42 @@ def test_very_long_hosts(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: (r["rule"], r["verdict"]) for r in filter_urls(pages, rule_table(spark, URL_RULES)).collect()}
     assert got == {1: ("example.com/en/", "block"), 2: ("www.example.com/en/", "allow"), 3: ("net/fr/", "block")}
+
+
+PLAIN = "page_id long, url string, html string"
+TARGETS = [
+    ("https://b.org/p?a=1&b=2", '<meta http-equiv=refresh content="0;url=https://b.org/p?a=1&amp;b=2">'),
+    ("https://b.org/p;v=1", "<META content='5; URL=\"/p;v=1\"' http-equiv='Refresh'>"),
+    ("https://b.org/x y", '<link rel = "canonical" data-href="/no" href=" https://B.org/x y#top ">'),
+    ("https://b.org/q", "<link href=/q rel=canonical>"),
+    ("https://b.org/url=/z", '<meta name="refresh" content="0;url=/no"><meta http-equiv="refresh" content="1, url=/url=/z">'),
+    (None, '<meta http-equiv="refresh" content="30"><link rel="stylesheet" href="/s"><link rel="canonical">'),
+    (None, '<link rel="canonical" href="/never closed'),
+    (None, '<link rel="canonical" href="mailto:a@b.org">'),
+]
+
+
+def test_targets_are_whole(spark):
+    """Semicolons, escaped ampersands, quotes in quotes, attributes in any order."""
+    rows = [(i, f"https://b.org/from{i}", html) for i, (_, html) in enumerate(TARGETS)]
+    found = {r.src: r.dst for r in alias_edges(spark.createDataFrame(rows, PLAIN)).collect()}
+    assert found == {f"https://b.org/from{i}": to for i, (to, _) in enumerate(TARGETS) if to}
+
+
+def test_an_alias_by_a_target_with_a_semicolon_is_blocked(spark):
+    rows = [
+        (1, "https://b.org/p;a=1&b=2", link("https://example.com/en/")),
+        (2, "https://c.org/", refresh("https://b.org/p;a=1&amp;b=2")),
+        (3, "https://b.org/p", None),
+    ]
+    got = filter_urls(spark.createDataFrame(rows, PLAIN), rule_table(spark, URL_RULES)).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "allow"}
+
+
+def test_malformed_pages_take_linear_time(spark):
+    """A megabyte each of tags that never close, of one open tag, and of spaces where a value is looked for."""
+    pages = ["<link " * 170_000, '<meta http-equiv="refresh" ' + "a=1 " * 250_000, "<link rel=canonical href" + " " * 10**6 + ">", "<meta content='url=" * 50_000]
+    df = spark.createDataFrame([(i, f"https://b.org/{i}", p) for i, p in enumerate(pages)], PLAIN)
+    began = time.perf_counter()
+    assert len(filter_urls(df, rule_table(spark, URL_RULES)).collect()) == len(pages)
+    assert time.perf_counter() - began < 60
