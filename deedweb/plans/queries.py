@@ -19,6 +19,8 @@ from deedweb.operators.growth import grow_components, read_components, save_comp
 from deedweb.plans.inputs import derived
 from deedweb.scratch import fresh_path, written
 from deedweb.sources.contracts import CLASS_CODES, Contract, columns, violations
+from deedweb.sources.tables import union_all
+from deedweb.streaming.resolve import resolve_stream, settled_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -319,6 +321,27 @@ def geocode_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("cost", F.lit(None).cast("double")).unionByName(costs)
 
 
+@query
+def settled_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers come in two parts, in several batches; each address is settled when it has both. Addresses without any are asked
+    and answered by nothing."""
+    df, path = derived(spark, sf_dir, "candidates"), fresh_path(spark, "answers")
+    address = lambda key: F.concat(key % 4 + 1, F.lit(" MAIN ST "), key, F.lit(", CHICAGO, IL "), 60600 + key % 3)
+    one = F.from_json(F.to_json(F.struct(F.struct("number", F.col("zip_code").alias("zip")).alias("address_components"), "formatted_address")), geocode.RESULTS[6:-1])
+    part = F.when(F.col("candidate") <= 3, 1).otherwise(2)
+    rows = df.groupBy(address(F.col("order_id")).alias("clean_address"), part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("candidate", one.alias("r")))).alias("rows"))
+    rows = rows.select("clean_address", "part", F.transform("rows", lambda x: x["r"]).alias("results"))
+    total = rows.groupBy("clean_address").agg(F.count(F.lit(1)).alias("parts"))
+    none = derived(spark, sf_dir, "properties").join(df.select(F.col("order_id").alias("pin")), "pin", "left_anti")
+    none = none.select(address(F.col("pin")).alias("clean_address"), F.lit(1).alias("part"), F.array().cast(geocode.RESULTS).alias("results"), F.lit(1).cast("long").alias("parts"))
+    rows.join(total, "clean_address").unionByName(none).repartitionByRange(4, "part", "clean_address").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    resolve_stream(stream, f"{path}/out", f"{path}/check", part="part", parts="parts").awaitTermination()
+    found = settled_tables(spark, f"{path}/out")
+    columns = ("clean_address", "candidate", "number", "zip_code", "formatted_address")
+    return union_all([d.select(F.lit(n).alias("part"), *(c for c in columns if c in d.columns)) for n, d in found.items()])
+
+
 # Matching
 
 

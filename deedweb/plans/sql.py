@@ -300,6 +300,17 @@ UNION ALL SELECT 'asked', count(*), round(greatest(count(*) - 2500, 0) * 0.0005,
     "candidates", "properties",
 )
 
+over(
+    "settled_answers",
+    ", lines AS (SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY first, number, zip_code, formatted_address) - 1 AS candidate"
+    " FROM (SELECT order_id, number, zip_code, formatted_address, min(candidate) AS first FROM candidates GROUP BY ALL))"
+    + RESOLVE.replace("FROM candidates)", "FROM lines)")
+    + """, z AS (SELECT *, count(*) OVER (PARTITION BY order_id) AS n, (order_id % 4 + 1) || ' MAIN ST ' || order_id || ', CHICAGO, IL ' || (60600 + order_id % 3) AS clean_address FROM s WHERE stays)
+SELECT CASE WHEN n = 1 THEN 'validated' ELSE 'unvalidated' END AS part, clean_address, candidate, number, zip_code, formatted_address FROM z
+UNION ALL SELECT 'failed', (pin % 4 + 1) || ' MAIN ST ' || pin || ', CHICAGO, IL ' || (60600 + pin % 3), NULL, NULL, NULL, NULL FROM properties WHERE pin NOT IN (SELECT order_id FROM candidates)""",
+    "candidates", "properties",
+)
+
 # Matching
 
 

@@ -1,28 +1,129 @@
-"""Geocoder answers that arrive in files: each batch is resolved, and what it settles leaves the list of open addresses."""
+"""Geocoder answers that arrive in parts and in any order: an address is settled once its answers are in, or late.
+
+The parts of an address are kept in the stream's state. When all are there, or when the watermark passes the time that they were
+waited for, the address leaves with all candidates of its parts together, and is settled by the same steps as a whole table. A
+settled address stays in the state until its time is over, so a part that is sent again does not settle it twice. What a
+batch settles is published once, however often the batch runs.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from deedweb.operators.geocode import flatten_results, process_results, split_results
 from deedweb.operators.tables import remove_listed
+from deedweb.sources.snapshots import Snapshot, publish, snapshot
+
+TABLES = ("validated", "unvalidated", "failed")
+#: What is known of an address: its number of parts, each part as its number and JSON, and whether it is settled.
+STATE = "parts int, answers array<string>, settled boolean"
+GATHERED = "parts int, answers array<string>, complete boolean"
+
+
+def open_addresses(master: DataFrame, *settled: DataFrame, address: str = "clean_address") -> DataFrame:
+    """The addresses of the master list that are in none of the settled tables."""
+    for table in settled:
+        master = remove_listed(master, table, address)
+    return master
+
+
+def as_parts(answers: DataFrame, address: str = "clean_address", part: str | None = None, parts: str | None = None, at: str | None = None) -> DataFrame:
+    """``address, parts, answer, at``: an answer row as the stream keeps it. Without columns for its part and their number, an address has one."""
+    number = F.coalesce(F.col(part) if part else F.lit(None), F.lit(1)).cast("int")
+    total = F.coalesce(F.col(parts) if parts else F.lit(None), F.lit(1)).cast("int")
+    results = F.to_json(F.struct(F.coalesce("results", F.array()).alias("results")))
+    text = F.concat(F.lpad(number.cast("string"), 9, "0"), F.lit(" "), results)  # sorts by part
+    when = F.coalesce(F.col(at).cast("timestamp") if at else F.lit(None).cast("timestamp"), F.timestamp_seconds(F.lit(1)))  # a time of 0 would be late from the start
+    rows = answers.where(F.col(address).isNotNull()) if at is None else answers
+    return rows.select(F.col(address).alias("address"), total.alias("parts"), text.alias("answer"), when.alias("at"))
+
+
+def gathered(rows: DataFrame) -> DataFrame:
+    """``address, parts, answers, complete`` of a whole table of ``as_parts``, as the stream gives them at its end."""
+    each = rows.where("address is not null").groupBy("address").agg(F.max("parts").alias("parts"), F.array_sort(F.collect_set("answer")).alias("answers"))
+    seen = F.size(F.array_distinct(F.transform("answers", lambda x: F.substring(x, 1, 9))))
+    return each.withColumn("complete", seen >= F.col("parts"))
+
+
+def settled(found: DataFrame, schema: str, address: str = "clean_address") -> dict[str, DataFrame]:
+    """The tables ``TABLES`` of gathered addresses; ``schema`` is the type of ``results``. Candidates of all parts are numbered through, and
+    equal ones count once. An address without any candidate is failed."""
+    rows = found.select(F.col("address").alias(address), F.posexplode("answers").alias("_part", "_answer"))
+    results = F.from_json(F.substring("_answer", 11, 1 << 30), f"results {schema}")["results"]
+    flat = flatten_results(rows.select(address, "_part", results.alias("results")), [address, "_part"])
+    same = [c for c in flat.columns if c not in ("_part", "candidate")]
+    flat = flat.groupBy(*same).agg(F.min(F.struct("_part", "candidate")).alias("_place"))
+    order = Window.partitionBy(address).orderBy("_place")
+    flat = flat.withColumn("candidate", F.row_number().over(order) - 1).drop("_place")
+    parts = split_results(found.select(F.col("address").alias(address)), process_results(flat, address), address)
+    return dict(zip(TABLES, parts, strict=True))
+
+
+def gather_stream(rows: DataFrame, wait_seconds: int, delay: str) -> DataFrame:
+    """``gathered`` over a stream of ``as_parts``: an address leaves when all of its parts are in, or when ``wait_seconds`` after its
+    last one have passed by the watermark, which is ``delay`` behind the latest ``at``. Answers older than the watermark are late
+    and dropped. Rows without an address only move the time on."""
+
+    def gather(key: tuple[Any], pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        parts, answers, done = state.get if state.exists else (0, [], False)
+        if state.hasTimedOut:
+            state.remove()
+            if not done and key[0] is not None:
+                yield pd.DataFrame({"address": [key[0]], "parts": [parts], "answers": [sorted(answers)], "complete": [False]})
+            return
+        latest = 0
+        for piece in pieces:
+            parts = max(parts, int(piece["parts"].max()))
+            answers = sorted({*answers, *piece["answer"]})
+            latest = max(latest, int(piece["at"].max().timestamp() * 1000))
+        if key[0] is None:
+            return
+        whole = len({a[:9] for a in answers}) >= parts
+        if whole and not done:
+            yield pd.DataFrame({"address": [key[0]], "parts": [parts], "answers": [answers], "complete": [True]})
+        state.update((parts, [] if whole or done else answers, whole or done))
+        state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + 1000 * wait_seconds + 1)
+
+    timed = rows.withWatermark("at", delay)
+    return timed.groupBy("address").applyInPandasWithState(gather, f"address string, {GATHERED}", STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def open_addresses(master: DataFrame, validated: DataFrame, address: str = "clean_address") -> DataFrame:
-    """The addresses of the master list that no batch has settled."""
-    return remove_listed(master, validated, address)
+def resolve_stream(
+    answers: DataFrame,
+    root: str,
+    checkpoint: str,
+    address: str = "clean_address",
+    part: str | None = None,
+    parts: str | None = None,
+    at: str | None = None,
+    wait_seconds: int = 3600,
+    delay: str = "10 minutes",
+) -> StreamingQuery:
+    """Settles a stream of ``address, results`` and adds each batch to the tables ``TABLES`` published below ``root`` (see
+    ``snapshots``). ``part`` and ``parts`` say which of how many parts an answer is, ``at`` when it came; without them an address has
+    one part. Any cut of the stream into batches gives the tables of one batch, as long as no part comes later than ``delay``."""
+    schema = answers.schema["results"].dataType.simpleString()
 
+    def add(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()  # three tables are made of it
+        try:
+            publish(spark, root, append=settled(batch, schema, address), source=checkpoint, batch=number)
+        finally:
+            batch.unpersist()
 
-def resolve_stream(answers: DataFrame, out: str, checkpoint: str, address: str = "clean_address") -> StreamingQuery:
-    """Appends each batch of ``clean_address, results`` to the tables ``validated`` and ``unvalidated`` below ``out``, in a
-    partition named after the batch, so that a batch that is run again after a failure replaces itself."""
+    found = gather_stream(as_parts(answers, address, part, parts, at), wait_seconds, delay)
+    return found.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
-    def settle(batch: DataFrame, number: int) -> None:
-        flat = flatten_results(batch.dropDuplicates([address]), [address])
-        found = process_results(flat, address)
-        validated, unvalidated, _ = split_results(batch, found, address)
-        for name, part in (("validated", validated), ("unvalidated", unvalidated)):
-            part.write.mode("overwrite").parquet(f"{out}/{name}/batch={number}")
 
-    return answers.writeStream.foreachBatch(settle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def settled_tables(spark, root: str) -> dict[str, DataFrame]:
+    """The published tables."""
+    at: Snapshot = snapshot(spark, root)
+    return {name: at.read(spark, name) for name in TABLES if name in at.folders}

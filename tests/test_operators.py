@@ -12,7 +12,7 @@ from deedweb.operators import match as M
 from deedweb.operators import tables as T
 from deedweb.operators.components import connected_components
 from deedweb.sources import contracts, tables
-from deedweb.streaming.resolve import open_addresses, resolve_stream
+from deedweb.streaming.resolve import as_parts, gathered, open_addresses, resolve_stream, settled, settled_tables
 
 
 def union_find(edges):
@@ -120,19 +120,58 @@ def test_geocode(spark):
     assert geocode.cost(asked).first()["cost"] == 0
 
 
+def answer(n, f):
+    return ((n, None, None, "MAIN", None, None, None, None, "X", None, "IL", "60601", "US"), f, (1.0, 2.0), 0.9, "roof", "s")
+
+
 def test_stream_of_answers(spark, tmp_path):
-    answer = lambda n, f: ((n, None, None, "MAIN", None, None, None, None, "X", None, "IL", "60601", "US"), f, (1.0, 2.0), 0.9, "roof", "s")
-    rows = [("1 MAIN", [answer("1", "1 main")]), ("2 MAIN", [answer("2", "a"), answer("3", "b")]), ("3 MAIN", [])]
+    rows = [("1 MAIN", [answer("1", "1 main")]), ("2 MAIN", [answer("2", "a"), answer("3", "b")]), ("3 MAIN", []), (None, [])]
     schema = f"clean_address string, results {geocode.RESULTS}"
     df = spark.createDataFrame(rows, schema)
     for i in range(2):
-        df.where(F.col("clean_address") == "1 MAIN" if i else F.col("clean_address") != "1 MAIN").write.mode("append").parquet(f"{tmp_path}/in")
+        df.where(F.col("clean_address") == "1 MAIN" if i else F.col("clean_address").eqNullSafe("1 MAIN") == F.lit(False)).write.mode("append").parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
     resolve_stream(stream, f"{tmp_path}/out", f"{tmp_path}/check").awaitTermination()
-    valid = spark.read.parquet(f"{tmp_path}/out/validated")
+    found = settled_tables(spark, f"{tmp_path}/out")
+    valid = found["validated"]
     assert {r["clean_address"] for r in valid.collect()} == {"1 MAIN", "2 MAIN"}
     assert valid.where("clean_address = '1 MAIN'").first()["formatted_address"] == "1 MAIN"
-    assert [r["clean_address"] for r in open_addresses(df, valid).collect()] == ["3 MAIN"]
+    assert [r["clean_address"] for r in found["failed"].collect()] == ["3 MAIN"]
+    assert [r["clean_address"] for r in open_addresses(df.where("clean_address is not null"), valid).collect()] == ["3 MAIN"]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_any_cut_of_a_stream_settles_alike(spark, tmp_path, seed):
+    """Parts of answers in any order and batches, some sent again, some never: the tables are those of one batch."""
+    rng, rows = random.Random(seed), []
+    for i in range(30):
+        parts = rng.randint(1, 3)
+        for part in range(1, parts + 1):
+            got = [answer(rng.choice(["", str(i), "7"]), rng.choice("ab")) for _ in range(rng.randint(0, 2))]
+            if part < 3 or i % 4:  # else it never comes
+                rows += [(f"{i} MAIN ST", part, parts, rng.randint(1, 500), got)] * rng.choice([1, 1, 2])
+    end = [(None, 1, 1, 10**6, [])]
+    schema = f"clean_address string, part int, parts int, at long, results {geocode.RESULTS}"
+    kinds = spark.createDataFrame([], schema).withColumn("at", F.timestamp_seconds("at")).schema
+    stamped = lambda part: spark.createDataFrame(part, schema).withColumn("at", F.timestamp_seconds("at"))
+    rng.shuffle(rows)
+    cuts = [0, *sorted(rng.sample(range(len(rows)), 3)), len(rows)]
+    for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        stamped(rows[a:b]).coalesce(1).write.parquet(f"{tmp_path}/in/{k}")
+    stamped(end).coalesce(1).write.parquet(f"{tmp_path}/in/9")
+    stream = spark.readStream.schema(kinds).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/*")
+    options = dict(part="part", parts="parts", at="at", wait_seconds=60, delay="20 minutes")
+    for _ in range(2):  # a second start has nothing new, and changes nothing
+        resolve_stream(stream, f"{tmp_path}/out", f"{tmp_path}/check", **options).awaitTermination()
+    found = settled_tables(spark, f"{tmp_path}/out")
+    whole = settled(gathered(as_parts(stamped(rows), part="part", parts="parts", at="at")), geocode.RESULTS)
+    for name in whole:
+        got = found[name].select(*whole[name].columns) if name in found else []
+        assert sorted(map(str, got.collect())) == sorted(map(str, whole[name].collect())), name
+    assert whole["failed"].count() and whole["unvalidated"].count() and whole["validated"].count()
+
+
+def test_requests(spark):
     asked = spark.createDataFrame([("a", "1 A", None, "C", "IL", None, None), ("b", "1 B", None, "C", "IL", "60601", None)],
                                   "clean_address string, clean_street_1 string, clean_street_2 string, clean_city string, clean_state string, clean_zip_code string, clean_country string")
     got = [r["request"] for r in geocode.requests(asked).collect()]
