@@ -104,12 +104,15 @@ def merge_orgs(taxpayers: DataFrame, orgs: DataFrame, key: str = "clean", right_
 
 
 def merge_validated_addrs(df: DataFrame, validated: DataFrame, cols: list[str]) -> DataFrame:
-    """For each address column, the validated form as ``<column>_v``. One lookup table serves all of them."""
-    known = validated.groupBy("clean_address").agg(F.min("formatted_address").alias("_valid"))
-    for c in cols:
-        one = known.select(F.col("clean_address").alias("_at"), F.col("_valid").alias(f"{c}_v"))
-        df = df.join(one, df[c] == F.col("_at"), "left").drop("_at")
-    return df
+    """For each address column, the validated form as ``<column>_v``. The columns' distinct combinations are looked up address by
+    address, in one join for all columns; the wide table is shuffled once, to meet what was found."""
+    known = validated.groupBy(F.col("clean_address").alias("_at")).agg(F.min("formatted_address").alias("_valid"))
+    combo = F.struct(*(F.col(c).cast("string").alias(f"_{i}") for i, c in enumerate(cols)))
+    combos = df.select(combo.alias("_combo")).distinct()
+    places = F.array(*(F.struct(F.lit(i).alias("i"), F.col(f"_combo._{i}").alias("a")) for i in range(len(cols))))
+    each = combos.select("_combo", F.inline(places)).where("a is not null").join(known, F.col("a") == F.col("_at"))
+    found = each.groupBy("_combo").agg(*(F.max(F.when(F.col("i") == i, F.col("_valid"))).alias(f"{c}_v") for i, c in enumerate(cols)))
+    return df.join(found, combo == F.col("_combo"), "left").drop("_combo")
 
 
 def merge_validated_variants(df: DataFrame, validated: DataFrame, address_col: str) -> DataFrame:

@@ -7,6 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from deedweb.functions import address as A
 from deedweb.functions import classify as Q
@@ -14,12 +15,14 @@ from deedweb.functions import clean as C
 from deedweb.functions.tokens import ngrams
 from deedweb.operators import geocode, network, stats
 from deedweb.operators import match as M
+from deedweb.operators import phrases as P
 from deedweb.operators import tables as T
 from deedweb.operators.growth import grow_components, read_components, save_components
 from deedweb.plans.inputs import derived
 from deedweb.scratch import fresh_path, written
 from deedweb.sources.contracts import CLASS_CODES, Contract, columns, violations
-from deedweb.sources.tables import union_all
+from deedweb.sources.snapshots import publish, snapshot
+from deedweb.sources.tables import load_with_quarantine, union_all
 from deedweb.streaming.resolve import resolve_stream, settled_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,6 +154,24 @@ def person_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.flag_persons(df, "name", words, "id").select("id", "is_person")
 
 
+@query
+def bank_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary that is a table, of parts of the corporations' names: whether a name holds one, and the name with the longest
+    one in its standard form."""
+    phrase = F.substring(F.upper("raw_name"), 2, 6)
+    phrases = derived(spark, sf_dir, "corps").select(phrase.alias("phrase"), F.concat(F.lit("<"), phrase, F.lit(">")).alias("standard"))
+    df = taxpayers(spark, sf_dir).select("id", C.make_upper("tax_name").alias("name"))
+    return P.fix_names_by_table(P.flag_phrases(df, "name", phrases), "name", phrases)
+
+
+@query
+def org_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Organisation words as a table, of any length: the last words of the corporations' names."""
+    words = derived(spark, sf_dir, "corps").select(F.element_at(F.split(F.upper("raw_name"), " "), -1).alias("word"))
+    df = taxpayers(spark, sf_dir).select("id", C.make_upper("tax_name").alias("name"))
+    return P.flag_words(df, "name", words).select("id", "is_org")
+
+
 @query
 def address_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     street = F.col("tax_street")
@@ -199,6 +220,39 @@ def merge_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.merge_orgs(left, corps.select("clean_name", "core_name", "file_number", "status"), "clean", "clean_name")
 
 
+@query
+def merge_orgs_by_core(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Taxpayers with the corporation of their core name; of namesakes, that with the smallest number."""
+    corps = T.keep_first(_named(derived(spark, sf_dir, "corps")), ["core_name"], "file_number")
+    left = _named(taxpayers(spark, sf_dir), "tax_name").select("id", "clean_name", "core_name")
+    return T.merge_orgs(left, corps.select("core_name", "file_number", "status"), "core", "core_name")
+
+
+@query
+def published_masters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corporations are published, then the companies as a batch that runs twice; what a reader sees."""
+    root, names = fresh_path(spark, "masters"), ("file_number", "raw_name")
+    publish(spark, root, {"entities": derived(spark, sf_dir, "corps").select(F.lit("corp").alias("kind"), *names)}, source="state", batch=1)
+    for _ in range(2):
+        publish(spark, root, append={"entities": derived(spark, sf_dir, "llcs").select(F.lit("llc").alias("kind"), *names)}, source="state", batch=2)
+    return snapshot(spark, root).read(spark, "entities")
+
+
+@query
+def quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The properties as JSON lines, some cut off, some with a price that is no number, some without an owner: how many rows are
+    good, and how many are bad for what reason."""
+    pin, path = F.col("pin"), fresh_path(spark, "lines")
+    known = F.struct("pin", F.when(pin % 5 != 0, F.col("owner")).alias("owner"), F.when(pin % 11 == 0, F.lit("n/a")).otherwise(F.col("price").cast("string")).alias("price"))
+    line = F.regexp_replace(F.to_json(known), '"price":"([0-9.E]+)"', '"price":$1')
+    line = F.when(pin % 7 == 0, F.substring(line, 1, 12)).otherwise(line)
+    derived(spark, sf_dir, "properties").select(line.alias("value")).write.text(path)
+    schema = StructType().add("pin", "long").add("owner", "long").add("price", "double")
+    good, bad = load_with_quarantine(spark, path, schema, "json", ["pin", "owner"])
+    rows = good.select(F.lit("good").alias("reason"), "pin").unionByName(bad.select("reason", F.lit(None).cast("long").alias("pin")))
+    return rows.groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("pin").alias("pins"))
+
+
 @query
 def merge_proptax(spark: SparkSession, sf_dir: str) -> DataFrame:
     props = derived(spark, sf_dir, "properties").select("pin", F.concat(F.lit("owner "), F.col("owner").cast("string")).alias("raw_name_address"), "num_units")
@@ -454,11 +508,10 @@ def landlord_networks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("rid", "clean_name", "final_component_1", "network_1", "network_1_short")
 
 
-@query
-def networks_with_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Records with address variants, and filings that share their owner's number."""
+def _filings(spark: SparkSession, sf_dir: str, params: network.NetworkParams) -> DataFrame:
+    """The component of each record with address variants, and of filings that share its owner's number."""
     df = derived(spark, sf_dir, "records").select(
-        "rid", "clean_name", "exclude_name", F.col("match_address_t").alias("match_address_v2"), F.col("is_validated_t").alias("is_validated"),
+        "rid", "clean_name", "exclude_name", "match_name", F.col("match_address_t").alias("match_address_v2"), F.col("is_validated_t").alias("is_validated"),
         F.col("is_researched_t").alias("is_researched"), F.col("exclude_address_t").alias("exclude_address"), F.col("is_org_address_t").alias("is_org_address"),
         (F.col("rid") % 10 == 0).alias("is_missing_suite"), (F.col("rid") % 12 == 0).alias("is_problem_suite"),
         F.when(F.col("rid") % 3 == 0, F.col("rid") % 50).alias("uid"),
@@ -468,7 +521,6 @@ def networks_with_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(True).alias("is_validated"), (F.col("file_number") % 3 > 0).alias("is_researched"), (F.col("file_number") % 29 == 0).alias("exclude_address"),
         F.lit(False).alias("is_org_address"), F.lit(False).alias("is_missing_suite"), F.lit(False).alias("is_problem_suite"),
     )
-    params = network.NetworkParams(suffix="v2", ignored_entities=[])
     parts = network.components(network.taxpayer_edges_with_filings(df, filings, params))
     return network.assign_components_with_filings(df, filings, parts, params, "rid").select("rid", "final_component_1")
 
@@ -476,6 +528,17 @@ def networks_with_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Statistics
 
 
+@query
+def networks_with_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _filings(spark, sf_dir, network.NetworkParams(suffix="v2", ignored_entities=[]))
+
+
+@query
+def networks_with_filings_and_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with edges to what names and addresses were matched with."""
+    return _filings(spark, sf_dir, network.NetworkParams(suffix="v2", ignored_entities=[], match_col="match_name"))
+
+
 @query
 def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.null_profile({n: derived(spark, sf_dir, n) for n in ("taxpayers", "corps", "llcs")})

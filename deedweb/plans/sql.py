@@ -199,6 +199,34 @@ c AS (SELECT {collapsed('upper(raw_name)')} AS clean_name, min(file_number) AS f
 SELECT t.id, t.clean_name, {sql_core('t.clean_name')} AS core_name, c.file_number, nullif(c.status, '-') AS status FROM t LEFT JOIN c USING (clean_name)""",
     "taxpayers", "corps",
 )
+over(
+    "merge_orgs_by_core",
+    f""", t AS (SELECT id, {collapsed('upper(tax_name)')} AS clean_name FROM taxpayers),
+c AS (SELECT {sql_core(collapsed('upper(raw_name)'))} AS core_name, min(file_number) AS file_number, arg_min(coalesce(status, '-'), file_number) AS status FROM corps GROUP BY 1)
+SELECT t.id, t.clean_name, t.core_name, c.file_number, nullif(c.status, '-') AS status FROM (SELECT *, {sql_core('clean_name')} AS core_name FROM t) t LEFT JOIN c USING (core_name)""",
+    "taxpayers", "corps",
+)
+over("published_masters", "SELECT 'corp' AS kind, file_number, raw_name FROM corps UNION ALL SELECT 'llc', file_number, raw_name FROM llcs", "corps", "llcs")
+over(
+    "quarantined",
+    """SELECT reason, count(*) AS n, sum(CASE WHEN reason = 'good' THEN pin END)::BIGINT AS pins
+FROM (SELECT pin, CASE WHEN pin % 7 = 0 OR pin % 11 = 0 THEN 'malformed' WHEN pin % 5 = 0 THEN 'missing: owner' ELSE 'good' END AS reason FROM properties) GROUP BY reason""",
+    "properties",
+)
+over(
+    "bank_table",
+    f""", p AS (SELECT DISTINCT substring(upper(raw_name), 2, 6) AS phrase FROM corps), n AS (SELECT DISTINCT upper(tax_name) AS name FROM taxpayers),
+b AS (SELECT name, arg_min(phrase, row(-length(phrase), phrase)) AS phrase FROM n JOIN p ON contains(name, phrase) AND phrase <> '' GROUP BY name)
+SELECT id, phrase IS NOT NULL AS is_bank, CASE WHEN phrase IS NULL THEN upper(tax_name) ELSE array_to_string({words("replace(upper(tax_name), phrase, '<' || phrase || '> ')")}, ' ') END AS name
+FROM taxpayers LEFT JOIN b ON b.name = upper(tax_name)""",
+    "taxpayers", "corps",
+)
+over(
+    "org_table",
+    f""", w AS (SELECT DISTINCT string_split(upper(raw_name), ' ')[-1] AS word FROM corps)
+SELECT id, coalesce(list_has_any({words('upper(tax_name)')}, (SELECT list(word) FROM w)), false) AS is_org FROM taxpayers""",
+    "taxpayers", "corps",
+)
 over(
     "merge_proptax",
     f"""SELECT p.pin, 'owner ' || p.owner AS raw_name_address, p.num_units, a.street, a.city, t.tax_street AS clean_address,
@@ -432,6 +460,13 @@ SELECT t.rid, coalesce(own.c, more.c) AS final_component_1 FROM t LEFT JOIN own
     "records", "llcs", recursive=True,
 )
 
+ORACLE_SQL["networks_with_filings_and_matches"] = (
+    ORACLE_SQL["networks_with_filings"]
+    .replace("match_address_t AS a,", "match_address_t AS a, match_name AS m,", 1)
+    .replace("  UNION SELECT DISTINCT t.clean_name, f.a", "  UNION SELECT n, m FROM t WHERE n IS NOT NULL AND m IS NOT NULL UNION SELECT q, m FROM t WHERE q IS NOT NULL AND m IS NOT NULL\n  UNION SELECT DISTINCT t.clean_name, f.a")
+    .replace("unnest([clean_name, a]) AS key, unnest([0, 1]) AS i", "unnest([clean_name, a, m]) AS key, unnest([0, 1, 2]) AS i")
+)
+
 # Statistics
 
 

@@ -6,9 +6,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, StructType
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from deedweb.functions.clean import coerce_boolean, null_tokens
+from deedweb.scratch import written
 
 #: Zones of a dataset root, and the datasets of each.
 CATALOG = {
@@ -62,6 +63,27 @@ def load(spark: SparkSession, path: str, kind: str = "parquet", contract: Struct
     return coerce_booleans(df, booleans)
 
 
+def load_with_quarantine(spark: SparkSession, path: str, schema: StructType, kind: str = "csv", required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The rows of CSV or JSON files that fit, in the columns of ``schema``, and those that do not: ``file, reason, record``.
+
+    A record that does not fit the schema (a field too few or too many, a value of another type, broken JSON) is ``malformed`` and kept as
+    it was read; one without a value in a ``required`` column is ``missing: `` and the columns' names, and kept as JSON. The files
+    are read once, and what was read is written before it is divided, so both tables speak of the same read. No row is lost:
+    good and bad ones add up to the records of the files. An empty CSV line is no record.
+    """
+    raw = "_malformed"
+    reader = spark.read.schema(StructType([*schema.fields, StructField(raw, StringType())])).options(mode="PERMISSIVE", columnNameOfCorruptRecord=raw)
+    rows = reader.options(header=True, enforceSchema=True, escape='"').csv(path) if kind == "csv" else reader.json(path)
+    rows = written(rows.select("*", F.col("_metadata.file_path").alias("_file")), "loaded")
+    absent = F.array_compact(F.array(*(F.when(F.col(c).isNull(), F.lit(c)) for c in required or []))) if required else F.array().cast("array<string>")
+    reason = F.when(F.col(raw).isNotNull(), F.lit("malformed")).when(F.size(absent) > 0, F.concat(F.lit("missing: "), F.array_join(absent, ", ")))
+    marked = rows.withColumn("_reason", reason)
+    names = schema.fieldNames()
+    bad = marked.where("_reason is not null")
+    record = F.coalesce(F.col(raw), F.to_json(F.struct(*names)))
+    return marked.where("_reason is null").select(*names), bad.select(F.col("_file").alias("file"), F.col("_reason").alias("reason"), record.alias("record"))
+
+
 def save(df: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite") -> None:
     """The whole table at ``path``."""
     writer = df.write.mode(mode)
