@@ -18,6 +18,7 @@ from deedweb.operators import match as M
 from deedweb.operators import phrases as P
 from deedweb.operators import tables as T
 from deedweb.operators.growth import grow_components, read_components, save_components
+from deedweb.operators.masters import apply_delivery, read_master
 from deedweb.plans.inputs import derived
 from deedweb.scratch import fresh_path, written
 from deedweb.sources.contracts import CLASS_CODES, Contract, columns, violations
@@ -318,6 +319,18 @@ def merge_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.merge_duplicates(derived(spark, sf_dir, "llcs").select("file_number", "raw_name", "status", "brand", "raw_agent_address"), ["raw_name"], "file_number")
 
 
+@query
+def merged_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The companies come in four deliveries, by their status; the master after the last one."""
+    columns = ["file_number", "raw_name", "status", "brand", "raw_agent_address"]
+    df, root = derived(spark, sf_dir, "llcs").select(*columns), fresh_path(spark, "master")
+    status = F.coalesce("status", F.lit("-"))
+    parts = (status == "1", status == "-", ~status.isin("0", "1", "-"), status == "0")
+    for i, part in enumerate(parts):
+        apply_delivery(spark, root, df.where(part), ["raw_name"], "file_number", source="state", batch=i)
+    return read_master(spark, root, columns, ["raw_name"])
+
+
 @query
 def keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.active(T.keep_first(derived(spark, sf_dir, "llcs").select("file_number", "raw_name", "status", "brand"), ["raw_name", "brand"], "file_number"))

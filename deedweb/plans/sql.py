@@ -266,6 +266,7 @@ over(
   arg_min(raw_agent_address, file_number) FILTER (WHERE raw_agent_address IS NOT NULL) AS raw_agent_address FROM llcs GROUP BY raw_name""",
     "llcs",
 )
+ORACLE_SQL["merged_deliveries"] = ORACLE_SQL["merge_duplicates"]
 over(
     "keep_first",
     """, f AS (SELECT file_number, raw_name, status, brand, row_number() OVER (PARTITION BY raw_name, brand ORDER BY file_number) AS r FROM llcs)

@@ -37,6 +37,20 @@ class Snapshot:
         return spark.read.schema(schema).parquet(*paths) if len(paths) == 1 else _united(spark, schema, paths)
 
 
+    def part(self, spark: SparkSession, name: str, buckets: list[int] | None = None) -> DataFrame:
+        """A table that ``publish_parts`` made, or only some of its buckets, without the column that says which."""
+        from pyspark.sql.types import StructType
+
+        schema = StructType.fromJson(json.loads(self.schemas[name]))
+        wanted = None if buckets is None else set(buckets)
+        paths = [f"{self.root}/{p}" for p in self.folders[name] if wanted is None or bucket_of(p) in wanted]
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+
+def bucket_of(folder: str) -> int:
+    return int(folder.rsplit("=", 1)[1])
+
+
 def _united(spark: SparkSession, schema, paths: list[str]) -> DataFrame:
     """Folders that may be partitioned by the same columns: each is read from its own base, so that their names do not clash."""
     found = spark.read.schema(schema).parquet(paths[0])
@@ -100,6 +114,26 @@ def publish(
     return after
 
 
+def publish_parts(
+    spark: SparkSession, root: str, name: str, rows: DataFrame, bucket: str, touched: list[int], source: str | None = None, batch: int = 0, since: Snapshot | None = None
+) -> Snapshot:
+    """A new version in which the buckets ``touched`` of a table have the rows given, whose column ``bucket`` says where they
+    belong; its other buckets are the folders that they were. Batches count as in ``publish``."""
+    before = since or snapshot(spark, root)
+    if source is not None and batch <= before.batches.get(source, -1):
+        return before
+    folder = f"{DATA}/{name}-{uuid.uuid4().hex}"
+    rows.repartition(bucket).write.partitionBy(bucket).parquet(f"{before.root}/{folder}")
+    _, at, fs = _fs(spark, f"{before.root}/{folder}")
+    new = [f"{folder}/{x.getPath().getName()}" for x in fs.listStatus(at) if x.isDirectory() and "=" in x.getPath().getName()]
+    kept = [f for f in before.folders.get(name, []) if bucket_of(f) not in set(touched)]
+    batches = before.batches | ({source: batch} if source is not None else {})
+    schemas = before.schemas | {name: rows.drop(bucket).schema.json()}
+    after = Snapshot(before.root, before.version + 1, before.folders | {name: kept + sorted(new)}, batches, schemas)
+    _commit(spark, after)
+    return after
+
+
 def _commit(spark: SparkSession, after: Snapshot) -> None:
     text = json.dumps({k: getattr(after, k) for k in ("version", "folders", "batches", "schemas")})
     jvm, draft, fs = _fs(spark, f"{after.root}/{MANIFESTS}/.draft-{uuid.uuid4().hex}")
@@ -119,7 +153,7 @@ def expire(spark: SparkSession, root: str, keep: int = 2) -> list[str]:
     a time when others write: data that is not published yet would go too."""
     there = versions(spark, root)
     kept = [snapshot(spark, root, v) for v in there[-keep:]]
-    used = {f for s in kept for paths in s.folders.values() for f in paths}
+    used = {"/".join(f.split("/")[:2]) for s in kept for paths in s.folders.values() for f in paths}
     for version in there[:-keep]:
         _, at, fs = _fs(spark, f"{root}/{MANIFESTS}/{version:012d}")
         fs.delete(at, False)

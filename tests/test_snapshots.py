@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from deedweb.operators import growth
+from deedweb.operators import masters
 from deedweb.operators import match as M
+from deedweb.operators import tables as T
 from deedweb.sources import snapshots as S
 from test_operators import union_find
 
@@ -127,3 +129,23 @@ def test_saved_matcher(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning(gram") == 1 and "Bucketed: true" in plan
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         M.load_matcher(spark, f"{tmp_path}/nothing")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_deliveries_one_by_one(spark, tmp_path, seed):
+    """Any cut into deliveries gives what merging all of them at once gives; buckets that a delivery does not touch stay as they are."""
+    rng, root, columns = random.Random(seed), f"{tmp_path}/master", ["id", "name", "kind", "status", "note"]
+    rows = [(i, rng.choice(["a", "b", "c", "d", "e", None]), rng.choice("xy"), rng.choice(["0", "1", "2", None, None]), rng.choice(["n", None, None])) for i in range(60)]
+    rng.shuffle(rows)
+    frame = lambda part: spark.createDataFrame(part, "id long, name string, kind string, status string, note string")
+    keys, done = ["name", "kind"], []
+    for i, part in enumerate([rows[:20], [], rows[20:21], rows[21:50], rows[50:], rows[:5]]):
+        before = S.snapshot(spark, root)
+        after = masters.apply_delivery(spark, root, frame(part), keys, "id", buckets=8, source="s", batch=i)
+        assert masters.apply_delivery(spark, root, frame(rows), keys, "id", buckets=8, source="s", batch=i) == after
+        done += part
+        same = set(before.folders.get("master", [])) & set(after.folders["master"])
+        assert len(after.folders["master"]) - len(same) <= len(part)
+        got = sorted(map(str, masters.read_master(spark, root, columns, keys).collect()))
+        assert got == sorted(map(str, T.merge_duplicates(frame(sorted(set(done), key=str)), keys, "id").select(*columns).collect()))
+    assert S.expire(spark, root, keep=1) and masters.read_master(spark, root, columns, keys).count() == len(got)
