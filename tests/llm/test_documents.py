@@ -664,3 +664,22 @@ def test_long_white_space_is_encoded_as_the_library_does(spark):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     sizes = {r["doc_id"]: r["n"] for r in packing.pack(df, path).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()}
     assert sizes == {i: len(whole.encode(t, add_special_tokens=False).ids) + 1 for i, t in enumerate(texts)}
+
+
+def test_long_pretokens(monkeypatch):
+    """Typed arrays give what lists give, and what the library gives; ranks that come back below the present one are taken first."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    known, whole, rng = bpe.Vocabulary(path), Tokenizer.from_file(path), np.random.default_rng(1)
+    letters = [b"a" * 3000, b"the" * 700, "éèü".encode() * 500, bytes(rng.choice(list(b"etaoinshr"), 5000)), b"ab", b"q", b""]
+    for piece in letters:
+        assert known.merged_long(piece).tolist() == known.merged(piece)
+    text = "x" + "".join(rng.choice(list("etaoinshrdlu"), 300_000)) + " end"
+    assert np.frombuffer(known.encode(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert known.decode(np.frombuffer(known.encode(text), "<u4")) == text
+    # A file in which a merge makes a symbol that an earlier merge takes.
+    known.merges, known.pairs = [{} for _ in range(9)], [(3, 2, 4), (0, 1, 3), (4, 4, 5)]
+    known.byte_ids = [0, 1, 2]
+    for rank, (a, b, made) in enumerate(known.pairs):
+        known.merges[a][b] = (rank, made)
+    piece = bytes(rng.integers(0, 3, 4000, np.uint8))
+    assert known.merged_long(piece).tolist() == known.merged(piece)
