@@ -19,6 +19,7 @@ from deedweb.operators import phrases as P
 from deedweb.operators import tables as T
 from deedweb.operators.growth import grow_components, read_components, save_components
 from deedweb.operators.masters import apply_delivery, read_master
+from deedweb.operators.sketches import add_statistics, linked_values, statistics, total_statistics
 from deedweb.plans.inputs import derived
 from deedweb.scratch import fresh_path, written
 from deedweb.sources.contracts import CLASS_CODES, Contract, columns, violations
@@ -577,6 +578,26 @@ def merge_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.clean_merge(tax, derived(spark, sf_dir, "corps"), derived(spark, sf_dir, "llcs"))
 
 
+def _by_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of the owners, in three batches, and of the corporations, in one."""
+    root, owners = fresh_path(spark, "statistics"), taxpayers(spark, sf_dir).withColumn("name", C.make_upper("tax_name"))
+    for i in range(3):
+        add_statistics(spark, root, owners.where(F.col("id") % 3 == i), ["name", "tax_street", "tax_city", "tax_zip"], "owners", i)
+    add_statistics(spark, root, derived(spark, sf_dir, "corps").select(F.upper("raw_name").alias("name"), "status"), ["name", "status"], "corps", 0)
+    return statistics(spark, root)
+
+
+@query
+def merged_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return total_statistics(_by_batches(spark, sf_dir))
+
+
+@query
+def linked_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many names owners and corporations share, from what their batches left."""
+    return linked_values(_by_batches(spark, sf_dir), ("owners", "name"), ("corps", "name"))
+
+
 @query
 def geocode_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     tax, corps = taxpayers(spark, sf_dir).select(F.col("tax_street").alias("clean_address")), derived(spark, sf_dir, "llcs").select(F.col("raw_agent_address").alias("clean_address"))

@@ -533,6 +533,26 @@ def _top(column: str, label: str) -> str:
 
 
 over("network_stats", _top("nullif(match_address_t, '')", "network_1") + " UNION ALL " + _top("entity_clean_name", "network_2"), "records")
+def _counted(source: str, table: str, column: str, value: str, batches: int) -> str:
+    return (f"SELECT '{source}' AS source, '{column}' AS \"column\", {batches} AS n_batches, count(*) AS n_rows, count(*) FILTER (WHERE coalesce({value}::VARCHAR, '') = '')::BIGINT AS n_missing, "
+            f"count(DISTINCT nullif({value}::VARCHAR, '')) AS n_distinct FROM {table}")
+
+
+over(
+    "merged_statistics",
+    " UNION ALL ".join(
+        [_counted("owners", "taxpayers", c, v, 3) for c, v in (("name", "upper(tax_name)"), ("tax_street", "tax_street"), ("tax_city", "tax_city"), ("tax_zip", "tax_zip"))]
+        + [_counted("corps", "corps", c, v, 1) for c, v in (("name", "upper(raw_name)"), ("status", "status"))]
+    ),
+    "taxpayers", "corps",
+)
+over(
+    "linked_statistics",
+    """, a AS (SELECT DISTINCT upper(tax_name) AS v FROM taxpayers WHERE tax_name <> ''), b AS (SELECT DISTINCT upper(raw_name) AS v FROM corps WHERE raw_name <> '')
+SELECT count(*) FILTER (WHERE a.v = b.v) AS n_linked, count(*) FILTER (WHERE b.v IS NULL) AS n_left_only, count(*) FILTER (WHERE a.v IS NULL) AS n_right_only
+FROM a FULL JOIN b ON a.v = b.v""",
+    "taxpayers", "corps",
+)
 over(
     "contract_violations",
     """SELECT 'class_codes' AS dataset, 'code' AS "column", 'not_null' AS rule, CAST(NULL AS VARCHAR) AS value, count(*) AS n FROM llcs WHERE brand IS NULL HAVING count(*) > 0

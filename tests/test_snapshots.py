@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from deedweb.operators import growth
 from deedweb.operators import masters
 from deedweb.operators import match as M
+from deedweb.operators import sketches
 from deedweb.operators import tables as T
 from deedweb.sources import snapshots as S
 from test_operators import union_find
@@ -149,3 +150,21 @@ def test_deliveries_one_by_one(spark, tmp_path, seed):
         got = sorted(map(str, masters.read_master(spark, root, columns, keys).collect()))
         assert got == sorted(map(str, T.merge_duplicates(frame(sorted(set(done), key=str)), keys, "id").select(*columns).collect()))
     assert S.expire(spark, root, keep=1) and masters.read_master(spark, root, columns, keys).count() == len(got)
+
+
+def test_statistics_over_batches(spark, tmp_path):
+    """Exact below the capacity, within the stated error above it; a batch that runs again counts once."""
+    root = f"{tmp_path}/s"
+    frame = lambda a, b: spark.range(a, b).select((F.col("id") % 900).alias("few"), F.col("id").alias("many"), F.when(F.col("id") % 5 > 0, F.lit("")).alias("gone"))
+    for i in range(4):
+        for _ in range(2):
+            sketches.add_statistics(spark, root, frame(5000 * i, 5000 * (i + 1)), ["few", "many", "gone"], "a", i, capacity=12)
+    sketches.add_statistics(spark, root, frame(300, 1500).where("few < 1000"), ["few", "many"], "b", 0, capacity=12)
+    found = {(r.source, r.column): tuple(r)[2:] for r in sketches.total_statistics(sketches.statistics(spark, root), capacity=12).collect()}
+    assert found["a", "few"] == (4, 20000, 0, 900) and found["a", "gone"] == (4, 20000, 20000, 0) and found["b", "many"] == (1, 1200, 0, 1200)
+    assert found["a", "many"][:3] == (4, 20000, 0) and abs(found["a", "many"][3] - 20000) < 20000 * 4 / 64
+    both = sketches.linked_values(sketches.statistics(spark, root), ("b", "few"), ("a", "few"), 12).first()
+    assert tuple(both) == (900, 0, 0)
+    some = sketches.linked_values(sketches.statistics(spark, root), ("b", "many"), ("a", "few"), 12).first()
+    assert tuple(some) == (600, 600, 300)
+    assert tuple(sketches.linked_values(sketches.statistics(spark, root), ("b", "many"), ("a", "gone"), 12).first()) == (0, 1200, 0)
