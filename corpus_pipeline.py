@@ -18,9 +18,16 @@ from deedweb.llm.substring import substring_dedup
 from deedweb.llm.toxicity import toxicity, train_severity
 from deedweb.scratch import discard, written
 
+#: Bytes of an Arrow batch. Executors run all stages and keep what their buffers grew to, so batches are smaller than an operator's own.
+BATCH_BYTES = 4 << 20
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def _modest(spark: SparkSession) -> None:
+    """Lower the size of Arrow batches in this session, for good."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def _with_text(df: DataFrame, changed: str) -> DataFrame:
     """The columns of ``documents``, with the kept text and its length where ``n_removed`` says that something went."""
     text = F.when(F.col("n_removed") > 0, F.col(changed)).otherwise(F.col("text"))
@@ -30,6 +37,7 @@ def _with_text(df: DataFrame, changed: str) -> DataFrame:
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the severity model does not reject."""
+    _modest(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = train_severity(docs, labels, grade_col="toxic", graded_by_rate=True)
     return toxicity(docs, model).where("not rejected").select(*COLUMNS)
@@ -37,21 +45,25 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that occur across sites stay in one document only."""
+    _modest(spark)
     return _with_text(line_dedup(docs), "kept_text")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, by Jaccard similarity of five-word shingles with SimHash candidates."""
+    _modest(spark)
     return simhash.keep_one(docs).select(*COLUMNS)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that an earlier document has."""
+    _modest(spark)
     return _with_text(substring_dedup(docs), "kept_text")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document goes in sequences of 2048 tokens."""
+    _modest(spark)
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
