@@ -45,37 +45,28 @@ def rule_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataFr
 def judged(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``urls`` (with ``host, path``) plus ``rule`` and ``ruled``, the rule that decides the url and its verdict, or nulls.
 
-    Rules meet distinct hosts, not urls: each host is joined with the rules of itself and of the domains above it, and what
-    it finds is joined back by host. Only domains of as many labels as some rule has are made, so the work on a very long host
-    grows with its length. Of equally long rules, an allow comes first.
+    Distinct hosts learn of each domain above them, themselves included, that has rules how long these rules' paths are; distinct
+    urls then look up the beginnings of their paths of those lengths. So a domain may have any number of rules, and a host or url any
+    number of rows. Only domains of as many labels as some rule has are made, so the work on a very long host grows with its
+    length. Of equally long rules, an allow comes first.
     """
     most = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1
-    hosts = urls.where("host <> ''").select(F.col("host").alias("_host")).distinct()
+    pairs = urls.where("host <> ''").select("host", "path").distinct()
     labels = F.split("_host", r"\.")
     ends = F.sequence(F.greatest(F.lit(1), F.size(labels) - (most - 1)), F.size(labels))
     above = F.transform(ends, lambda i: F.array_join(F.slice(labels, i, F.lit(most)), "."))
-    by_host = (
-        hosts.select("_host", F.explode(above).alias("_domain"))
-        .join(rules.select(F.col("host").alias("_domain"), F.col("path").alias("_path"), F.col("verdict").alias("_verdict")), "_domain")
-        .groupBy("_host")
-        .agg(
-            F.collect_list(
-                F.struct(
-                    F.length(F.concat("_domain", "_path")).alias("size"),
-                    (F.col("_verdict") == "allow").alias("allows"),
-                    F.concat("_domain", "_path").alias("rule"),
-                    F.col("_path").alias("path"),
-                    F.col("_verdict").alias("verdict"),
-                )
-            ).alias("_rules")
-        )
-        .select(F.struct("_host").alias("_key"), "_rules")
-    )
-    joined = urls.join(by_host, F.struct(F.col("host").alias("_host")) == F.col("_key"), "left")
-    best = F.array_max(F.filter("_rules", lambda r: F.startswith(F.col("path"), r["path"])))
-    return joined.withColumn("_best", best).select(
-        *urls.columns, F.col("_best.rule").alias("rule"), F.col("_best.verdict").alias("ruled")
-    )
+    hosts = pairs.select(F.col("host").alias("_host")).distinct().select("_host", F.explode(above).alias("_domain"))
+    sizes = rules.groupBy(F.col("host").alias("_domain")).agg(F.collect_set(F.length("path")).alias("_sizes"))  # up to the longest path
+    known = hosts.join(sizes, "_domain").select(F.struct(F.col("_host").alias("host")).alias("_of"), "_domain", "_sizes")
+    looked = pairs.join(known, F.struct("host") == F.col("_of")).select("host", "path", "_domain", F.explode("_sizes").alias("_size"))
+    looked = looked.where(F.length("path") >= F.col("_size")).withColumn("_start", F.substring("path", F.lit(1), F.col("_size")))
+    rule = rules.select(F.struct(F.col("host").alias("_domain"), F.col("path").alias("_start")).alias("_rule"), "verdict")
+    fits = looked.join(rule, F.struct("_domain", "_start") == F.col("_rule"))
+    text = F.concat("_domain", "_start")
+    best = F.max(F.struct(F.length(text).alias("size"), (F.col("verdict") == "allow").alias("allows"), text.alias("rule"), "verdict"))
+    found = fits.groupBy(F.struct("host", "path").alias("_url")).agg(best.alias("_best"))
+    joined = urls.join(found, F.struct("host", "path") == F.col("_url"), "left")
+    return joined.select(*urls.columns, F.col("_best.rule").alias("rule"), F.col("_best.verdict").alias("ruled"))
 
 
 def _absolute(url: Column, link: Column) -> Column:

@@ -4,6 +4,7 @@ import hashlib
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from deedweb.llm import warc
 from deedweb.llm.queries import URL_RULES
@@ -191,3 +192,16 @@ def test_malformed_pages_take_linear_time(spark):
     began = time.perf_counter()
     assert len(filter_urls(df, rule_table(spark, URL_RULES)).collect()) == len(pages)
     assert time.perf_counter() - began < 60
+
+
+def test_a_domain_with_very_many_rules(spark):
+    """No row holds all rules of a domain; the longest that fits decides, on ties an allow."""
+    paths = spark.range(20_000).select(F.lit("b.org").alias("host"), F.concat(F.lit("/p"), "id", F.lit("/")).alias("path"), F.lit("block").alias("verdict"))
+    more = spark.createDataFrame([("org", "", "allow"), ("b.org", "/p7/x", "allow"), ("b.org", "/p9/", "allow")], "host string, path string, verdict string")
+    urls = ["https://b.org/p5/", "https://a.b.org/p7/xy", "https://b.org/p7/y", "https://b.org/p9/", "https://b.org/none", "https://org/", "https://b.org/p19999/z"]
+    df = spark.createDataFrame([(i, u, None) for i, u in enumerate(urls)], PLAIN)
+    got = {r.page_id: (r.rule, r.verdict) for r in filter_urls(df, paths.unionByName(more)).collect()}
+    assert got == {
+        0: ("b.org/p5/", "block"), 1: ("b.org/p7/x", "allow"), 2: ("b.org/p7/", "block"), 3: ("b.org/p9/", "allow"),
+        4: ("org", "allow"), 5: ("org", "allow"), 6: ("b.org/p19999/", "block"),
+    }
