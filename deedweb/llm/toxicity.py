@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from deedweb.llm.rows import blocks, others, row_id, small_batches, spare
 from deedweb.scratch import written
 
-#: The most labelled rows that the model is fitted on, and the most words that it weighs.
-MAX_LABELLED, MAX_WORDS = 20_000, 2_000
+#: The most labelled rows that the model is fitted on.
+MAX_LABELLED = 20_000
 #: ASCII that is no letter splits words.
 SPACED = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
 
@@ -152,15 +152,14 @@ def train_severity(
     text_col: str = "text",
     grade_col: str = "severity",
     max_labelled: int = MAX_LABELLED,
-    max_words: int = MAX_WORDS,
     min_z: float = 4.0,
     graded_by_rate: bool = False,
 ) -> SeverityModel:
     """A model of the integer grades 0, 1, ... in ``labels``.
 
     At most ``max_labelled`` labelled rows are used, those with the smallest hash of their id, so the sample is the same
-    in each run. The driver gets a short vector for each of them, over the at most ``max_words`` words and beginnings that
-    tell grades above 0 from 0 best (by the two-proportion z-score over documents, of ``min_z`` or more either way). Rows
+    in each run. The driver gets a short vector for each of them, over all words and beginnings that tell grades above 0 from 0
+    (by the two-proportion z-score over documents, of ``min_z`` or more either way), so what it holds is bounded by the sample. Rows
     without id, text or grade, and ids without a document, are left out; of texts that share an id, that which sorts last
     is used. With one grade only, or no rows, the model says 0 for every text.
 
@@ -179,7 +178,8 @@ def train_severity(
     by_word = _word_counts(labelled).groupBy("word").agg(F.sum("all").alias("all"), F.sum("up").alias("up")).where("all >= 3")
     share = total["up"] / total["n"]
     z = (F.col("up") - share * F.col("all")) / F.sqrt(share * (1 - share) * F.col("all"))
-    best = by_word.select("word", z.alias("z")).where(F.abs("z") >= min_z).orderBy(F.abs("z").desc(), "word").limit(max_words).collect()
+    best = by_word.select("word", z.alias("z")).where(F.abs("z") >= min_z).collect()
+    best.sort(key=lambda r: r["word"])
     words = [r["word"] for r in best]
     vectors = _vectors(labelled, words).toArrow().sort_by("row")
     grades, sizes = vectors["grade"].to_numpy(), np.maximum(1, vectors["size"].to_numpy())
