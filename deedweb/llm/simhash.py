@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from deedweb.llm.jaccard_join import jaccard_components
 from deedweb.llm.rows import blocks, id_type, row_id, row_key, small_batches, spare, text_hash
 from deedweb.operators.components import connected_components
 from deedweb.scratch import discard, written
@@ -208,14 +209,18 @@ def block_lanes(radius: int, n: int, tile: int = TILE) -> list[int]:
 
 
 def fingerprint_links(
-    prints: DataFrame, radius: int, ratio: float = 0.0, tile: int = TILE, lanes: DataFrame | None = None
+    prints: DataFrame, radius: int, ratio: float = 0.0, tile: int = TILE, lanes: DataFrame | None = None, star: bool = False
 ) -> DataFrame:
     """``(src, dst)``: a spanning forest, in each meeting of tiles, of the links between the rows ``(node long, fp, size)``.
 
     Rows link at ``radius`` differing bits or fewer and, with ``ratio``, only if the smaller size is that part of the
     larger. Every link joins two nodes of one tree; the trees of different meetings overlap. ``lanes`` (``node, lane``) says
     which rows are compared; without it, fingerprints of one word are compared in all lanes of blocks, so no link is lost.
+    With ``star``, each tile of a crowded lane meets itself and one tile in the lane's middle only. Rows whose lane says ``known``
+    (a boolean, if the column is there) meet all but one another.
     """
+    by = ["lane", "known"] if lanes is not None and "known" in lanes.columns else ["lane"]
+    known = len(by) > 1
     count = F.aggregate("fp", F.lit(0), lambda n, x: n + F.bit_count(x))
     rows = prints.select("node", "fp", "size", count.alias("ones"))
     if lanes is None:
@@ -223,12 +228,12 @@ def fingerprint_links(
         keys = (F.struct(F.lit(i).alias("block"), F.col("fp")[0].bitwiseAND(F.lit(m).cast("long")).alias("bits")) for i, m in enumerate(masks))
         rows = rows.withColumn("lane", F.explode(F.array(*keys)))
     else:
-        rows = rows.join(lanes.select(F.struct("node").alias("of"), "lane"), F.struct("node") == F.col("of")).drop("of")
+        rows = rows.join(lanes.select(F.struct("node").alias("of"), *by), F.struct("node") == F.col("of")).drop("of")
         rows = written(rows.withColumn("lane", F.struct(F.lit(0).alias("block"), F.col("lane").alias("bits"))), "dealt")
     # Cells: the rows of a lane with one population count. There are few per lane, whatever the input.
     rows = rows.withColumn("cell", F.col("ones"))
-    cells = rows.groupBy("lane", "cell").agg(F.count(F.lit(1)).alias("n"))
-    along = Window.partitionBy("lane").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = rows.groupBy(*by, "cell").agg(F.count(F.lit(1)).alias("n"))
+    along = Window.partitionBy(*by).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = written(
         cells.withColumns(
             {"before": F.coalesce(F.sum("n").over(along), F.lit(0)), "lane_n": F.sum("n").over(Window.partitionBy("lane"))}
@@ -236,33 +241,63 @@ def fingerprint_links(
         "cells",
     )
     spread = F.pmod(F.xxhash64("node"), F.col("n"))
-    placed = F.floor((F.col("before") + spread) / F.lit(tile)).cast("int")
+    # Tiles of known rows have odd numbers.
+    number = (lambda t: 2 * t + F.col("known").cast("int")) if known else (lambda t: t)
+    placed = number(F.floor((F.col("before") + spread) / F.lit(tile)).cast("int"))
     crowded = cells.where(F.col("lane_n") > tile)
     # A lane that fits a tile is compared whole; only the lanes above are looked up and cut.
-    big = rows.join(crowded, ["lane", "cell"]).withColumn("tile", placed)
+    big = rows.join(crowded, [*by, "cell"]).withColumn("tile", placed)
     small = rows.join(crowded.select("lane").distinct(), "lane", "left_anti")
-    span = crowded.select(
-        "lane", "cell",
-        F.explode(F.sequence(F.floor(F.col("before") / tile).cast("int"), F.floor((F.col("before") + F.col("n") - 1) / tile).cast("int"))).alias("tile"),
-    ).groupBy("lane", "tile").agg(F.min("cell").alias("low"), F.max("cell").alias("high"))
+    reach = F.sequence(F.floor(F.col("before") / tile).cast("int"), F.floor((F.col("before") + F.col("n") - 1) / tile).cast("int"))
+    span = crowded.select(*by, "cell", F.explode(reach).alias("tile")).withColumn("tile", number(F.col("tile"))).groupBy("lane", "tile").agg(F.min("cell").alias("low"), F.max("cell").alias("high"))
     span = written(span, "tiles")
     other = span.select("lane", F.col("tile").alias("tile2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     close = (F.col("low2") - F.col("high") <= radius) & (F.col("low") - F.col("high2") <= radius)
-    meets = span.join(other, "lane").where((F.col("tile") < F.col("tile2")) & close)
+    alone = span.where("tile % 2 = 0") if known else span
+    if star:  # an equal join: pairs of tiles grow with the tiles
+        middle = span.groupBy("lane").agg(F.floor(F.max("tile") / 2).cast("int").alias("tile2"))
+        meets = span.join(middle.join(other, ["lane", "tile2"]), "lane").where((F.col("tile") != F.col("tile2")) & close)
+    else:
+        once = F.col("tile") < F.col("tile2")
+        meets = alone.join(other, "lane").where(((F.col("tile2") % 2 == 1) | once if known else once) & close)
     sides = F.explode(F.array(F.struct(F.col("tile").alias("tile"), F.lit(1).alias("side")), F.struct(F.col("tile2").alias("tile"), F.lit(2).alias("side"))))
     meets = meets.select("lane", F.xxhash64("lane", "tile", "tile2").alias("meet"), sides.alias("at")).select("lane", "at.*", "meet")
-    own = span.select("lane", "tile", F.lit(3).alias("side"), F.xxhash64("lane", "tile").alias("meet"))
+    own = alone.select("lane", "tile", F.lit(3).alias("side"), F.xxhash64("lane", "tile").alias("meet"))
     dealt = big.join(meets.unionByName(own), ["lane", "tile"]).select("meet", "side", "fp", "size", "node")
-    alone = small.select(F.xxhash64("lane").alias("meet"), F.lit(0).alias("side"), "fp", "size", "node")
+    whole = small.select(F.xxhash64("lane").alias("meet"), F.lit(0).alias("side"), "fp", "size", "node")
     parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
-        dealt.unionByName(alone)
+        dealt.unionByName(whole)
         .repartition(parts, "meet")
         .sortWithinPartitions("meet", "side")
         .mapInArrow(_compared(radius, ratio, tile), "src long, dst long")
     )
 
 
+def lane_links(prints: DataFrame, radius: int, ratio: float, tile: int, lanes: DataFrame) -> DataFrame:
+    """Links with the components of ``fingerprint_links`` over ``lanes``, in two passes, so that a crowded lane of near copies does
+    not meet in all its pairs of tiles.
+
+    The first pass compares each tile of a crowded lane with itself and with the lane's middle tile. What that joins into the
+    lane's largest component is known to be connected, so in the second pass only the other rows meet, each other and all the rest: n
+    rows of which all but a few are near copies cost about n, and a lane that is one component after the first pass has no second.
+    """
+    first = written(fingerprint_links(prints, radius, ratio, tile, lanes, star=True).distinct(), "candidates")
+    crowded = written(lanes.groupBy("lane").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > tile).select("lane"), "crowded")
+    if crowded.isEmpty():
+        return first
+    inside = lanes.join(crowded, "lane").join(connected_components(first), "node", "left")
+    inside = written(inside.select("lane", "node", F.coalesce("component", "node").alias("component")), "inside")
+    largest = inside.groupBy("lane", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("lane")
+    largest = largest.agg(F.count(F.lit(1)).alias("several"), F.max(F.struct("n", "component"))["component"].alias("largest"))
+    open_rows = inside.join(largest.where("several > 1"), "lane").select("node", "lane", (F.col("component") == F.col("largest")).alias("known"))
+    more = fingerprint_links(prints, radius, ratio, tile, written(open_rows, "open"))
+    found = written(first.unionByName(more).distinct(), "candidates")
+    discard(first)
+    discard(inside)
+    return found
+
+
 def simhash_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3, tile: int = TILE
 ) -> DataFrame:
@@ -380,25 +415,29 @@ def set_links(sets: DataFrame, similarity: float, tile: int = SET_TILE) -> DataF
     similarity at least, from the rows ``node, component, shingles``.
 
     The sets of a component are cut into tiles of about ``tile`` hashes along their sizes, whatever their number; tile pairs
-    whose sizes cannot have the similarity are never made, and no pairs of sets leave a task but links.
+    whose sizes cannot have the similarity are never made, and no pairs of sets leave a task but links. Sets that are ``known``
+    (a boolean, if the column is there) meet all but one another: they are connected already.
     """
     size = F.size("shingles")
-    rows = sets.select("node", "component", (size + 1).cast("long").alias("weight"), F.floor(F.log(size + F.lit(1.0)) / np.log(SET_CELL)).alias("cell"))
-    cells = rows.groupBy("component", "cell").agg(F.sum("weight").alias("n"))
-    along = Window.partitionBy("component").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    known = F.col("known") if "known" in sets.columns else F.lit(False)
+    rows = sets.select("node", "component", known.alias("known"), (size + 1).cast("long").alias("weight"), F.floor(F.log(size + F.lit(1.0)) / np.log(SET_CELL)).alias("cell"))
+    by = ("component", "known", "cell")
+    cells = rows.groupBy(*by).agg(F.sum("weight").alias("n"))
+    along = Window.partitionBy("component", "known").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = cells.withColumn("before", F.coalesce(F.sum("n").over(along), F.lit(0)))
-    place = F.floor((F.col("before") + F.pmod(F.xxhash64("node"), F.col("n"))) / tile)
-    placed = rows.join(cells.select(F.struct("component", "cell").alias("of"), "n", "before"), F.struct("component", "cell") == F.col("of"))
+    place = 2 * F.floor((F.col("before") + F.pmod(F.xxhash64("node"), F.col("n"))) / tile) + F.col("known").cast("int")  # known: odd
+    placed = rows.join(cells.select(F.struct(*by).alias("of"), "n", "before"), F.struct(*by) == F.col("of"))
     placed = written(placed.select("node", "component", "cell", place.alias("tile")), "placed")
     span = placed.groupBy("component", "tile").agg(F.min("cell").alias("low"), F.max("cell").alias("high"))
     span = written(span, "tiles")
     other = span.select("component", F.col("tile").alias("tile2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
     apart = int(np.ceil(np.log(1 / similarity) / np.log(SET_CELL))) + 2  # of cells; sizes count one more, hence one of slack
     close = (F.col("low2") - F.col("high") <= apart) & (F.col("low") - F.col("high2") <= apart)
-    meets = span.join(other, "component").where((F.col("tile") < F.col("tile2")) & close)
+    alone = span.where("tile % 2 = 0")
+    meets = alone.join(other, "component").where(((F.col("tile2") % 2 == 1) | (F.col("tile") < F.col("tile2"))) & close)
     sides = F.explode(F.array(F.struct(F.col("tile").alias("tile"), F.lit(1).alias("side")), F.struct(F.col("tile2").alias("tile"), F.lit(2).alias("side"))))
     meets = meets.select("component", F.xxhash64("component", "tile", "tile2").alias("meet"), sides.alias("at")).select("component", "at.*", "meet")
-    own = span.select("component", "tile", F.lit(3).alias("side"), F.xxhash64("component", "tile").alias("meet"))
+    own = alone.select("component", "tile", F.lit(3).alias("side"), F.xxhash64("component", "tile").alias("meet"))
     dealt = placed.join(meets.unionByName(own), ["component", "tile"]).select(F.struct("node").alias("of"), "meet", "side")
     dealt = sets.select("node", "shingles").join(dealt, F.struct("node") == F.col("of")).select("meet", "side", "node", "shingles")
     parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -424,26 +463,35 @@ def near_copies(
     lanes: int = 4,
     similarity: float = 0.8,
     tile: int = TILE,
+    exact: bool = False,
 ) -> DataFrame:
     """One row per input row: ``doc_id, text_hash, component_id``, the smallest id that is reachable over links between
     texts whose sets of shingles have a Jaccard similarity of ``similarity`` or more.
 
     Texts meet in lanes, by bands of minima over their shingles, and fingerprints within ``radius`` make candidate components.
-    Two sets of similarity 0.8 miss all lanes with a probability of 0.00003. In 256 bits, they differ in 38.8 bits with a
-    standard deviation of 5.7 (sets of four and five shingles in 48 and 6.3), so a radius of 72 passes over no pair in
-    practice. The forest of candidates is verified first; where that leaves a component in several clusters, its whole sets are
-    compared in tiles. Every link is verified on the whole sets.
+    This is approximate: two sets of similarity 0.8 miss all lanes with a probability of 0.00003, and in 256 bits they differ in
+    38.8 bits with a standard deviation of 5.7 (sets of four and five shingles in 48 and 6.3), of which a radius of 72 takes all
+    but 5 standard deviations (3.8). The forest of candidates is verified first; where that leaves a component in several clusters,
+    its whole sets are compared in tiles, but for those of its largest cluster among themselves. Every link is verified on the whole sets.
+
+    ``exact``: candidates come from the prefix filters of ``jaccard_join`` instead, which lose no link; ``similarity`` is taken in
+    whole per cent of 50 or more then.
 
     Equal sets are one node, whatever the number of their documents. Texts without words are alike; a very long text is worked
     on by itself. Null ids never become a component id unless a component has no other; ids may be of any type that can be
     ordered; repeated rows are repeated in the result.
     """
+    if exact:
+        found = written(jaccard_components(docs, id_col, text_col, shingle, round(100 * similarity)), "joined")
+        wordless = found.where("n = 0").agg(F.min("doc_id").alias("wordless"))  # texts without words are alike
+        found = found.crossJoin(F.broadcast(wordless))
+        return found.select("doc_id", "text_hash", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("wordless")).alias("component_id"))
     prints = written(simhash(docs, id_col, text_col, shingle, lanes, distinct=True, bands=True), "prints")
     key = F.struct(F.col("doc_id").alias("id"), "text_hash")
     nodes = prints.groupBy("set_hash", "fp").agg(F.min("doc_id").alias("least"), F.min(F.struct(key.alias("key"), "size", "bands")).alias("first"))
     nodes = written(nodes.select(F.monotonically_increasing_id().alias("node"), "set_hash", "fp", "least", "first.*"), "nodes")
     met = written(meeting_lanes(nodes.select("node", F.explode("bands").alias("lane"))), "lanes")
-    forest = written(fingerprint_links(nodes.select("node", "fp", "size"), radius, similarity, tile, met).distinct(), "candidates")
+    forest = lane_links(nodes.select("node", "fp", "size"), radius, similarity, tile, met)
     discard(met)
     groups = connected_components(forest)
     chosen = nodes.join(groups, "node").select("key", "node", "component")
@@ -452,8 +500,12 @@ def near_copies(
     clusters = written(connected_components(links).select("node", F.col("component").alias("cluster")), "clusters")
     named = sets.select("node", "component").join(clusters, "node", "left")
     named = written(named.select("node", "component", F.coalesce("cluster", "node").alias("cluster")), "clustered")
-    several = named.groupBy("component").agg(F.min("cluster").alias("low"), F.max("cluster").alias("high")).where("low <> high")
-    searched = written(sets.join(several.select("component"), "component", "left_semi").select("node", "component", "shingles"), "searched")
+    several = named.groupBy("component", "cluster").agg(F.count(F.lit(1)).alias("n")).groupBy("component")
+    several = several.agg(F.count(F.lit(1)).alias("clusters"), F.max(F.struct("n", "cluster"))["cluster"].alias("largest")).where("clusters > 1")
+    known = named.join(several.select("component", "largest"), "component")
+    known = written(known.select(F.struct("node").alias("of"), (F.col("cluster") == F.col("largest")).alias("known")), "known")
+    searched = sets.join(known, F.struct("node") == F.col("of")).select("node", "component", "known", "shingles")
+    searched = written(searched, "searched")
     discard(sets)
     more = written(set_links(searched, similarity), "more")
     discard(searched)

@@ -15,6 +15,7 @@ from deedweb.llm import bpe, fingerprints, packing, queries, simhash, words
 from deedweb.llm.exact_dedup import exact_dedup
 from deedweb.llm.line_dedup import line_dedup
 from deedweb.llm.substring import substring_dedup
+from deedweb.operators.components import connected_components
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _key string, slot int"
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -208,8 +209,6 @@ def test_links_of_dense_groups(spark):
     roots = brute_components(prints, 3)
     signed = [x - (1 << 64) if x >> 63 else x for x in prints]
     df = spark.createDataFrame([(s, [s], 1) for s in signed], "node long, fp array<long>, size int")
-    from deedweb.operators.components import connected_components
-
     for tile in (16, 4096):
         links = simhash.fingerprint_links(df, 3, tile=tile)
         assert links.count() < 64 * len(prints)
@@ -350,6 +349,64 @@ def test_near_copies_of_tables(request, which):
     assert got == counted(zip((d for d, _ in rows), brute_near(rows), strict=True))
 
 
+def test_near_copies_of_a_crowded_lane(spark):
+    """Near copies of two templates, chains and strangers, in lanes of many tiles: pairs of tiles that meet grow with the tiles
+    where one component holds a lane, and the components stay those of all pairs."""
+    rng = np.random.default_rng(21)
+    base = rng.integers(0, 2**63, 4, dtype=np.uint64)
+    rows = []
+    for i in range(640):
+        flips = rng.choice(256, 30 if i % 40 else 128, replace=False)  # one in forty is a stranger
+        fp = base.copy()
+        for b in flips:
+            fp[b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+        rows.append((i, fp.view(np.int64).tolist(), 100))
+    prints = spark.createDataFrame(rows, "node long, fp array<long>, size int")
+    lanes = prints.select("node", F.explode(F.array(F.lit(1).cast("long"), 2 + F.col("node") % 2)).alias("lane"))
+    fps = np.array([r[1] for r in rows], np.int64).view(np.uint64)
+    apart = np.bitwise_count(fps[:, None] ^ fps[None]).sum(axis=2)
+    for radius in (72, 58):
+        want = np.arange(len(rows))
+        while (lower := np.where(apart <= radius, want[None], len(rows)).min(axis=1)).tolist() != want.tolist():
+            want = np.minimum(want, lower)
+        for tile in (16, 4096) if radius == 72 else (40,):
+            found = simhash.lane_links(prints, radius, 0.0, tile, lanes)
+            assert all(apart[r["src"], r["dst"]] <= radius for r in found.collect())
+            labels = {r["node"]: r["component"] for r in connected_components(found).collect()}
+            assert [labels.get(i, i) for i in range(len(rows))] == want.tolist(), (radius, tile)
+
+
+def test_near_copies_exact_mode(spark, cases):
+    """Candidates by prefix filters give brute force over all pairs: at 0.8, in tables of odd rows, and in empty ones."""
+    rng = np.random.default_rng(22)
+    rows = [(None, None), (1, ""), (2, " \t")]
+    for k, similarity in enumerate((0.7, 0.78, 0.8, 0.85)):
+        for i in range(8):
+            rows += [(len(rows) + j, t) for j, t in enumerate(at_jaccard(rng, 180, similarity, f"e{k}-{i}-"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for table in (df, cases):
+        want = counted(zip((d for d, _ in rows_of(table)), brute_near(rows_of(table)), strict=True))
+        assert counted((r["doc_id"], r["component_id"]) for r in simhash.near_copies(table, exact=True).collect()) == want
+    assert simhash.near_copies(df.where("false"), exact=True).count() == 0
+
+
+def test_known_sets_meet_the_others(spark):
+    """Sets that are connected already are not compared with one another, and all others still find them."""
+    rng = np.random.default_rng(23)
+    sets = [[*range(i, i + 90)] for i in range(0, 60, 2)] + [[*rng.choice(150, 95, replace=False).tolist()] for _ in range(20)]
+    sets += [[*s[3:], -i - 1] for i, s in enumerate(sets[:10])]
+    df = spark.createDataFrame([(i, 1, i < 30, s) for i, s in enumerate(sets)], "node long, component long, known boolean, shingles array<long>")
+    alike = lambda a, b: len(set(a) & set(b)) >= 0.8 * len(set(a) | set(b))
+    chain = [(i, i + 1) for i in range(29)]
+    want = spark.createDataFrame([*chain, *((i, j) for i in range(len(sets)) for j in range(i) if alike(sets[i], sets[j]))], "src long, dst long")
+    want = {(r["node"], r["component"]) for r in connected_components(want).collect()}
+    for tile in (200, 1 << 15):
+        found = simhash.set_links(df, 0.8, tile)
+        assert not found.where("src < 30 and dst < 30").count()
+        joined = found.unionByName(spark.createDataFrame(chain, "src long, dst long"))
+        assert {(r["node"], r["component"]) for r in connected_components(joined).collect()} == want
+
+
 def test_set_links_of_tiles(spark):
     """Tiles of whatever size give the components of all pairs: chains at 0.8, many sets that share much but do not link, and
     empty sets."""
