@@ -45,6 +45,8 @@ def vectors(docs: DataFrame, weights: DataFrame, params: StringMatchParams) -> D
     of what is left from each on."""
     rows = gram_counts(docs, params.n).join(weights, "gram").select("doc", "gram", "df", (F.col("tf") * F.col("idf")).alias("w"))
     terms = F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("terms")
+    # By number, so that adaptive execution does not join partitions: rows are short, and what is made of each is long work.
+    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc")
     rows = rows.groupBy("doc").agg(terms, F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     start = F.struct(F.lit(1.0).alias("left"), F.array().cast("array<struct<gram: string, w: double, tail: double>>").alias("out"))
 
@@ -157,10 +159,75 @@ def candidates(q: DataFrame, postings: DataFrame, once: bool = False) -> DataFra
     return bounded.where(F.col("bound") >= F.col("least") - 1e-9).drop("least")
 
 
+#: Thresholds from which pairs meet on two grams at once (see ``meetings``); below, half of a vector may be missing and single grams lead.
+PAIRED = 0.55
+#: The first and the ``FAR``-th shared gram of a pair are its key.
+FAR = 5
+
+
+def _meeting_keys(side: DataFrame, name: str, least: float) -> DataFrame:
+    """``key, <name>, reach``: the keys under which a vector meets others, and the length of what they may share there (see ``meetings``)."""
+    need = least * least - 1e-9
+    start = F.array().cast("array<struct<gram: string, m: double, left: double, next: double, peak: double, two: double, three: double>>")
+
+    def step(out: Column, t: Column) -> Column:  # from the last gram to the first
+        m, before = t["w"] * t["w"], lambda k, c: F.coalesce(F.try_element_at(out, F.lit(k))[c], F.lit(0.0))
+        two = before(1, "peak") + before(2, "peak")
+        known = {"gram": t["gram"], "m": m, "left": t["tail"] * t["tail"], "next": before(1, "left"), "peak": F.greatest(m, before(1, "peak")), "two": two, "three": two + before(3, "peak")}
+        return F.concat(F.array(F.struct(*(v.alias(n) for n, v in known.items()))), out)
+
+    rows = side.select(F.col("id").alias(name), F.aggregate(F.reverse("terms"), start, step).alias("t"))
+    rows = rows.select(name, "t", F.posexplode("t").alias("i", "a")).where(F.col("a.left") >= need)
+    rows = rows.select(name, "i", "a", F.posexplode(F.slice("t", F.col("i") + 1, F.size("t"))).alias("gap", "b"))
+    far = F.col("b.left") + F.col("a.m") + F.least(F.col("a.three"), F.col("a.next") - F.col("b.left"))
+    near = F.least(F.col("b.left") + F.col("a.m"), F.col("a.m") + F.col("b.m") + F.col("b.two"))
+    five = (F.col("gap") >= FAR - 1) & (far >= need)
+    small = (F.col("gap") >= 1) & (F.col("a.m") + F.col("a.three") >= need) & (near >= need)
+    alone = (F.col("gap") == 0) & (F.col("a.m") >= need)
+    made = lambda kind, mass, *grams: F.struct(F.concat(F.lit(kind), *grams).alias("key"), mass.alias("mass"))
+    keys = F.array(
+        F.when(five, made("5", far, F.col("a.gram"), F.col("b.gram"))),
+        F.when(small, made("2", near, F.col("a.gram"), F.col("b.gram"))),
+        F.when(alone, made("1", F.col("a.m"), F.col("a.gram"))),
+    )
+    rows = rows.where(five | small | alone)
+    rows = rows.select(name, F.explode(keys).alias("key")).where("key is not null")
+    return rows.select("key.key", name, F.sqrt("key.mass").cast("float").alias("reach"))
+
+
+def meetings(q: DataFrame, r: DataFrame, least: float, once: bool = False) -> DataFrame:
+    """``query, ref``: the pairs that may reach ``least``, by two grams at once; exact for any threshold above 0.
+
+    Let S be the grams that a pair shares, in the order of grams. The cosine is at most the product of the lengths of both vectors on S, so
+    each length is at least the threshold. Vectors meet on the first and the fifth gram of S, which say more than two that
+    overlap. What lies before the fifth is not in S, but for the first and three more: the three heaviest bound these, and
+    the length of all that may be in S is the vector's ``reach`` there. The product of both reaches bounds the cosine, so one of them is
+    at least the root of the threshold: of vectors with less, none meets another. Where S has fewer than five grams, these must hold
+    enough of the vector; such short documents also meet on the first two, or on one gram.
+    """
+    strong = least**0.5 - 1e-6
+    left = _meeting_keys(q, "query", least)
+    if once:  # each pair in one order: what is strong meets all that is weak, and the strong ones of a higher id
+        left, right = left.where(F.col("reach") >= strong), _meeting_keys(r, "ref", least)
+        kinds = None
+        fits = (F.col("_reach") < strong) | (F.col("query") < F.col("ref"))
+    else:  # strong queries meet all references, weak ones the strong
+        left = left.withColumn("kind", F.col("reach") >= strong)
+        right = _meeting_keys(r, "ref", least)
+        kinds = F.when(F.col("reach") >= strong, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+        fits = F.lit(True)
+    right = right.withColumnRenamed("reach", "_reach") if kinds is None else right.select("key", "ref", F.col("reach").alias("_reach"), F.explode(kinds).alias("kind"))
+    both = left.join(right, ["key"] if kinds is None else ["key", "kind"]).where(F.col("reach") * F.col("_reach") >= least - 1e-6).where(fits)
+    if not once:
+        return both.select("query", "ref").distinct()
+    return both.where("query <> ref").select(F.least("query", "ref").alias("query"), F.greatest("query", "ref").alias("ref")).distinct()
+
+
 def _dots(pairs: DataFrame, q: DataFrame, r: DataFrame) -> DataFrame:
     """``query, original_doc, matched_doc, conf1`` of pairs of ids."""
-    left = q.select(F.col("id").alias("query"), F.col("doc").alias("original_doc"), F.col("terms").alias("_q"))
-    right = r.select(F.col("id").alias("ref"), F.col("doc").alias("matched_doc"), F.col("terms").alias("_r"))
+    slim = F.transform("terms", lambda t: F.struct(t["gram"].alias("gram"), t["w"].alias("w")))
+    left = q.select(F.col("id").alias("query"), F.col("doc").alias("original_doc"), slim.alias("_q"))
+    right = r.select(F.col("id").alias("ref"), F.col("doc").alias("matched_doc"), slim.alias("_r"))
     both = pairs.join(left, "query").join(right, "ref")
     known = F.map_from_entries(F.transform("_r", lambda t: F.struct(t["gram"], t["w"])))
     dot = lambda s: F.aggregate(s["q"], F.lit(0.0), lambda x, t: x + t["w"] * F.coalesce(F.try_element_at(s["r"], t["gram"]), F.lit(0.0)))
@@ -169,11 +236,18 @@ def _dots(pairs: DataFrame, q: DataFrame, r: DataFrame) -> DataFrame:
 
 def _scored(q: DataFrame, matcher: Matcher, least: float, once: bool = False) -> DataFrame:
     """All pairs that reach ``least``."""
-    postings = matcher.postings.where(F.col("tail") >= least - 1e-9)
-    found = _dots(candidates(q.withColumn("least", F.lit(least)), postings, once), q, matcher.vectors).where(F.col("conf1") >= least - 1e-9)
+    if least >= PAIRED:
+        pairs = meetings(q, matcher.vectors, least, once)
+    else:
+        postings = matcher.postings.where(F.col("tail") >= least - 1e-9)
+        pairs = candidates(q.withColumn("least", F.lit(least)), postings, once)
+    found = _dots(pairs, q, matcher.vectors).where(F.col("conf1") >= least - 1e-9)
     if once:
+        found = written(found, "scored-once")
         turned = found.where("original_doc <> matched_doc").select("query", F.col("matched_doc").alias("original_doc"), F.col("original_doc").alias("matched_doc"), "conf1")
-        found = written(found, "scored-once").unionByName(turned)
+        found = found.unionByName(turned)
+        if least >= PAIRED:  # a vector is its own match
+            found = found.unionByName(q.select(F.col("id").alias("query"), F.col("doc").alias("original_doc"), F.col("doc").alias("matched_doc"), F.lit(1.0).alias("conf1")))
     return found
 
 

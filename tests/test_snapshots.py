@@ -168,3 +168,28 @@ def test_statistics_over_batches(spark, tmp_path):
     some = sketches.linked_values(sketches.statistics(spark, root), ("b", "many"), ("a", "few"), 12).first()
     assert tuple(some) == (600, 600, 300)
     assert tuple(sketches.linked_values(sketches.statistics(spark, root), ("b", "many"), ("a", "gone"), 12).first()) == (0, 1200, 0)
+
+
+@pytest.mark.parametrize("theta", [0.6, 0.75, 0.9])
+def test_meetings_on_two_grams(spark, theta):
+    """Every pair that reaches the threshold meets, short documents among them; far fewer meet than by single grams, and the join runs once."""
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    seconds = [word(6) for _ in range(5)]
+    docs = [f"{word(7)} {rng.choice(seconds)} {rng.randrange(30)} MAIN ST" for _ in range(300)]
+    docs += [d.replace(" MAIN ST", " OAK ST") for d in docs[:40]] + [d[:3] + "x" + d[4:] for d in docs[20:60]]
+    docs += [word(k) for k in (1, 2, 2, 3, 3, 3, 4, 4) for _ in range(6)] + ["ab", "abc", "abcab", "ababab", "aaaa", "aaaaaaaa"]
+    df = spark.createDataFrame([(d,) for d in docs], "doc string")
+    matcher = M.fit_matcher(df)
+    v = matcher.vectors.select("id", "terms").collect()
+    weights = {r["id"]: {t["gram"]: t["w"] for t in r["terms"]} for r in v}
+    near = {(a, b) for a, x in weights.items() for b, y in weights.items() if sum(w * y.get(g, 0.0) for g, w in x.items()) >= theta}
+    met = {tuple(r) for r in M.meetings(matcher.vectors, matcher.vectors, theta).collect()}
+    assert near <= met
+    once = {tuple(r) for r in M.meetings(matcher.vectors, matcher.vectors, theta, once=True).collect()}
+    assert {p for p in near if p[0] < p[1]} <= once and all(a < b for a, b in once) and len(near) >= len(weights)
+    leading = matcher.postings.where(F.col("tail") >= theta).select("gram", "ref")
+    assert len(met) < leading.join(leading.withColumnRenamed("ref", "other"), "gram").select("ref", "other").distinct().count() / 2
+    found = M.similar_pairs(df, df, "doc", "doc", M.StringMatchParams(threshold=theta))
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == len({(a, b) for a, x in weights.items() for b, y in weights.items() if sum(w * y.get(g, 0.0) for g, w in x.items()) >= theta - 1e-9})
