@@ -101,7 +101,7 @@ SAVED = {"weights": "gram", "postings": "gram", "vectors": "id"}
 
 def save_matcher(matcher: Matcher, path: str, buckets: int | None = None) -> None:
     """Writes the tables below ``path``, bucketed by gram (vectors by id). ``params`` comes last: a folder without it is not a
-    matcher. With as many buckets as the queries' joins have partitions (the default), a match moves no row of the references."""
+    matcher. With as many buckets as the queries' joins have partitions (the default), a match below ``PAIRED`` moves no row of the references."""
     spark = matcher.weights.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, key in SAVED.items():
@@ -223,6 +223,27 @@ def meetings(q: DataFrame, r: DataFrame, least: float, once: bool = False) -> Da
     return both.where("query <> ref").select(F.least("query", "ref").alias("query"), F.greatest("query", "ref").alias("ref")).distinct()
 
 
+#: Parts of a sketch.
+PARTS = 64
+
+
+def _sketch() -> Column:
+    """The lengths of a vector's parts, its grams dealt by hash, in 127ths and rounded up."""
+    dealt = F.transform("terms", lambda t: F.struct(F.pmod(F.hash(t["gram"]), F.lit(PARTS)).alias("p"), (t["w"] * t["w"]).alias("m")))
+    mass = lambda s, p: F.aggregate(s["d"], F.lit(0.0), lambda x, t: x + F.when(t["p"] == p, t["m"]).otherwise(0.0))
+    size = lambda s, p: F.least(F.ceil(F.sqrt(mass(s, p)) * 127 - 1e-6), F.lit(127)).cast("tinyint")
+    return let({"d": dealt}, lambda s: F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda p: size(s, p)))
+
+
+def likely(pairs: DataFrame, q: DataFrame, r: DataFrame, least: float) -> DataFrame:
+    """The pairs whose sketches allow ``least``: by parts, products of lengths bound the cosine. So most pairs go without their vectors."""
+    left = q.select(F.col("id").alias("query"), _sketch().alias("_a"))
+    right = r.select(F.col("id").alias("ref"), _sketch().alias("_b"))
+    bound = F.aggregate(F.zip_with("_a", "_b", lambda x, y: x.cast("int") * y.cast("int")), F.lit(0), lambda s, x: s + x)
+    both = pairs.join(left, "query").join(right, "ref")
+    return both.where(bound >= (least - 1e-4) * 127 * 127).select("query", "ref")
+
+
 def _dots(pairs: DataFrame, q: DataFrame, r: DataFrame) -> DataFrame:
     """``query, original_doc, matched_doc, conf1`` of pairs of ids."""
     slim = F.transform("terms", lambda t: F.struct(t["gram"].alias("gram"), t["w"].alias("w")))
@@ -237,7 +258,7 @@ def _dots(pairs: DataFrame, q: DataFrame, r: DataFrame) -> DataFrame:
 def _scored(q: DataFrame, matcher: Matcher, least: float, once: bool = False) -> DataFrame:
     """All pairs that reach ``least``."""
     if least >= PAIRED:
-        pairs = meetings(q, matcher.vectors, least, once)
+        pairs = likely(meetings(q, matcher.vectors, least, once), q, matcher.vectors, least)
     else:
         postings = matcher.postings.where(F.col("tail") >= least - 1e-9)
         pairs = candidates(q.withColumn("least", F.lit(least)), postings, once)

@@ -188,8 +188,12 @@ def test_meetings_on_two_grams(spark, theta):
     assert near <= met
     once = {tuple(r) for r in M.meetings(matcher.vectors, matcher.vectors, theta, once=True).collect()}
     assert {p for p in near if p[0] < p[1]} <= once and all(a < b for a, b in once) and len(near) >= len(weights)
+    some = spark.createDataFrame(sorted(near) + [(a, b) for a in list(weights)[:60] for b in weights], "query long, ref long").distinct()
+    kept = {tuple(r) for r in M.likely(some, matcher.vectors, matcher.vectors, theta).collect()}
+    assert near <= kept and len(kept) < some.count() / 4
     leading = matcher.postings.where(F.col("tail") >= theta).select("gram", "ref")
-    assert len(met) < leading.join(leading.withColumnRenamed("ref", "other"), "gram").select("ref", "other").distinct().count() / 2
+    single = leading.join(leading.withColumnRenamed("ref", "other"), "gram").where("ref <> other").select("ref", "other").distinct().count()
+    assert len([p for p in met if p[0] != p[1]]) < single / 2
     found = M.similar_pairs(df, df, "doc", "doc", M.StringMatchParams(threshold=theta))
     assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
     assert found.count() == len({(a, b) for a, x in weights.items() for b, y in weights.items() if sum(w * y.get(g, 0.0) for g, w in x.items()) >= theta - 1e-9})
