@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -395,15 +395,22 @@ def settled_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     and answered by nothing."""
     df, path = derived(spark, sf_dir, "candidates"), fresh_path(spark, "answers")
     address = lambda key: F.concat(key % 4 + 1, F.lit(" MAIN ST "), key, F.lit(", CHICAGO, IL "), 60600 + key % 3)
-    one = F.from_json(F.to_json(F.struct(F.struct("number", F.col("zip_code").alias("zip")).alias("address_components"), "formatted_address")), geocode.RESULTS[6:-1])
+    given = {"number": F.col("number"), "zip": F.col("zip_code")}
+    components = F.struct(*(given.get(c, F.lit(None).cast("string")).alias(c) for c in geocode.COMPONENTS.values()))
+    one = F.struct(
+        components.alias("address_components"), "formatted_address", F.lit(None).cast("struct<lat: double, lng: double>").alias("location"),
+        F.lit(None).cast("double").alias("accuracy"), F.lit(None).cast("string").alias("accuracy_type"), F.lit(None).cast("string").alias("source"),
+    )
     part = F.when(F.col("candidate") <= 3, 1).otherwise(2)
-    rows = df.groupBy(address(F.col("order_id")).alias("clean_address"), part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("candidate", one.alias("r")))).alias("rows"))
-    rows = rows.select("clean_address", "part", F.transform("rows", lambda x: x["r"]).alias("results"))
-    total = rows.groupBy("clean_address").agg(F.count(F.lit(1)).alias("parts"))
+    rows = df.repartition("order_id").groupBy("order_id", part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("candidate", one.alias("r")))).alias("rows"))
+    total = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
+    rows = rows.select(address(F.col("order_id")).alias("clean_address"), "part", F.transform("rows", lambda x: x["r"]).cast(geocode.RESULTS).alias("results"), total.alias("parts"))
     none = derived(spark, sf_dir, "properties").join(df.select(F.col("order_id").alias("pin")), "pin", "left_anti")
     none = none.select(address(F.col("pin")).alias("clean_address"), F.lit(1).alias("part"), F.array().cast(geocode.RESULTS).alias("results"), F.lit(1).cast("long").alias("parts"))
-    rows.join(total, "clean_address").unionByName(none).repartitionByRange(4, "part", "clean_address").write.parquet(f"{path}/in")
-    stream = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).option("maxFilesPerTrigger", 2).parquet(f"{path}/in")
+    # Two batches, each of as many files as there are tasks.
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows.unionByName(none).repartitionByRange(2 * n, "part", "clean_address").write.parquet(f"{path}/in")
+    stream = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).option("maxFilesPerTrigger", n).parquet(f"{path}/in")
     resolve_stream(stream, f"{path}/out", f"{path}/check", part="part", parts="parts").awaitTermination()
     found = settled_tables(spark, f"{path}/out")
     columns = ("clean_address", "candidate", "number", "zip_code", "formatted_address")

@@ -1,30 +1,27 @@
 """Geocoder answers that arrive in parts and in any order: an address is settled once its answers are in, or late.
 
-The parts of an address are kept in the stream's state. When all are there, or when the watermark passes the time that they were
-waited for, the address leaves with all candidates of its parts together, and is settled by the same steps as a whole table. A
-settled address stays in the state until its time is over, so a part that is sent again does not settle it twice. What a
-batch settles is published once, however often the batch runs.
+What is known of an address is kept in tables beside the results: ``waiting`` has the parts of open addresses, ``closed`` the addresses
+that left and until when they are remembered, ``clock`` the watermark. A batch meets ``waiting`` in one shuffle by address. When all parts
+are there, or when the watermark passes the time that they were waited for, the address leaves with all candidates of its parts
+together, and is settled by the same steps as a whole table. A settled address is remembered until its time is over, so a part that
+is sent again does not settle it twice. What a batch settles and what it leaves waiting are published at once and once, however often the
+batch runs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from deedweb.operators.geocode import flatten_results, process_results, split_results
 from deedweb.operators.tables import remove_listed
+from deedweb.scratch import discard, written
 from deedweb.sources.snapshots import Snapshot, publish, snapshot
 
 TABLES = ("validated", "unvalidated", "failed")
-#: What is known of an address: its number of parts, each part as its number and JSON, and whether it is settled.
-STATE = "parts int, answers array<string>, settled boolean"
-GATHERED = "parts int, answers array<string>, complete boolean"
+#: An answer as ``as_parts`` gives it, and an address that left.
+PART, CLOSED = "address string, parts int, answer string, at timestamp", "address string, until timestamp"
 
 
 def open_addresses(master: DataFrame, *settled: DataFrame, address: str = "clean_address") -> DataFrame:
@@ -47,52 +44,68 @@ def as_parts(answers: DataFrame, address: str = "clean_address", part: str | Non
 
 def gathered(rows: DataFrame) -> DataFrame:
     """``address, parts, answers, complete`` of a whole table of ``as_parts``, as the stream gives them at its end."""
-    each = rows.where("address is not null").groupBy("address").agg(F.max("parts").alias("parts"), F.array_sort(F.collect_set("answer")).alias("answers"))
+    # By address first, so that parts meet in one shuffle.
+    each = rows.where("address is not null").repartition("address").groupBy("address")
+    each = each.agg(F.max("parts").alias("parts"), F.array_sort(F.collect_set("answer")).alias("answers"), F.max("at").alias("at"))
     seen = F.size(F.array_distinct(F.transform("answers", lambda x: F.substring(x, 1, 9))))
-    return each.withColumn("complete", seen >= F.col("parts"))
+    return each.select("address", "parts", "answers", (seen >= F.col("parts")).alias("complete"), "at")
 
 
-def settled(found: DataFrame, schema: str, address: str = "clean_address") -> dict[str, DataFrame]:
-    """The tables ``TABLES`` of gathered addresses; ``schema`` is the type of ``results``. Candidates of all parts are numbered through, and
-    equal ones count once. An address without any candidate is failed."""
-    rows = found.select(F.col("address").alias(address), F.posexplode("answers").alias("_part", "_answer"))
+def _flat(found: DataFrame, schema: str, address: str) -> DataFrame:
+    """The candidates of gathered addresses, numbered through; equal ones once."""
+    rows = found.repartition("address").select(F.col("address").alias(address), F.posexplode("answers").alias("_part", "_answer"))
     results = F.from_json(F.substring("_answer", 11, 1 << 30), f"results {schema}")["results"]
     flat = flatten_results(rows.select(address, "_part", results.alias("results")), [address, "_part"])
     same = [c for c in flat.columns if c not in ("_part", "candidate")]
-    flat = flat.groupBy(*same).agg(F.min(F.struct("_part", "candidate")).alias("_place"))
+    place = F.shiftleft(F.col("_part").cast("long"), 32) + F.col("candidate")  # one number, so that rows are hashed and not sorted
+    flat = flat.groupBy(*same).agg(F.min(place).alias("_place"))
     order = Window.partitionBy(address).orderBy("_place")
-    flat = flat.withColumn("candidate", F.row_number().over(order) - 1).drop("_place")
-    parts = split_results(found.select(F.col("address").alias(address)), process_results(flat, address), address)
-    return dict(zip(TABLES, parts, strict=True))
+    return flat.withColumn("candidate", F.row_number().over(order) - 1).drop("_place")
 
 
-def gather_stream(rows: DataFrame, wait_seconds: int, delay: str) -> DataFrame:
-    """``gathered`` over a stream of ``as_parts``: an address leaves when all of its parts are in, or when ``wait_seconds`` after its
-    last one have passed by the watermark, which is ``delay`` behind the latest ``at``. Answers older than the watermark are late
-    and dropped. Rows without an address only move the time on."""
+def settled(found: DataFrame, schema: str, address: str = "clean_address") -> dict[str, DataFrame]:
+    """The tables ``TABLES`` of gathered addresses; ``schema`` is the type of ``results``. Candidates of all parts are numbered through, and
+    equal ones count once. An address without any candidate is failed. Answers are read once, for all three tables."""
+    resolved = written(process_results(_flat(found, schema, address), address), "resolved")
+    parts = split_results(found.select(F.col("address").alias(address)), resolved, address)
+    return dict(zip(TABLES, parts, strict=True))
 
-    def gather(key: tuple[Any], pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        parts, answers, done = state.get if state.exists else (0, [], False)
-        if state.hasTimedOut:
-            state.remove()
-            if not done and key[0] is not None:
-                yield pd.DataFrame({"address": [key[0]], "parts": [parts], "answers": [sorted(answers)], "complete": [False]})
-            return
-        latest = 0
-        for piece in pieces:
-            parts = max(parts, int(piece["parts"].max()))
-            answers = sorted({*answers, *piece["answer"]})
-            latest = max(latest, int(piece["at"].max().timestamp() * 1000))
-        if key[0] is None:
-            return
-        whole = len({a[:9] for a in answers}) >= parts
-        if whole and not done:
-            yield pd.DataFrame({"address": [key[0]], "parts": [parts], "answers": [answers], "complete": [True]})
-        state.update((parts, [] if whole or done else answers, whole or done))
-        state.setTimeoutTimestamp(max(latest, state.getCurrentWatermarkMs()) + 1000 * wait_seconds + 1)
 
-    timed = rows.withWatermark("at", delay)
-    return timed.groupBy("address").applyInPandasWithState(gather, f"address string, {GATHERED}", STATE, "append", GroupStateTimeout.EventTimeTimeout)
+def _add(spark: SparkSession, rows: DataFrame, at: Snapshot, schema: str, address: str, wait_seconds: int, delay: str, source: str, number: int) -> None:
+    """Publishes what a batch of ``as_parts`` settles, and what it leaves waiting.
+
+    An address leaves when all of its parts are in, or when ``wait_seconds`` after its last one have passed by the watermark, which is
+    ``delay`` behind the latest ``at``. Answers up to the watermark of the batches before are late and dropped. Rows without an address only
+    move the time on."""
+    there = lambda name, kinds: at.read(spark, name) if name in at.folders else spark.createDataFrame([], kinds)
+    was = at.read(spark, "clock").first()[0] if "clock" in at.folders else 0
+    now = max(was, rows.agg(F.unix_micros(F.max("at") - F.expr(f"INTERVAL {delay}"))).first()[0] or 0)
+    before, after = F.timestamp_micros(F.lit(was)), F.timestamp_micros(F.lit(now))
+    until = (F.greatest(F.col("at"), before) + F.make_dt_interval(secs=F.lit(wait_seconds))).alias("until")
+    closed = there("closed", CLOSED)
+    # Where nothing has closed yet, nothing is looked up.
+    known = F.struct("address") if "closed" in at.folders else None
+    timely = rows.where("address is not null").where(F.col("at") > before)
+    fresh, again = timely, None
+    if known is not None:
+        keys = closed.select(F.struct("address").alias("_closed")).distinct()
+        fresh = timely.join(keys, known == F.col("_closed"), "left_anti")
+        again = timely.join(keys, known == F.col("_closed"), "left_semi").select("address", until)
+    found = written(gathered(fresh.unionByName(there("waiting", PART))).withColumn("over", until < after), "gathered")
+    leaving = found.where("complete or over")
+    stay = found.where("not complete and not over").select("address", "parts", F.explode("answers").alias("answer"), "at")
+    left = found.where("complete and not over").select("address", until)
+    left = left if again is None else left.unionByName(again)
+    tables = settled(leaving, schema, address)
+    replace = {"waiting": stay, "clock": spark.range(1).select(F.lit(now).cast("long").alias("micros"))}
+    append = dict(tables)
+    if now > was:  # what is over is forgotten
+        replace["closed"] = closed.unionByName(left).groupBy("address").agg(F.max("until").alias("until")).where(~(F.col("until") < after))
+    else:
+        append["closed"] = left
+    publish(spark, at.root, replace, append, source, number, since=at)
+    for table in (found, tables["validated"]):
+        discard(table)
 
 
 def resolve_stream(
@@ -111,15 +124,19 @@ def resolve_stream(
     one part. Any cut of the stream into batches gives the tables of one batch, as long as no part comes later than ``delay``."""
     schema = answers.schema["results"].dataType.simpleString()
 
+    spark = answers.sparkSession
+
     def add(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        batch.persist()  # three tables are made of it
-        try:
-            publish(spark, root, append=settled(batch, schema, address), source=checkpoint, batch=number)
-        finally:
-            batch.unpersist()
-
-    found = gather_stream(as_parts(answers, address, part, parts, at), wait_seconds, delay)
+        before = snapshot(spark, root)
+        if number <= before.batches.get(checkpoint, -1):
+            return
+        # Written once, and read by the user's session: the stream's own runs without adaptive execution.
+        rows = written(batch, "answers")
+        rows = spark.read.schema(rows.schema).parquet(*{f.rsplit("/", 1)[0] for f in rows.inputFiles()})
+        _add(spark, rows, before, schema, address, wait_seconds, delay, checkpoint, number)
+        discard(rows)
+
+    found = as_parts(answers, address, part, parts, at)
     return found.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
