@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from deedweb.functions import constants as K
@@ -83,9 +83,10 @@ def taxpayer_edges(df: DataFrame, params: NetworkParams) -> DataFrame:
     return _pairs(df, pairs).distinct()
 
 
-def taxpayer_edges_with_filings(df: DataFrame, filings: DataFrame, params: NetworkParams, uid: str = "uid") -> DataFrame:
+def taxpayer_edges_with_filings(df: DataFrame, filings: DataFrame, params: NetworkParams, uid: str = "uid", spanning: bool = False) -> DataFrame:
     """Edges of a taxpayer table with address variants, and of business filings that share its ``uid``. A filing's address is
-    judged by the filing's own flags."""
+    judged by the filing's own flags. A uid ties each of its names to each of its addresses; with ``spanning``, its names to its first
+    address and its addresses to its first name, which gives the same components from as many edges as there are names and addresses."""
     address_col = f"match_address_{params.suffix}"
     ignored = F.col(params.name_col).isin([*params.ignored_names, "UNKNOWN"])
     name = F.when(~_flag("exclude_name") & ~ignored, F.col(params.name_col))
@@ -96,7 +97,14 @@ def taxpayer_edges_with_filings(df: DataFrame, filings: DataFrame, params: Netwo
         pairs += [(F.when(match.isNotNull(), name), F.when(name.isNotNull(), match)), (F.when(match.isNotNull(), address), F.when(address.isNotNull(), match))]
     own = filings.where(address_counts_by_suite(address_col, params)).select(uid, F.col(address_col).alias("dst")).distinct()
     entities = df.where(F.col(uid).isNotNull() & F.col(params.name_col).isNotNull()).select(uid, F.col(params.name_col).alias("src")).distinct()
-    return _pairs(df, pairs).unionByName(entities.join(own, uid).select("src", "dst")).distinct()
+    if spanning:
+        key = lambda: F.struct(F.col(uid).alias("uid"))  # noqa: E731  (plain exchanges, which can be split where a uid is frequent)
+        address = own.groupBy(key().alias("_of")).agg(F.min("dst").alias("dst"))
+        first = entities.groupBy(key().alias("_of")).agg(F.min("src").alias("src"))
+        tied = entities.join(address, key() == F.col("_of")).select("src", "dst").unionByName(own.join(first, key() == F.col("_of")).select("src", "dst"))
+    else:
+        tied = entities.join(own, uid).select("src", "dst")
+    return _pairs(df, pairs).unionByName(tied).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -125,14 +133,22 @@ def network_counts(parts: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def assign_components(df: DataFrame, parts: DataFrame, keys: list[str | Column], row_id: str, number: int = 1) -> DataFrame:
-    """``final_component_<number>``: the component of the first key of a row that is a node. All keys of a row are looked up in
-    one join."""
-    cols = [F.col(k) if isinstance(k, str) else k for k in keys]
-    wanted = df.select(F.col(row_id).alias("_id"), F.posexplode(F.array(*cols)).alias("_place", "_key")).where("_key is not null")
-    found = wanted.join(parts.select(F.col("node").alias("_key"), "component"), "_key")
+    """``final_component_<number>``: the component of the first key of a row that is a node. Rows that a key finds are done; only the
+    others are looked up by the next, so a row is moved about once and not once for each key. Rows have different ``row_id``s."""
     name = f"final_component_{number}"
-    best = found.groupBy(F.struct("_id").alias("_row")).agg(F.min_by("component", "_place").alias(name))
-    return df.drop(name).join(best, F.struct(F.col(row_id).alias("_id")) == F.col("_row"), "left").drop("_row")
+    named = parts.select(F.struct(F.col("node").alias("_key")).alias("_node"), F.col("component").alias(name))
+    rest, done = df.drop(name), []
+    for key in keys:
+        wanted = F.col(key) if isinstance(key, str) else key
+        missed = Observation()
+        looked = rest.join(named, F.struct(wanted.alias("_key")) == F.col("_node"), "left").drop("_node")
+        looked = written(looked.observe(missed, F.count_if(F.col(name).isNull()).alias("n")), "assigned")
+        done.append(looked.where(F.col(name).isNotNull()))
+        rest = looked.where(F.col(name).isNull()).drop(name)
+        if missed.get["n"] == 0:
+            break
+    none = rest.withColumn(name, F.lit(None).cast(parts.schema["component"].dataType))
+    return reduce(DataFrame.unionByName, [*done, none])
 
 
 def assign_components_with_filings(

@@ -542,7 +542,7 @@ def _filings(spark: SparkSession, sf_dir: str, params: network.NetworkParams) ->
         F.lit(True).alias("is_validated"), (F.col("file_number") % 3 > 0).alias("is_researched"), (F.col("file_number") % 29 == 0).alias("exclude_address"),
         F.lit(False).alias("is_org_address"), F.lit(False).alias("is_missing_suite"), F.lit(False).alias("is_problem_suite"),
     )
-    parts = network.components(network.taxpayer_edges_with_filings(df, filings, params))
+    parts = network.components(network.taxpayer_edges_with_filings(df, filings, params, spanning=True))
     return network.assign_components_with_filings(df, filings, parts, params, "rid").select("rid", "final_component_1")
 
 
