@@ -51,8 +51,9 @@ def title_case(c: Column | str) -> Column:
     def raised(s: Column) -> Column:
         letters = s["letters"]
         before = lambda i: F.try_element_at(letters, i)  # noqa: E731  (i counts from 0, places from 1)
+        letter = lambda x: (x >= "a") & (x <= "z")  # noqa: E731  (one character, lower case)
         return F.transform(
-            letters, lambda x, i: F.when((i > 0) & F.coalesce(before(F.when(i > 0, i)).rlike("^[A-Za-z]$"), F.lit(False)), x).otherwise(F.upper(x))
+            letters, lambda x, i: F.when((i > 0) & F.coalesce(letter(before(F.when(i > 0, i))), F.lit(False)), x).otherwise(F.upper(x))
         )
 
     low = F.lower(col(c))
@@ -65,7 +66,9 @@ def match_text(c: Column | str) -> Column:
     plain = F.regexp_replace(plain, r"[)(.|\[\]{}']", "")
     plain = F.translate(F.replace(plain, F.lit("&"), F.lit("and")), ",-", "  ")
     spaced = F.trim(F.regexp_replace(plain, " +", " "))
-    return F.concat(F.lit(" "), title_case(spaced), F.lit(" "))
+    # ``title_case`` of ASCII text without a loop: a letter after what is neither letter nor space gets a mark with a space, for ``initcap``.
+    marked = F.initcap(F.regexp_replace(spaced, "(?<=[^a-z ])(?=[a-z])", "\u00a7 "))
+    return F.concat(F.lit(" "), F.replace(marked, F.lit("\u00a7 "), F.lit("")), F.lit(" "))
 
 
 def ngrams(c: Column | str, n: int = 3) -> Column:

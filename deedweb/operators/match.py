@@ -350,36 +350,45 @@ def pair_similarity(first: Column, second: Column, threshold: float | None = Non
 
 
     def cosine(s: Column) -> Column:
-        return F.try_divide(_total(s, "x", "y"), F.sqrt(_total(s, "x", "x") * _total(s, "y", "y")))
+        own = _total(s, "both", lambda x, y: F.when(x > 0, y * y).otherwise(0.0))
+        return F.try_divide(_total(s, "both", lambda x, y: x * y), F.sqrt(_total(s, "x", lambda x, y: x * x) * own))
 
-    score = _counted(first, second, n, cosine, both=False)
+    score = _counted(first, second, n, cosine)
     values = {"cosine": score, "far": F.levenshtein(first, second)}
     good = lambda s: (s["far"] > 0) & (s["cosine"] < 1 - 1e-9) & (s["cosine"] > (threshold or 0.0))
     return let(values, lambda s: F.when(good(s), s["cosine"]))
 
 
-def _counted(first: Column, second: Column, n: int, body: Callable[[Column], Column], both: bool) -> Column:
-    """``body`` of ``counts``: for each gram of the first string (or of both), how often it is in either."""
-    times = lambda x, k: F.size(F.filter(x, lambda g: g == k)).cast("double")
+def _counted(first: Column, second: Column, n: int, body: Callable[[Column], Column]) -> Column:
+    """``body`` of two strings' grams: ``x`` and ``y`` different ones, ``both`` shared ones, and ``again``, how often each gram that
+    either repeats is in both. So only repeated grams are counted one by one; most are in no string twice."""
+    times = lambda x, k: F.array_size(F.filter(x, lambda g: g == k)).cast("double")
+
+    def repeated(grams: Column) -> Column:
+        seen = let({"s": F.sort_array(grams)}, lambda s: F.array_distinct(F.filter(s["s"], lambda g, i: (i > 0) & F.coalesce(g == F.get(s["s"], i - 1), F.lit(False)))))
+        return F.when(F.array_size(F.array_distinct(grams)) == F.array_size(grams), F.array().cast("array<string>")).otherwise(seen)
 
     def counts(s: Column) -> Column:
-        keys = F.array_union(s["a"], s["b"]) if both else F.array_distinct(s["a"])
-        return F.transform(keys, lambda k: F.struct(times(s["a"], k).alias("x"), times(s["b"], k).alias("y")))
+        size = lambda x: F.array_size(x).cast("double")
+        again = F.transform(F.array_union(repeated(s["a"]), repeated(s["b"])), lambda k: F.struct(times(s["a"], k).alias("x"), times(s["b"], k).alias("y")))
+        return F.struct(size(F.array_distinct(s["a"])).alias("x"), size(F.array_distinct(s["b"])).alias("y"), size(F.array_intersect(s["a"], s["b"])).alias("both"), again.alias("again"))
 
-    return let({"counts": let({"a": ngrams(first, n), "b": ngrams(second, n)}, counts)}, body)
+    return let({"counts": let({"a": ngrams(first, n), "b": ngrams(second, n)}, counts)}, lambda s: body(s["counts"]))
 
 
-def _total(s: Column, one: str, other: str) -> Column:
-    return F.aggregate(s["counts"], F.lit(0.0), lambda t, c: t + c[one] * c[other])
+def _total(counts: Column, different: str, value: Callable[[Column, Column], Column]) -> Column:
+    """The sum of ``value`` over grams, which is 1 for each of ``different`` unless a gram is repeated."""
+    one = lambda v: F.least(v, F.lit(1.0))
+    return F.aggregate(counts["again"], counts[different], lambda t, c: t + value(c["x"], c["y"]) - value(one(c["x"]), one(c["y"])))
 
 
 def cosine_trigram(first: Column, second: Column, n: int = 3) -> Column:
     """The symmetric cosine of two strings' gram counts; 1 for equal strings."""
 
     def cosine(s: Column) -> Column:
-        return F.try_divide(_total(s, "x", "y"), F.sqrt(_total(s, "x", "x") * _total(s, "y", "y")))
+        return F.try_divide(_total(s, "both", lambda x, y: x * y), F.sqrt(_total(s, "x", lambda x, y: x * x) * _total(s, "y", lambda x, y: y * y)))
 
-    return F.when(first == second, 1.0).otherwise(F.coalesce(_counted(first, second, n, cosine, both=True), F.lit(0.0)))
+    return F.when(first == second, 1.0).otherwise(F.coalesce(_counted(first, second, n, cosine), F.lit(0.0)))
 
 
 def match_groups(matches: DataFrame) -> DataFrame:
