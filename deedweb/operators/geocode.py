@@ -97,10 +97,12 @@ def process_results(candidates: DataFrame, address: str = "clean_address", **opt
 
 
 def split_results(asked: DataFrame, resolved: DataFrame, address: str = "clean_address") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Validated (one candidate left), unvalidated (several, all of them) and failed addresses (no candidate)."""
+    """Validated (one candidate left), unvalidated (several, all of them) and failed addresses (no candidate).
+
+    Sizes of Parquet files say little about repetitive answers, whose addresses may be a hundred times larger; the hint keeps Spark from broadcasting them."""
     counted = resolved.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(address)))
     found = resolved.select(address).distinct()
-    return counted.where("_n = 1").drop("_n"), counted.where("_n > 1").drop("_n"), asked.join(found, address, "left_anti")
+    return counted.where("_n = 1").drop("_n"), counted.where("_n > 1").drop("_n"), asked.join(found.hint("merge"), address, "left_anti")
 
 
 def cost(df: DataFrame, price: float = 0.0005, free: int = 2500) -> DataFrame:

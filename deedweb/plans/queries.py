@@ -405,7 +405,7 @@ def settled_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = df.repartition("order_id").groupBy("order_id", part.alias("part")).agg(F.array_sort(F.collect_list(F.struct("candidate", one.alias("r")))).alias("rows"))
     total = F.count(F.lit(1)).over(Window.partitionBy("order_id"))
     rows = rows.select(address(F.col("order_id")).alias("clean_address"), "part", F.transform("rows", lambda x: x["r"]).cast(geocode.RESULTS).alias("results"), total.alias("parts"))
-    none = derived(spark, sf_dir, "properties").join(df.select(F.col("order_id").alias("pin")), "pin", "left_anti")
+    none = derived(spark, sf_dir, "properties").join(df.select(F.col("order_id").alias("pin")).hint("merge"), "pin", "left_anti")
     none = none.select(address(F.col("pin")).alias("clean_address"), F.lit(1).alias("part"), F.array().cast(geocode.RESULTS).alias("results"), F.lit(1).cast("long").alias("parts"))
     # Two batches, each of as many files as there are tasks.
     n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))

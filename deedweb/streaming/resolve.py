@@ -71,6 +71,13 @@ def settled(found: DataFrame, schema: str, address: str = "clean_address") -> di
     return dict(zip(TABLES, parts, strict=True))
 
 
+def by_closed(rows: DataFrame, closed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The answers to addresses that are not closed, and those to closed ones. As many addresses may be closed as were ever asked, in files
+    that seem small: they are never broadcast."""
+    keys = closed.select(F.struct("address").alias("_closed")).distinct().hint("merge")
+    return tuple(rows.join(keys, F.struct("address") == F.col("_closed"), how) for how in ("left_anti", "left_semi"))
+
+
 def _add(spark: SparkSession, rows: DataFrame, at: Snapshot, schema: str, address: str, wait_seconds: int, delay: str, source: str, number: int) -> None:
     """Publishes what a batch of ``as_parts`` settles, and what it leaves waiting.
 
@@ -83,14 +90,10 @@ def _add(spark: SparkSession, rows: DataFrame, at: Snapshot, schema: str, addres
     before, after = F.timestamp_micros(F.lit(was)), F.timestamp_micros(F.lit(now))
     until = (F.greatest(F.col("at"), before) + F.make_dt_interval(secs=F.lit(wait_seconds))).alias("until")
     closed = there("closed", CLOSED)
-    # Where nothing has closed yet, nothing is looked up.
-    known = F.struct("address") if "closed" in at.folders else None
-    timely = rows.where("address is not null").where(F.col("at") > before)
-    fresh, again = timely, None
-    if known is not None:
-        keys = closed.select(F.struct("address").alias("_closed")).distinct()
-        fresh = timely.join(keys, known == F.col("_closed"), "left_anti")
-        again = timely.join(keys, known == F.col("_closed"), "left_semi").select("address", until)
+    fresh, again = rows.where("address is not null").where(F.col("at") > before), None
+    if "closed" in at.folders:  # where nothing has closed yet, nothing is looked up
+        fresh, again = by_closed(fresh, closed)
+        again = again.select("address", until)
     found = written(gathered(fresh.unionByName(there("waiting", PART))).withColumn("over", until < after), "gathered")
     leaving = found.where("complete or over")
     stay = found.where("not complete and not over").select("address", "parts", F.explode("answers").alias("answer"), "at")

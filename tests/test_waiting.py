@@ -1,6 +1,6 @@
 from deedweb.operators import geocode
 from deedweb.sources.snapshots import snapshot
-from deedweb.streaming.resolve import resolve_stream, settled_tables
+from deedweb.streaming.resolve import by_closed, resolve_stream, settled_tables
 
 
 def test_open_addresses_wait_in_a_table(spark, tmp_path):
@@ -22,3 +22,15 @@ def test_open_addresses_wait_in_a_table(spark, tmp_path):
     kept, tables = run()
     assert kept[0] == [] and set(kept[1]) == {"1 MAIN", "2 MAIN"}
     assert tables == {"validated": ["1 MAIN"], "unvalidated": [], "failed": ["2 MAIN"]}
+
+
+def test_addresses_are_not_broadcast(spark):
+    """Addresses that may be as many as were ever asked do not pass through the driver, however small their files seem."""
+    many = spark.range(40).selectExpr("concat('MAIN ST ', id) AS clean_address", "'1' AS number", "id AS candidate", "'x' AS formatted_address")
+    closed = many.selectExpr("clean_address AS address", "timestamp_seconds(9) AS until").where("candidate < 30")
+    rows = many.selectExpr("clean_address AS address")
+    _, _, failed = geocode.split_results(many.select("clean_address"), many.where("candidate < 30"))
+    fresh, again = by_closed(rows, closed)
+    for found, n in ((failed, 10), (fresh, 10), (again, 30)):
+        assert found.count() == n
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
