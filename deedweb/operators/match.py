@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from deedweb.functions.tokens import let, ngrams, token_at, tokens
 from deedweb.operators.components import connected_components
-from deedweb.scratch import written
+from deedweb.scratch import discard, written
 
 
 @dataclass(frozen=True)
@@ -26,33 +26,45 @@ class StringMatchParams:
     as_given: bool = False
 
 
+#: The least weight ``idf`` of a rare gram: about a twentieth of the references have it.
+RARE = 4.0
+
+
 def gram_counts(docs: DataFrame, n: int) -> DataFrame:
     """``doc, gram, tf`` of distinct documents ``doc``."""
     return docs.select("doc", F.explode(ngrams("doc", n)).alias("gram")).groupBy("doc", "gram").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def _dealt(docs: DataFrame) -> DataFrame:
+    """By number, so that adaptive execution does not join partitions: rows are short, and what is made of each is long work. One more than Spark's own
+    partitions, else Spark would take the exchange that made documents distinct in place of this one."""
+    return docs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) + 1, "doc")
+
+
 def fit_weights(refs: DataFrame, params: StringMatchParams) -> DataFrame:
     """``gram, df, idf`` over reference documents ``doc, copies``: ln((1 + N) / (1 + df)) + 1."""
     weight = F.col("copies") if params.as_given else F.lit(1)
-    grams = refs.select("copies", F.explode(F.array_distinct(ngrams("doc", params.n))).alias("gram"))
+    grams = _dealt(refs).select("copies", F.explode(F.array_distinct(ngrams("doc", params.n))).alias("gram"))
     df = grams.groupBy("gram").agg(F.sum(weight).alias("df"))
     total = refs.agg(F.sum(weight).alias("total"))  # one row
     return df.crossJoin(F.broadcast(total)).select("gram", "df", (F.log((1 + F.col("total")) / (1 + F.col("df"))) + 1).alias("idf"))
 
 
 def vectors(docs: DataFrame, weights: DataFrame, params: StringMatchParams) -> DataFrame:
-    """``doc, terms``: the known grams of each document with unit-length weights, rarest first, and with ``tail``, the length
-    of what is left from each on."""
-    rows = gram_counts(docs, params.n).join(weights, "gram").select("doc", "gram", "df", (F.col("tf") * F.col("idf")).alias("w"))
-    terms = F.array_sort(F.collect_list(F.struct("df", "gram", "w"))).alias("terms")
-    # By number, so that adaptive execution does not join partitions: rows are short, and what is made of each is long work.
-    rows = rows.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc")
+    """``doc, terms``: the known grams of each document with unit-length weights, rarest first, with ``tail``, the length
+    of what is left from each on, and with ``rare``, whether few references have the gram.
+
+    Documents are dealt before they are cut, so grams are not shuffled unless there are too many weights to broadcast."""
+    rows = gram_counts(_dealt(docs).select("doc"), params.n).join(weights, "gram")
+    rows = rows.select("doc", "gram", "df", (F.col("tf") * F.col("idf")).alias("w"), (F.col("idf") >= RARE).alias("rare"))
+    terms = F.array_sort(F.collect_list(F.struct("df", "gram", "w", "rare"))).alias("terms")
+    rows = _dealt(rows)  # falls away where they are dealt by it
     rows = rows.groupBy("doc").agg(terms, F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    start = F.struct(F.lit(1.0).alias("left"), F.array().cast("array<struct<gram: string, w: double, tail: double>>").alias("out"))
+    start = F.struct(F.lit(1.0).alias("left"), F.array().cast("array<struct<gram: string, w: double, tail: double, rare: boolean>>").alias("out"))
 
     def step(s: Column, t: Column) -> Column:
         w = t["w"] / F.col("norm")
-        term = F.struct(t["gram"].alias("gram"), w.alias("w"), F.sqrt(F.greatest(s["left"], F.lit(0.0))).alias("tail"))
+        term = F.struct(t["gram"].alias("gram"), w.alias("w"), F.sqrt(F.greatest(s["left"], F.lit(0.0))).alias("tail"), t["rare"].alias("rare"))
         return F.struct((s["left"] - w * w).alias("left"), F.concat(s["out"], F.array(term)).alias("out"))
 
     return rows.select("doc", F.aggregate("terms", start, step, lambda s: s["out"]).alias("terms"))
@@ -161,38 +173,82 @@ def candidates(q: DataFrame, postings: DataFrame, once: bool = False) -> DataFra
 
 #: Thresholds from which pairs meet on two grams at once (see ``meetings``); below, half of a vector may be missing and single grams lead.
 PAIRED = 0.55
+#: Where queries times references are no more, single grams lead at any threshold: keys of two grams are made of all references, however few queries are left.
+FEW = 1_000_000_000
 #: The first and the ``FAR``-th shared gram of a pair are its key.
 FAR = 5
 
 
-def _meeting_keys(side: DataFrame, name: str, least: float) -> DataFrame:
-    """``key, <name>, reach``: the keys under which a vector meets others, and the length of what they may share there (see ``meetings``)."""
+#: Rows of keys that meet at once. More are dealt into turns, so that disk holds the shuffled rows of one turn only.
+TURN = 15_000_000
+
+
+#: 64-bit words of an outline, and the bits of a place.
+WORDS, BITS = 2, 3
+OUTLINE = [*(f"p{w}_{j}" for w in range(WORDS) for j in range(BITS)), "unit"]
+
+
+def _outline() -> Column:
+    """A struct of ``OUTLINE`` for a vector: its rare grams dealt to places by hash. The bits of a place count how many ``unit`` the squared weight
+    there has at least: the lightest rare gram has two, seven is the most. So every rare gram sets a bit of its place, and where grams share a
+    place, joined bits are no more than their sum."""
+    grams = F.transform(F.filter("terms", lambda t: t["rare"]), lambda t: F.struct(F.pmod(F.hash(t["gram"]), F.lit(64 * WORDS)).alias("p"), (t["w"] * t["w"]).alias("m")))
+    unit = F.array_min(F.transform(grams, lambda t: t["m"])) / 2
+
+    def coded(s: Column) -> Column:
+        return F.transform(s["g"], lambda t: F.struct(t["p"].alias("p"), F.least(F.floor(t["m"] / s["u"]), F.lit((1 << BITS) - 1)).cast("long").alias("c")))
+
+    def word(s: Column, w: int, j: int) -> Column:
+        own = F.filter(s["c"], lambda t: F.shiftright(t["p"], 6) == w)
+        bit = lambda t: F.call_function("shiftleft", F.shiftright(t["c"], j).bitwiseAND(F.lit(1).cast("long")), F.pmod(t["p"], F.lit(64)))
+        return F.aggregate(own, F.lit(0).cast("long"), lambda x, t: x.bitwiseOR(bit(t))).alias(f"p{w}_{j}")
+
+    codes = let({"g": grams, "u": unit}, lambda s: F.struct(coded(s).alias("c"), F.coalesce(s["u"], F.lit(0.0)).cast("float").alias("unit")))
+    return let({"s": codes}, lambda s: F.struct(*(word(s["s"], w, j) for w in range(WORDS) for j in range(BITS)), s["s"]["unit"].alias("unit")))
+
+
+def _meeting_keys(side: DataFrame, least: float) -> DataFrame:
+    """``key, id, reach`` and ``OUTLINE``: the keys under which a vector meets others, the length of what they may share there (see
+    ``meetings``), and its outline. Keys are hashes: two that agree by chance only let more pairs meet. Rows of a vector stand together, so its
+    outline takes little room in a file."""
     need = least * least - 1e-9
-    start = F.array().cast("array<struct<gram: string, m: double, left: double, next: double, peak: double, two: double, three: double>>")
+    start = F.array().cast("array<struct<gram: string, after: int, m: double, left: double, next: double, peak: double, two: double, three: double>>")
 
     def step(out: Column, t: Column) -> Column:  # from the last gram to the first
         m, before = t["w"] * t["w"], lambda k, c: F.coalesce(F.try_element_at(out, F.lit(k))[c], F.lit(0.0))
         two = before(1, "peak") + before(2, "peak")
-        known = {"gram": t["gram"], "m": m, "left": t["tail"] * t["tail"], "next": before(1, "left"), "peak": F.greatest(m, before(1, "peak")), "two": two, "three": two + before(3, "peak")}
+        known = {"gram": t["gram"], "after": F.size(out), "m": m, "left": t["tail"] * t["tail"], "next": before(1, "left"), "peak": F.greatest(m, before(1, "peak")), "two": two, "three": two + before(3, "peak")}
         return F.concat(F.array(F.struct(*(v.alias(n) for n, v in known.items()))), out)
 
-    rows = side.select(F.col("id").alias(name), F.aggregate(F.reverse("terms"), start, step).alias("t"))
-    rows = rows.select(name, "t", F.posexplode("t").alias("i", "a")).where(F.col("a.left") >= need)
-    rows = rows.select(name, "i", "a", F.posexplode(F.slice("t", F.col("i") + 1, F.size("t"))).alias("gap", "b"))
-    far = F.col("b.left") + F.col("a.m") + F.least(F.col("a.three"), F.col("a.next") - F.col("b.left"))
-    near = F.least(F.col("b.left") + F.col("a.m"), F.col("a.m") + F.col("b.m") + F.col("b.two"))
-    five = (F.col("gap") >= FAR - 1) & (far >= need)
-    small = (F.col("gap") >= 1) & (F.col("a.m") + F.col("a.three") >= need) & (near >= need)
-    alone = (F.col("gap") == 0) & (F.col("a.m") >= need)
-    made = lambda kind, mass, *grams: F.struct(F.concat(F.lit(kind), *grams).alias("key"), mass.alias("mass"))
-    keys = F.array(
-        F.when(five, made("5", far, F.col("a.gram"), F.col("b.gram"))),
-        F.when(small, made("2", near, F.col("a.gram"), F.col("b.gram"))),
-        F.when(alone, made("1", F.col("a.m"), F.col("a.gram"))),
-    )
-    rows = rows.where(five | small | alone)
-    rows = rows.select(name, F.explode(keys).alias("key")).where("key is not null")
-    return rows.select("key.key", name, F.sqrt("key.mass").cast("float").alias("reach"))
+    made = lambda kind, mass, *grams: F.struct(F.xxhash64(F.lit(kind), *grams).alias("key"), F.sqrt(mass).cast("float").alias("reach"))
+    far = lambda a, b: b["left"] + a["m"] + F.least(a["three"], a["next"] - b["left"])
+    near = lambda a, b: F.least(b["left"] + a["m"], a["m"] + b["m"] + b["two"])
+
+    def pairs(s: Column, first: Callable[[Column], Column], gap: int, mass: Callable[[Column, Column], Column], kind: str) -> Column:
+        n = F.size(s["t"])
+        others = lambda a: F.filter(F.slice(s["t"], n - a["after"] + gap, n), lambda b: mass(a, b) >= need)
+        return F.flatten(F.transform(F.filter(s["t"], first), lambda a: F.transform(others(a), lambda b: made(kind, mass(a, b), a["gram"], b["gram"]))))
+
+    def keys(s: Column) -> Column:
+        five = pairs(s, lambda a: a["left"] >= need, FAR - 1, far, "5")
+        small = pairs(s, lambda a: (a["left"] >= need) & (a["m"] + a["three"] >= need), 1, near, "2")
+        alone = F.transform(F.filter(s["t"], lambda a: (a["left"] >= need) & (a["m"] >= need)), lambda a: made("1", a["m"], a["gram"]))
+        return F.concat(five, small, alone)
+
+    rows = side.select("id", let({"t": F.aggregate(F.reverse("terms"), start, step)}, keys).alias("k"), _outline().alias("o"))
+    return rows.select("id", "o.*", F.inline("k")).select("key", "id", "reach", *OUTLINE)
+
+
+def _overlap(least: float) -> Column:
+    """Whether two outlines allow ``least``: a place that the other leaves empty holds no shared gram, and the cosine is at most the product of the lengths
+    of what is left of both vectors."""
+    bits = lambda x, w: [F.col(f"{x}p{w}_{j}") for j in range(BITS)]
+
+    def left(x: str, other: str) -> Column:
+        lost = [F.bit_count(p.bitwiseAND(F.bitwise_not(reduce(Column.bitwiseOR, bits(other, w))))) * (1 << j) for w in range(WORDS) for j, p in enumerate(bits(x, w))]
+        return 1 - F.col(f"{x}unit") * reduce(Column.__add__, lost)
+
+    return left("", "_") * left("_", "") >= least * least - 1e-5
 
 
 def meetings(q: DataFrame, r: DataFrame, least: float, once: bool = False) -> DataFrame:
@@ -204,25 +260,42 @@ def meetings(q: DataFrame, r: DataFrame, least: float, once: bool = False) -> Da
     the length of all that may be in S is the vector's ``reach`` there. The product of both reaches bounds the cosine, so one of them is
     at least the root of the threshold: of vectors with less, none meets another. Where S has fewer than five grams, these must hold
     enough of the vector; such short documents also meet on the first two, or on one gram.
+
+    Pairs are not written as they meet, however many do: outlines of both vectors come with their keys, and only pairs that these allow leave the join.
+    Keys go in turns of some ``TURN`` rows.
     """
     strong = least**0.5 - 1e-6
-    left = _meeting_keys(q, "query", least)
+    left = written(_meeting_keys(q, least), "keys")
+    right = left if q is r else written(_meeting_keys(r, least), "keys")
+    turns = -(-(left.count() + right.count()) // TURN) or 1
+    found = []
+    for turn in range(turns):
+        a, b = (side.where(F.pmod("key", F.lit(turns)) == turn) if turns > 1 else side for side in (left, right))
+        found.append(written(_met(a, b, least, strong, once), "meetings"))
+    for side in {id(x): x for x in (left, right)}.values():
+        discard(side)
+    return reduce(DataFrame.unionByName, found).distinct() if turns > 1 else found[0]
+
+
+def _met(left: DataFrame, right: DataFrame, least: float, strong: float, once: bool) -> DataFrame:
+    """``query, ref``, each pair once: of two tables of keys, those that meet and may reach ``least``."""
+    right = right.select("key", F.col("id").alias("ref"), *(F.col(c).alias(f"_{c}") for c in ("reach", *OUTLINE)))
+    left = left.withColumnRenamed("id", "query")
     if once:  # each pair in one order: what is strong meets all that is weak, and the strong ones of a higher id
-        left, right = left.where(F.col("reach") >= strong), _meeting_keys(r, "ref", least)
-        kinds = None
-        fits = (F.col("_reach") < strong) | (F.col("query") < F.col("ref"))
+        left, on = left.where(F.col("reach") >= strong), ["key"]
+        fits = ((F.col("_reach") < strong) | (F.col("query") < F.col("ref"))) & (F.col("query") != F.col("ref"))
     else:  # strong queries meet all references, weak ones the strong
-        left = left.withColumn("kind", F.col("reach") >= strong)
-        right = _meeting_keys(r, "ref", least)
-        kinds = F.when(F.col("reach") >= strong, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
-        fits = F.lit(True)
-    right = right.withColumnRenamed("reach", "_reach") if kinds is None else right.select("key", "ref", F.col("reach").alias("_reach"), F.explode(kinds).alias("kind"))
-    both = left.join(right, ["key"] if kinds is None else ["key", "kind"]).where(F.col("reach") * F.col("_reach") >= least - 1e-6).where(fits)
-    if not once:
-        return both.select("query", "ref").distinct()
-    return both.where("query <> ref").select(F.least("query", "ref").alias("query"), F.greatest("query", "ref").alias("ref")).distinct()
+        left, on = left.withColumn("kind", F.col("reach") >= strong), ["key", "kind"]
+        kinds = F.when(F.col("_reach") >= strong, F.array(F.lit(True), F.lit(False))).otherwise(F.array(F.lit(True)))
+        right, fits = right.withColumn("kind", F.explode(kinds)), F.lit(True)
+    both = left.join(right.hint("merge"), on).where(fits & (F.col("reach") * F.col("_reach") >= least - 1e-6) & _overlap(least))
+    if once:
+        both = both.select(F.least("query", "ref").alias("query"), F.greatest("query", "ref").alias("ref"))
+    return both.select("query", "ref").distinct()
 
 
+#: From this threshold on outlines leave hardly a pair that sketches do not, and no sketch is made.
+SKETCHED = 0.7
 #: Parts of a sketch.
 PARTS = 64
 
@@ -245,30 +318,33 @@ def likely(pairs: DataFrame, q: DataFrame, r: DataFrame, least: float) -> DataFr
 
 
 def _dots(pairs: DataFrame, q: DataFrame, r: DataFrame) -> DataFrame:
-    """``query, original_doc, matched_doc, conf1`` of pairs of ids."""
+    """``query, ref, original_doc, matched_doc, conf1`` of pairs of ids."""
     slim = F.transform("terms", lambda t: F.struct(t["gram"].alias("gram"), t["w"].alias("w")))
     left = q.select(F.col("id").alias("query"), F.col("doc").alias("original_doc"), slim.alias("_q"))
     right = r.select(F.col("id").alias("ref"), F.col("doc").alias("matched_doc"), slim.alias("_r"))
     both = pairs.join(left, "query").join(right, "ref")
     known = F.map_from_entries(F.transform("_r", lambda t: F.struct(t["gram"], t["w"])))
     dot = lambda s: F.aggregate(s["q"], F.lit(0.0), lambda x, t: x + t["w"] * F.coalesce(F.try_element_at(s["r"], t["gram"]), F.lit(0.0)))
-    return both.select("query", "original_doc", "matched_doc", let({"q": F.col("_q"), "r": known}, dot).alias("conf1"))
+    return both.select("query", "ref", "original_doc", "matched_doc", let({"q": F.col("_q"), "r": known}, dot).alias("conf1"))
 
 
 def _scored(q: DataFrame, matcher: Matcher, least: float, once: bool = False) -> DataFrame:
     """All pairs that reach ``least``."""
-    if least >= PAIRED:
-        pairs = likely(meetings(q, matcher.vectors, least, once), q, matcher.vectors, least)
+    few = not once and q.count() * matcher.vectors.count() <= FEW
+    if least >= PAIRED and not few:
+        pairs = meetings(q, matcher.vectors, least, once)
+        if least < SKETCHED:
+            pairs = likely(pairs, q, matcher.vectors, least)
     else:
         postings = matcher.postings.where(F.col("tail") >= least - 1e-9)
         pairs = candidates(q.withColumn("least", F.lit(least)), postings, once)
     found = _dots(pairs, q, matcher.vectors).where(F.col("conf1") >= least - 1e-9)
     if once:
         found = written(found, "scored-once")
-        turned = found.where("original_doc <> matched_doc").select("query", F.col("matched_doc").alias("original_doc"), F.col("original_doc").alias("matched_doc"), "conf1")
+        turned = found.where("original_doc <> matched_doc").select(F.col("ref").alias("query"), F.col("query").alias("ref"), F.col("matched_doc").alias("original_doc"), F.col("original_doc").alias("matched_doc"), "conf1")
         found = found.unionByName(turned)
         if least >= PAIRED:  # a vector is its own match
-            found = found.unionByName(q.select(F.col("id").alias("query"), F.col("doc").alias("original_doc"), F.col("doc").alias("matched_doc"), F.lit(1.0).alias("conf1")))
+            found = found.unionByName(q.select(F.col("id").alias("query"), F.col("id").alias("ref"), F.col("doc").alias("original_doc"), F.col("doc").alias("matched_doc"), F.lit(1.0).alias("conf1")))
     return found
 
 
@@ -284,7 +360,7 @@ def similar_pairs(refs: DataFrame, queries: DataFrame, ref_col: str, query_col:
     matcher = fit_matcher(refs, ref_col, params)
     same = refs is queries and ref_col == query_col
     q = matcher.vectors if same else _asked(matcher, queries, query_col)
-    return _scored(q, matcher, params.threshold, same).drop("query")
+    return _scored(q, matcher, params.threshold, same).drop("query", "ref")
 
 
 #: Thresholds of the search for the nearest, in steps: most documents have their ``k`` nearest above the first ones.
@@ -299,23 +375,31 @@ def _nearest(scored: DataFrame, k: int) -> DataFrame:
     return scored.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= k)
 
 
-def nearest(q: DataFrame, matcher: Matcher, k: int) -> DataFrame:
-    """The ``k`` nearest references of each query that share a gram with it, exactly: a query that has ``k`` at or above a
-    step's threshold is done, since no other can be nearer. Those that are left score the references of their rarest grams; the
-    ``k``-th best of these is a threshold of their own for the last step. Only a query with fewer meets on all of its grams."""
+def _stepped(q: DataFrame, matcher: Matcher, k: int, steps: Sequence[float], same: bool) -> tuple[list[DataFrame], DataFrame]:
+    """The ``k`` nearest of the queries that have so many at a step's threshold, and the queries that no step gave enough. Only the first step makes
+    each pair in one order where the queries are the references (``same``)."""
     done = []
-    for threshold in STEPS:
-        top = written(_nearest(_scored(q, matcher, threshold), k), "nearest")
-        full = top.groupBy("query").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == k).select("query")
+    for i, threshold in enumerate(steps):
+        top = written(_nearest(_scored(q, matcher, threshold, same and i == 0), k), "nearest")
+        full = top.groupBy("query").agg(F.count(F.lit(1)).alias("_n"), F.min("conf1").alias("_least")).where((F.col("_n") == k) & (F.col("_least") >= threshold)).select("query")
         done.append(top.join(full, "query", "left_semi"))
         q = written(q.join(full.withColumnRenamed("query", "id"), "id", "left_anti"), "query-vectors")
+    return done, q
+
+
+def nearest(q: DataFrame, matcher: Matcher, k: int, same: bool = False) -> DataFrame:
+    """The ``k`` nearest references of each query that share a gram with it, exactly: a query that has ``k`` at or above a
+    step's threshold is done, since no other can be nearer. Those that are left score the references of their rarest grams; the
+    ``k``-th best of these is a threshold of their own for the last step. Only a query with fewer meets on all of its grams. ``same``: the queries are the
+    references, so the first step makes each pair in one order."""
+    done, q = _stepped(q, matcher, k, STEPS, same)
     probes = _postings(q.withColumn("terms", F.slice("terms", 1, PROBES)), "query").select("query", "gram")
     pairs = probes.join(matcher.postings.select("gram", "ref"), "gram").select("query", "ref").distinct()
     reached = _nearest(_dots(pairs, q, matcher.vectors), k).groupBy("query").agg(F.min("conf1").alias("least"), F.count(F.lit(1)).alias("_n"))
     reached = reached.select(F.col("query").alias("id"), F.when(F.col("_n") == k, F.col("least")).otherwise(0.0).alias("least"))
     q = written(q.join(reached, "id", "left").withColumn("least", F.coalesce("least", F.lit(0.0))), "query-vectors")
     done.append(_nearest(_dots(candidates(q, matcher.postings), q, matcher.vectors), k))
-    return reduce(DataFrame.unionByName, done).drop("query")
+    return reduce(DataFrame.unionByName, done).drop("query", "ref")
 
 
 def match_with(matcher: Matcher, queries: DataFrame, query_col: str = "doc", params: StringMatchParams | None = None) -> DataFrame:
@@ -323,25 +407,31 @@ def match_with(matcher: Matcher, queries: DataFrame, query_col: str = "doc", par
     return _matches(_asked(matcher, queries, query_col), matcher, params or matcher.params, False)
 
 
-def match_strings(refs: DataFrame, queries: DataFrame, ref_col: str = "doc", query_col: str = "doc", params: StringMatchParams = StringMatchParams()) -> DataFrame:
+def match_strings(refs: DataFrame, queries: DataFrame, ref_col: str = "doc", query_col: str = "doc", params: StringMatchParams = StringMatchParams(), in_order: bool = True) -> DataFrame:
     """``original_doc, matched_doc, conf, ldist, conf1``: for each query its ``k`` nearest references (itself among them, if
     it is one). With a threshold, equal strings, equal gram weights and all at or below the threshold are left out.
 
-    Best last. Null documents are left out; repeated ones count once.
+    Best last, unless ``in_order`` is False. Null documents are left out; repeated ones count once.
     """
     matcher = fit_matcher(refs, ref_col, params)
     same = refs is queries and ref_col == query_col
-    return _matches(matcher.vectors if same else _asked(matcher, queries, query_col), matcher, params, same)
+    return _matches(matcher.vectors if same else _asked(matcher, queries, query_col), matcher, params, same, in_order)
 
 
-def _matches(q: DataFrame, matcher: Matcher, params: StringMatchParams, same: bool) -> DataFrame:
-    top = nearest(q, matcher, params.k) if params.threshold is None else _nearest(_scored(q, matcher, params.threshold, same), params.k)
+def _matches(q: DataFrame, matcher: Matcher, params: StringMatchParams, same: bool, in_order: bool = True) -> DataFrame:
+    if params.threshold is None:
+        top = nearest(q, matcher, params.k, same)
+    else:  # queries that have their nearest at a higher threshold do not look for more: pairs that meet are far fewer there
+        steps = [s for s in STEPS if s > params.threshold]
+        done, q = _stepped(q, matcher, params.k, steps, same)
+        found = _nearest(_scored(q, matcher, params.threshold, same and not steps), params.k)
+        top = reduce(DataFrame.unionByName, [*done, found])
     found = top.select(
         "original_doc", "matched_doc", (1 - F.col("conf1")).alias("conf"), F.levenshtein("original_doc", "matched_doc").alias("ldist"), "conf1"
     )
     if params.threshold is not None:
         found = found.where((F.col("ldist") > 0) & (F.col("conf1") < 1 - 1e-9) & (F.col("conf1") > params.threshold))
-    return found.orderBy("conf1", "original_doc", "matched_doc")
+    return found.orderBy("conf1", "original_doc", "matched_doc") if in_order else found
 
 
 def pair_similarity(first: Column, second: Column, threshold: float | None = None, n: int = 3) -> Column:
@@ -414,7 +504,8 @@ def match_groups(matches: DataFrame) -> DataFrame:
 
 
 def with_match_groups(matches: DataFrame) -> DataFrame:
-    """The matches with the names of their groups."""
+    """The matches with the names of their groups. Matches are written first, so that they are found once."""
+    matches = written(matches, "matches")
     groups = match_groups(matches).select(F.col("node").alias("original_doc"), "fuzzy_match_name", "fuzzy_match_combo")
     return matches.join(groups, "original_doc")
 

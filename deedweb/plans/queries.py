@@ -21,7 +21,7 @@ from deedweb.operators.growth import grow_components, read_components, save_comp
 from deedweb.operators.masters import apply_delivery, read_master
 from deedweb.operators.sketches import add_statistics, linked_values, statistics, total_statistics
 from deedweb.plans.inputs import derived
-from deedweb.scratch import fresh_path, written
+from deedweb.scratch import discard, fresh_path, written
 from deedweb.sources.contracts import CLASS_CODES, Contract, columns, violations
 from deedweb.sources.snapshots import publish, snapshot
 from deedweb.sources.tables import load_with_quarantine, union_all
@@ -425,9 +425,9 @@ def name_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", F.array_join(ngrams("p_name"), "|").alias("grams"))
 
 
-def _matched(spark: SparkSession, sf_dir: str, params: M.StringMatchParams) -> DataFrame:
+def _matched(spark: SparkSession, sf_dir: str, params: M.StringMatchParams, in_order: bool = True) -> DataFrame:
     df = derived(spark, sf_dir, "owners").select("doc")
-    return M.match_strings(df, df, params=params)
+    return M.match_strings(df, df, params=params, in_order=in_order)
 
 
 @query
@@ -447,7 +447,10 @@ def tfidf_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def saved_matcher(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A matcher is fitted on the owners and saved; a later delivery, in which streets are spelled out, meets what is loaded."""
     owners, path = derived(spark, sf_dir, "owners").select("doc"), fresh_path(spark, "matcher")
-    M.save_matcher(M.fit_matcher(owners, params=M.StringMatchParams(threshold=0.6, k=2)), path)
+    fitted = M.fit_matcher(owners, params=M.StringMatchParams(threshold=0.6, k=2))
+    M.save_matcher(fitted, path)
+    for done in (fitted.weights, fitted.vectors):
+        discard(done)
     later = owners.select(F.regexp_replace("doc", " ST$", " STREET").alias("doc"))
     found = M.match_with(M.load_matcher(spark, path), later)
     return found.select("original_doc", "matched_doc", F.round("conf1", 6).alias("conf1"), "ldist")
@@ -455,12 +458,12 @@ def saved_matcher(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def match_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.match_groups(_matched(spark, sf_dir, M.StringMatchParams(threshold=0.75, k=3)))
+    return M.match_groups(_matched(spark, sf_dir, M.StringMatchParams(threshold=0.75, k=3), in_order=False))
 
 
 @query
 def matches_with_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = M.with_match_groups(_matched(spark, sf_dir, M.StringMatchParams(threshold=0.75, k=3)))
+    found = M.with_match_groups(_matched(spark, sf_dir, M.StringMatchParams(threshold=0.75, k=3), in_order=False))
     return found.select("original_doc", "matched_doc", "fuzzy_match_name", "fuzzy_match_combo")
 
 
